@@ -109,14 +109,20 @@ def new_links(candidates: DataFrame, stored: DataFrame, key: str = "filename") -
 def incremental_split(
     candidates: DataFrame, stored: DataFrame, key: str = "filename"
 ) -> DataFrame:
-    """All candidates, flagged ``already_stored``."""
-    return stored_links(candidates, stored, key).withColumn(
-        "already_stored", F.lit(True)
-    ).unionByName(
-        new_links(candidates, stored, key).withColumn("already_stored", F.lit(False))
+    """All candidates, flagged ``already_stored``, in one pass over them."""
+    names = stored.select(key).distinct().withColumn("_found", F.lit(True))
+    return (
+        candidates.join(names, key, "left")
+        .withColumn("already_stored", F.coalesce("_found", F.lit(False)))
+        .drop("_found")
     )
 
 
+def only_documents(table: DataFrame, documents: DataFrame) -> DataFrame:
+    """Rows of the listed documents (``author``, ``id``)."""
+    return table.join(documents, ["author", "id"], "left_semi")
+
+
 def summary_columns(table: DataFrame, names: Mapping[str, str], digits: int = 2) -> DataFrame:
     """Rename columns for display and round the floating-point ones."""
     rounded = [

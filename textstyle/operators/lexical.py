@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textstyle.functions.text import STOPWORDS, normalised_words
@@ -13,25 +13,27 @@ from textstyle.operators.annotate import annotated
 KEYS = ["id", "author", "genre", "title"]
 
 
-def _counted_words(corpus: DataFrame, stopwords: Iterable[str]) -> DataFrame:
-    """One row per document with ``_counts``: array of (word, frequency).
+def _sorted_words(corpus: DataFrame, stopwords: Iterable[str]) -> DataFrame:
+    """One row per document with its words sorted and the last index of each run.
 
-    The document's words are sorted inside the row, so equal words are adjacent
-    and a count is the distance between two ends of runs. Nothing is shuffled
-    and the text is read once. Each step is its own projection because the
-    later ones look back into the arrays of the earlier ones.
+    Equal words are adjacent after sorting, so counting them needs no shuffle and
+    the text is read once. Each step is its own projection because later ones look
+    back into the arrays of earlier ones.
     """
     words = annotated(corpus).select(
         *KEYS, F.sort_array(normalised_words("tokens", stopwords)).alias("_words")
     )
     last_of_run = F.transform(
-        "_words",
-        lambda word, i: F.when(~word.eqNullSafe(F.get("_words", i + 1)), i),
+        "_words", lambda word, i: F.when(~word.eqNullSafe(F.get("_words", i + 1)), i)
     )
-    ends = words.select(
+    return words.select(
         *KEYS, "_words", F.filter(last_of_run, lambda i: i.isNotNull()).alias("_ends")
     )
-    counts = F.transform(
+
+
+def _run_counts() -> Column:
+    """Array of (word, frequency): a run is as long as the distance between two ends."""
+    return F.transform(
         "_ends",
         lambda end, k: F.struct(
             F.get("_words", end).alias("word"),
@@ -40,14 +42,11 @@ def _counted_words(corpus: DataFrame, stopwords: Iterable[str]) -> DataFrame:
             .alias("frequency"),
         ),
     )
-    return ends.select(*KEYS, counts.alias("_counts"))
 
 
 def word_frequencies(corpus: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> DataFrame:
     """One row per document and word."""
-    counted = _counted_words(corpus, stopwords)
-    rows = F.filter("_counts", lambda entry: F.lit(True))
-    return counted.select(*KEYS, F.inline(rows))
+    return _sorted_words(corpus, stopwords).select(*KEYS, F.inline(_run_counts()))
 
 
 def zipf_table(
@@ -78,7 +77,7 @@ def zipf_table(
 
 
 def _ranked_in_row(corpus: DataFrame, top_n: int, stopwords: Iterable[str]) -> DataFrame:
-    counted = _counted_words(corpus, stopwords)
+    counted = _sorted_words(corpus, stopwords).select(*KEYS, _run_counts().alias("_counts"))
     descending = F.sort_array(F.transform("_counts", lambda e: e["frequency"]), asc=False)
     ordered = counted.select(*KEYS, "_counts", descending.alias("_frequencies"))
     least = F.coalesce(F.get("_frequencies", F.lit(top_n - 1)), F.lit(1))
@@ -122,12 +121,11 @@ def representative_documents(zipf: DataFrame) -> DataFrame:
     return zipf.groupBy("author").agg(best.alias("_best")).select("author", "_best.id")
 
 
-def representative_words(zipf: DataFrame, documents: DataFrame, head: int = 50) -> DataFrame:
-    """The ``head`` most frequent words of each author's representative document."""
-    chosen = zipf.join(documents, ["author", "id"], "left_semi")
+def representative_words(zipf: DataFrame, head: int = 50) -> DataFrame:
+    """The ``head`` most frequent words of each author, one document per author given."""
     order = Window.partitionBy("author").orderBy(F.desc("frequency"), "word")
     return (
-        chosen.withColumn("_position", F.row_number().over(order))
+        zipf.withColumn("_position", F.row_number().over(order))
         .filter(F.col("_position") <= head)
         .drop("_position")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textstyle.functions.scores import readability_band
-from textstyle.operators.corpus import summary_columns
+from textstyle.operators.corpus import only_documents, summary_columns
 from textstyle.operators.dialogue import dialogue_stats
 from textstyle.operators.lexical import (
     representative_documents,
@@ -64,12 +64,16 @@ def first_documents(windows: DataFrame, window_size: int = 500) -> DataFrame:
     return sized.groupBy("author").agg(F.min("id").alias("id"))
 
 
-def window_curves(
-    windows: DataFrame, documents: DataFrame, window_size: int = 500
-) -> DataFrame:
-    """Windows of one document per author, in reading order."""
+def window_curves(windows: DataFrame, window_size: int = 500) -> DataFrame:
+    """Windows in reading order, one document per author given."""
     sized = windows.filter(F.col("window_size") == window_size)
-    return sized.join(documents, ["author", "id"], "left_semi").orderBy("author", "window_index")
+    return sized.orderBy("author", "window_index")
+
+
+def sample_curves(windows: DataFrame, window_size: int = 500) -> DataFrame:
+    """Windows of the first document of each author, from a stored window table."""
+    chosen = first_documents(windows, window_size)
+    return window_curves(only_documents(windows, chosen), window_size)
 
 
 def zipf_curves(zipf: DataFrame, by: str) -> DataFrame:
@@ -77,9 +81,9 @@ def zipf_curves(zipf: DataFrame, by: str) -> DataFrame:
 
 
 def characteristic_words(zipf: DataFrame, head: int = 50) -> DataFrame:
-    """Most frequent words of one document per author, most frequent first."""
-    chosen = representative_documents(zipf)
-    return representative_words(zipf, chosen, head).orderBy(F.desc("frequency"), "author", "word")
+    """Most frequent words of one document per author, from a stored word table."""
+    chosen = only_documents(zipf, representative_documents(zipf))
+    return representative_words(chosen, head).orderBy(F.desc("frequency"), "author", "word")
 
 
 def dialogue_bars(counted: DataFrame) -> DataFrame:

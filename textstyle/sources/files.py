@@ -12,6 +12,7 @@ from urllib.parse import unquote
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from textstyle.functions.web import AUTHOR_RULES, html_to_text
 from textstyle.operators.corpus import attribute_author, cap_per_author
@@ -22,6 +23,7 @@ MAX_LISTED_PATHS = 10_000
 CONTAINER = "META-INF/container.xml"
 # Fixed value: media type of an EPUB's text documents.
 DOCUMENT_TYPE = "application/xhtml+xml"
+BOOK = StructType().add("chapters", ArrayType(StringType())).add("error", StringType())
 
 
 def _file_name(path: Column | str) -> Column:
@@ -75,7 +77,7 @@ def _chapters(content: bytes) -> list[str]:
         ]
 
 
-@F.pandas_udf("chapters array<string>, error string")
+@F.pandas_udf(BOOK)
 def _unpack(contents: pd.Series) -> pd.DataFrame:
     """Chapters of each archive; a damaged book yields its error and must not end the job."""
     rows = []
@@ -89,7 +91,7 @@ def _unpack(contents: pd.Series) -> pd.DataFrame:
 
 def _body(markup: Column) -> Column:
     """Inside of the body element; the whole markup when there is none."""
-    body = F.regexp_extract(markup, r"(?is)<body\b[^>]*>(.*)</body>", 1)
+    body = F.regexp_extract(markup, r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)", 1)
     return F.when(body == "", markup).otherwise(body)
 
 

@@ -27,6 +27,14 @@ ZIPF = "zipf.csv"
 SEGMENTATION = "segmentation.csv"
 TABLES = (RAW_CORPUS, ANNOTATED_CORPUS, SLIDING_READABILITY, STYLOMETRY, ZIPF, SEGMENTATION)
 
+# The quote is its own escape, as other CSV readers expect; values keep their outer spaces.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 # Columns of annotation that are recomputed on demand and never stored.
 HEAVY_COLUMNS = ("document", "sentence", "sentences", "token", "tokens", "pos")
 
@@ -85,8 +93,7 @@ def write_author_stats(stats: DataFrame, folder: str) -> str:
 
 
 def _write_csv(table: DataFrame, path: str) -> str:
-    # The quote is its own escape, as other CSV readers expect.
-    table.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    table.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 
@@ -116,8 +123,8 @@ def read_orc(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
     """A CSV table with header, or None when it was never written."""
-    options = {"header": True, "escape": '"', "multiLine": True}
-    return _if_present(lambda: spark.read.schema(schema).options(**options).csv(path))
+    reader = spark.read.schema(schema).options(multiLine=True, **CSV_OPTIONS)
+    return _if_present(lambda: reader.csv(path))
 
 
 def _if_present(read: Callable[[], DataFrame]) -> DataFrame | None:

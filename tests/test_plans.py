@@ -5,7 +5,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from textstyle.operators import corpus, dialogue, harvest, lexical, windows
-from textstyle.operators.annotate import annotate, token_table
+from textstyle.operators.annotate import annotate, exploded_tokens, token_table
 from textstyle.operators.readability import document_metrics
 
 DATA = "/root/testdata/sf0.001"
@@ -23,6 +23,7 @@ def texts(spark):
     "build",
     [
         document_metrics,
+        exploded_tokens,
         token_table,
         windows.readability_windows,
         windows.full_windows,

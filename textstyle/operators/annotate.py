@@ -21,12 +21,18 @@ def annotated(corpus: DataFrame) -> DataFrame:
     return corpus if "tokens" in corpus.columns else annotate(corpus)
 
 
-def token_table(corpus: DataFrame, hyphens: str = "count") -> DataFrame:
-    """One row per token: position in the document, token and its syllables.
+def exploded_tokens(corpus: DataFrame) -> DataFrame:
+    """One row per token, without its position.
 
     The generator reads an expression, not a bare column: on a bare column
     Spark would add a ``size(...) > 0`` filter and tokenise every text twice.
     """
+    rows = F.transform("tokens", lambda word: F.struct(word.alias("word")))
+    return annotated(corpus).select("id", "author", "genre", "title", F.inline(rows))
+
+
+def token_table(corpus: DataFrame, hyphens: str = "count") -> DataFrame:
+    """One row per token: position in the document, token and its syllables."""
     counted = annotated(corpus).select(
         "id", "author", "genre", "title", "tokens",
         token_syllables("tokens", hyphens).alias("_syllables"),

@@ -19,18 +19,25 @@ def _most_frequent_tag(counts: DataFrame, key: str) -> DataFrame:
     return counts.groupBy(key).agg(best.alias("_best")).select(key, F.col("_best.tag"))
 
 
+def _lowered() -> Column:
+    # Never NULL, so joins add no NULL filter and tokens counted once can be shared.
+    return F.lower(F.coalesce("word", F.lit("")))
+
+
 def _ending(word: str = "word") -> Column:
-    return F.right(word, F.lit(ENDING))
+    return F.substring(word, -ENDING, ENDING)
 
 
-def train_lexicon(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+def train_lexicon(tagged: DataFrame, weight: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(word -> tag, ending -> tag) from columns ``word`` and ``tag``.
 
     Tokens are reduced to (word, tag) counts before the first shuffle; endings
-    are counted from those, not from the tokens.
+    are counted from those, not from the tokens. A table that is already counted
+    names its column of counts in ``weight``.
     """
-    counts = tagged.groupBy(F.lower("word").alias("word"), "tag").agg(
-        F.count(F.lit(1)).alias("n")
+    occurrences = F.lit(1) if weight is None else F.col(weight)
+    counts = tagged.groupBy(_lowered().alias("word"), "tag").agg(
+        F.sum(occurrences).alias("n")
     )
     by_ending = counts.groupBy(_ending().alias("ending"), "tag").agg(F.sum("n").alias("n"))
     words = _most_frequent_tag(counts, "word").withColumnRenamed("tag", "word_tag")
@@ -47,7 +54,7 @@ def apply_lexicon(
     size allows it and otherwise splits skewed words at run time.
     """
     return (
-        tokens.withColumn("_lowered", F.lower("word"))
+        tokens.withColumn("_lowered", _lowered())
         .join(lexicon.withColumnRenamed("word", "_lowered"), "_lowered", "left")
         .withColumn("ending", _ending("_lowered"))
         .join(endings, "ending", "left")

@@ -395,11 +395,15 @@ def document_counts(spark, folder):
 
 
 def lexicon_tags(spark, folder):
-    """Tagger trained on (token, language) and applied to all tokens."""
-    rows = annotate.token_table(documents(spark, folder)).select("genre", "word")
-    lexicon, endings = tagging.train_lexicon(rows.withColumnRenamed("genre", "tag"))
-    tagged = tagging.apply_lexicon(rows, lexicon, endings)
-    return tagged.groupBy("genre", "tag").agg(F.count(F.lit(1)).alias("tokens"))
+    """Tagger trained on (token, language) and applied to all tokens.
+
+    Tokens are counted by language first; training and tagging share those counts.
+    """
+    rows = annotate.exploded_tokens(documents(spark, folder))
+    counted = rows.groupBy("genre", "word").agg(F.count(F.lit(1)).alias("n"))
+    lexicon, endings = tagging.train_lexicon(counted.withColumnRenamed("genre", "tag"), "n")
+    tagged = tagging.apply_lexicon(counted, lexicon, endings)
+    return tagged.groupBy("genre", "tag").agg(F.sum("n").alias("tokens"))
 
 
 def unseen_word_tags(spark, folder):
@@ -411,7 +415,7 @@ def unseen_word_tags(spark, folder):
         F.inline(F.transform("tokens", lambda w: F.struct(w.alias("word")))), "tag"
     )
     lexicon, endings = tagging.train_lexicon(tagged)
-    words = annotate.token_table(documents(spark, folder)).select("word").distinct()
+    words = annotate.exploded_tokens(documents(spark, folder)).select("word").distinct()
     return tagging.apply_lexicon(words, lexicon, endings)
 
 

@@ -1,5 +1,6 @@
 import zipfile
 
+from textstyle.plans.job import corpus_from_folders
 from textstyle.sources import files
 
 RULES = (("sand", ("sand",)), ("zola", ("zola",)))
@@ -83,3 +84,14 @@ def test_listing_opens_no_file(spark, tmp_path):
     listed = files.list_files(spark, make_folder(tmp_path), "*.txt")
     assert listed.count() == 4
     assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_corpus_from_folders(spark, tmp_path):
+    for genre in ("romantic", "realism"):
+        (tmp_path / genre).mkdir()
+        make_folder(tmp_path / genre)
+    folders = {genre: str(tmp_path / genre) for genre in ("romantic", "realism")}
+    rows = corpus_from_folders(spark, folders, 1, 3, RULES).collect()
+    assert {r.id for r in rows} == {f"{g}_{i}" for g in folders for i in range(3)}
+    assert {r.title for r in rows} == {"sand_1.txt", "hugo.txt", "zola_1.EPUB"}
+    assert all(len(r.text) <= 3 and r.id.startswith(r.genre) for r in rows)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textstyle.functions import web
 from textstyle.operators import corpus, harvest
+from textstyle.plans.job import books_to_fetch
 
 BASE = "http://h.example:81/a/b.html"
 BASES = [BASE, "https://h.example", "https://h.example/", "http://h.example/a/b/c/?x=1#y",
@@ -134,3 +135,13 @@ def test_truncate_label_union(spark, make_corpus):
     with pytest.raises(ValueError):
         corpus.as_corpus(both, id="id")
     assert both.filter(F.length("text") > 7).count() == 0
+
+
+def test_books_to_fetch(spark):
+    urls = [f"https://x/{a}/{i}.txt" for a in ("zola", "hugo") for i in range(4)] * 2
+    links = spark.createDataFrame([(u,) for u in urls], "url string")
+    stored = spark.createDataFrame([("zola_1.txt",), ("zola_1.txt",)], "filename string")
+    rows = books_to_fetch(links, stored, 2).collect()
+    assert {(r.filename, r.already_stored) for r in rows} == {("zola_0.txt", False),
+                                                             ("zola_1.txt", True)}
+    assert len(rows) == 2

@@ -124,9 +124,12 @@ def only_documents(table: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def summary_columns(table: DataFrame, names: Mapping[str, str], digits: int = 2) -> DataFrame:
-    """Rename columns for display and round the floating-point ones."""
+    """Rename columns for display and round the floating-point ones, halves to even."""
+    scale = float(10**digits)
     rounded = [
-        F.round(name, digits).alias(name) if kind in ("double", "float") else F.col(name)
+        (F.rint(F.col(name) * scale) / scale).alias(name)
+        if kind in ("double", "float")
+        else F.col(name)
         for name, kind in table.dtypes
     ]
     return table.select(*rounded).withColumnsRenamed(dict(names))

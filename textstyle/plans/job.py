@@ -1,16 +1,57 @@
-"""The complete analysis of a corpus, written to one output folder."""
+"""From links or stored books to a corpus, and its complete analysis."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from textstyle.functions.web import AUTHOR_RULES, stored_name
+from textstyle.operators.corpus import (
+    attribute_author,
+    cap_per_author,
+    drop_unknown_authors,
+    incremental_split,
+    number_documents,
+    union_corpora,
+)
 from textstyle.operators.dialogue import add_segmentation, dialogue_stats
 from textstyle.operators.lexical import zipf_table
 from textstyle.operators.readability import author_stats, document_metrics
 from textstyle.operators.windows import DEFAULT_CONFIGS, readability_windows
-from textstyle.sources import tables
+from textstyle.sources import files, tables
+
+Rules = Sequence[tuple[str, Sequence[str]]]
+
+
+def books_to_fetch(
+    links: DataFrame, stored: DataFrame, max_books_per_author: int = 5, rules: Rules = AUTHOR_RULES
+) -> DataFrame:
+    """Links (``url``) to books of known authors under the cap, with the file name each is
+    kept under and whether ``stored`` (``filename``) already holds it."""
+    attributed = attribute_author(links.select("url").distinct(), rules=rules)
+    capped = drop_unknown_authors(cap_per_author(attributed, max_books_per_author))
+    return incremental_split(
+        capped.withColumn("filename", stored_name("author", "url")), stored
+    ).select("url", "author", "filename", "already_stored")
+
+
+def corpus_from_folders(
+    spark: SparkSession,
+    folders: Mapping[str, str],
+    max_books_per_author: int | None = 5,
+    max_chars: int | None = 300_000,
+    rules: Rules = AUTHOR_RULES,
+) -> DataFrame:
+    """One corpus out of a folder of books per genre, ids counted from 0 in each genre."""
+    return union_corpora(
+        *[
+            number_documents(
+                files.load_folder(spark, folder, max_books_per_author, max_chars, rules), genre
+            )
+            for genre, folder in folders.items()
+        ]
+    )
 
 
 def run_analysis(

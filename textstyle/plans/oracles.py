@@ -274,8 +274,9 @@ SELECT id, title, author, genre, word_count, sentence_count,
 SELECT author, genre, round(avg_flesch, 6) AS avg_flesch, round(avg_km, 6) AS avg_km,
   round(avg_words, 6) AS avg_words, round(avg_sentences, 6) AS avg_sentences FROM stats""",
     "author_summary_rounded": f"""WITH {_metrics()}, stats AS ({_STATS})
-SELECT author, genre, round(avg_flesch, 2) AS flesch, round(avg_km, 2) AS km,
-  round(avg_words, 2) AS words, round(avg_sentences, 2) AS sentences FROM stats""",
+SELECT author, genre, round_even(avg_flesch * 100, 0) / 100 AS flesch,
+  round_even(avg_km * 100, 0) / 100 AS km, round_even(avg_words * 100, 0) / 100 AS words,
+  round_even(avg_sentences * 100, 0) / 100 AS sentences FROM stats""",
     "complexity_by_author": f"""WITH {_metrics()}, stats AS ({_STATS})
 SELECT author, genre, round(avg_sentences, 6) AS avg_sentences,
   round(avg_words, 6) AS avg_words FROM stats
@@ -374,6 +375,19 @@ named AS (
     AS filename FROM links)
 SELECT DISTINCT link AS url, filename,
   filename IN (SELECT filename FROM named WHERE secure) AS already_stored FROM named""",
+    "books_to_fetch": f"""WITH {_RESOLVED},
+links AS (
+  SELECT DISTINCT resolved AS url, {_HOST_AUTHOR.format('resolved')} AS author FROM resolved
+  WHERE {_TEXT_LINK}),
+capped AS (
+  SELECT url, author, author || '_' || string_split(url, '/')[-1] AS filename FROM links
+  QUALIFY row_number() OVER (PARTITION BY author ORDER BY url) <= 25),
+stored AS (
+  SELECT DISTINCT author || '_' || string_split(resolved, '/')[-1] AS filename FROM (
+    SELECT resolved, {_HOST_AUTHOR.format('resolved')} AS author FROM resolved
+    WHERE {_TEXT_LINK} AND url LIKE 'https:%'))
+SELECT url, author, filename, filename IN (FROM stored) AS already_stored FROM capped
+WHERE author <> 'unknown'""",
     "truncate_union": f"""WITH {_CORPUS}
 SELECT id, author, title, substr(text, 1, 300000) AS text,
   CASE WHEN genre IN ('fr', 'es') THEN 'romantic' ELSE 'realism' END AS genre FROM corpus""",

@@ -19,7 +19,7 @@ from textstyle.operators.readability import (
     document_metrics,
 )
 from textstyle.plans import chartdata
-from textstyle.plans.job import run_analysis
+from textstyle.plans.job import books_to_fetch, run_analysis
 from textstyle.sources import files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -364,17 +364,23 @@ def cap_per_author(spark, folder):
     return corpus.cap_per_author(_attributed(spark, folder), 10)
 
 
+def _named_links(linked):
+    links = harvest.distinct_links(harvest.page_links(linked))
+    return links.withColumn("filename", stored_name(author_of("url", HOST_RULES), "url"))
+
+
 def incremental_split(spark, folder):
     """Links of all pages against files already stored from the https pages."""
     linked = linked_pages(spark, folder)
+    secure = linked.filter(F.col("url").startswith("https:"))
+    return corpus.incremental_split(_named_links(linked), _named_links(secure))
 
-    def named(table):
-        links = harvest.distinct_links(harvest.page_links(table))
-        return links.withColumn("filename", stored_name(author_of("url", HOST_RULES), "url"))
 
-    return corpus.incremental_split(
-        named(linked), named(linked.filter(F.col("url").startswith("https:")))
-    )
+def books_to_fetch_query(spark, folder):
+    """At most 25 links per author of all pages, against the files of the https pages."""
+    linked = linked_pages(spark, folder)
+    secure = linked.filter(F.col("url").startswith("https:"))
+    return books_to_fetch(harvest.page_links(linked), _named_links(secure), 25, HOST_RULES)
 
 
 def truncate_union(spark, folder):
@@ -550,6 +556,7 @@ QUERIES: dict[str, Query] = {
     "known_authors": known_authors,
     "cap_per_author": cap_per_author,
     "incremental_split": incremental_split,
+    "books_to_fetch": books_to_fetch_query,
     "truncate_union": truncate_union,
     "authors_sorted": authors_sorted,
     "document_counts": document_counts,

@@ -53,11 +53,13 @@ def spread(table: DataFrame) -> DataFrame:
 def work_folder(spark: SparkSession) -> str:
     """A new folder for written tables, shared by all executors.
 
-    It lies under ``spark.checkpoint.dir``; only where that is unset, as in tests
-    on one machine, a temporary folder is used.
+    It lies under ``spark.checkpoint.dir``. Only a local session without that
+    setting, as in tests, uses a temporary folder of the machine.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         return tempfile.mkdtemp(prefix="textstyle-")
     return f"{shared.rstrip('/')}/textstyle-{uuid.uuid4().hex}"
 

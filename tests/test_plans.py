@@ -5,6 +5,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from textstyle.operators import corpus, dialogue, harvest, lexical, windows
+from textstyle.plans.registry import book_pages, catalogue_pages
 from textstyle.operators.annotate import annotate, exploded_tokens, token_table
 from textstyle.operators.readability import document_metrics
 
@@ -70,3 +71,43 @@ def test_numbering_joins_without_moving_texts_twice(texts):
 def test_annotation_reads_two_columns(texts):
     plan = plan_of(annotate(texts).select("id", F.size("tokens")))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as they are for tables beyond the broadcast threshold."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize(
+    "build", [windows.first_document_windows, lexical.words_of_representatives]
+)
+def test_representatives_take_one_pass_and_shuffle_reduced_rows(texts, build, no_broadcast):
+    plan = plan_of(build(texts))
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange") == 1
+    assert "Join" not in plan and "partial_min_by" in plan
+    assert "Filter (" not in plan
+
+
+def test_pages_are_reduced_to_links_before_the_join(spark, no_broadcast):
+    plan = plan_of(
+        harvest.catalogue_links(catalogue_pages(spark, DATA), book_pages(spark, DATA))
+    )
+    join = plan.index("SortMergeJoin")
+    assert "Generate" not in plan[:join]
+    assert plan[join:].count("Generate explode") == 2
+
+
+def test_numbering_sorts_texts_once(texts, no_broadcast):
+    harvested = texts.select(
+        "author", "genre", "text", F.col("title").alias("filename"), F.col("title").alias("url")
+    )
+    plan = plan_of(corpus.number_documents(harvested, F.col("genre")))
+    text_side = plan[plan.index("SortMergeJoin"):]
+    text_side = text_side[:text_side.index("FileScan")]
+    assert text_side.count("Exchange") == 1
+    assert text_side.count("- Sort [") + text_side.count(") Sort [") == 1

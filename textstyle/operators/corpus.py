@@ -39,7 +39,7 @@ def number_documents(
     genre = F.lit(genre) if isinstance(genre, str) else genre
     grouped = harvested.select(
         "author", F.col("filename").alias("title"), genre.alias("genre"), "text", "url",
-        F.substring(F.md5("url"), 1, digits).alias("_group"),
+        F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, digits).alias("_group"),
     )
     sizes = grouped.groupBy("genre", "_group").agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.partitionBy("genre").orderBy("_group").rowsBetween(
@@ -48,9 +48,11 @@ def number_documents(
     firsts = sizes.select(
         "genre", "_group", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_first")
     )
+    # Numbered before the join, which then finds the rows partitioned and sorted as it needs.
     within = Window.partitionBy("genre", "_group").orderBy("url")
-    number = F.col("_first") + F.row_number().over(within) - 1
-    return grouped.join(firsts, ["genre", "_group"]).select(
+    numbered = grouped.withColumn("_number", F.row_number().over(within))
+    number = F.col("_first") + F.col("_number") - 1
+    return numbered.join(firsts, ["genre", "_group"]).select(
         F.concat("genre", F.lit("_"), number.cast("string")).alias("id"),
         "author", "title", "genre", "text",
     )

@@ -75,7 +75,8 @@ def catalogue_links(
     """Both hops: first link of each labelled table row on the catalogue's book pages.
 
     The book pages are reduced to their links before the join, so no page text
-    is shuffled, and each entry is joined once because entries are distinct.
+    is shuffled. Entries are distinct, so the inner join repeats nothing; a semi
+    join would be pushed below the reduction and move whole pages.
     """
     rows = F.regexp_extract_all("html", F.lit(row_pattern), F.lit(0))
     labelled = F.filter(rows, lambda row: row_text(row).contains(label))
@@ -83,4 +84,4 @@ def catalogue_links(
     absolute = F.transform(found, lambda href: resolve_url("url", href))
     offered = pages.select(F.col("url").alias("book_url"), F.explode(absolute).alias("url"))
     entries = catalogue_entries(catalogue, path).withColumnRenamed("url", "book_url")
-    return offered.join(entries, "book_url", "left_semi")
+    return offered.join(entries, "book_url")

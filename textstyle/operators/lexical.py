@@ -49,6 +49,15 @@ def word_frequencies(corpus: DataFrame, stopwords: Iterable[str] = STOPWORDS) ->
     return _sorted_words(corpus, stopwords).select(*KEYS, F.inline(_run_counts()))
 
 
+def _with_logs(ranked: DataFrame) -> DataFrame:
+    return ranked.withColumns(
+        {
+            "log_rank": F.log10(F.col("rank").cast("double")),
+            "log_freq": F.log10(F.col("frequency").cast("double")),
+        }
+    )
+
+
 def zipf_table(
     corpus: DataFrame,
     top_n: int = 200,
@@ -64,29 +73,28 @@ def zipf_table(
     to False when one id is spread over several rows, such as chapters: counts
     are then added up across rows with a group-by and ranked with a window.
     """
-    if one_row_per_id:
-        ranked = _ranked_in_row(corpus, top_n, stopwords)
-    else:
-        ranked = _ranked_across_rows(corpus, top_n, stopwords)
-    return ranked.withColumns(
-        {
-            "log_rank": F.log10(F.col("rank").cast("double")),
-            "log_freq": F.log10(F.col("frequency").cast("double")),
-        }
-    )
+    if not one_row_per_id:
+        return _with_logs(_ranked_across_rows(corpus, top_n, stopwords))
+    limited = _limited_counts(corpus, top_n, stopwords)
+    return _with_logs(limited.select(*KEYS, F.inline(_ranked_words())))
 
 
-def _ranked_in_row(corpus: DataFrame, top_n: int, stopwords: Iterable[str]) -> DataFrame:
+def _limited_counts(corpus: DataFrame, top_n: int, stopwords: Iterable[str]) -> DataFrame:
+    """``_counts`` of a document with its ``top_n`` highest frequencies, descending, and the
+    least frequency that is still ranked."""
     counted = _sorted_words(corpus, stopwords).select(*KEYS, _run_counts().alias("_counts"))
     descending = F.sort_array(F.transform("_counts", lambda e: e["frequency"]), asc=False)
-    ordered = counted.select(*KEYS, "_counts", descending.alias("_frequencies"))
-    least = F.coalesce(F.get("_frequencies", F.lit(top_n - 1)), F.lit(1))
-    limited = ordered.select(
-        *KEYS, "_counts", F.slice("_frequencies", 1, top_n).alias("_frequencies"),
-        least.alias("_least"),
+    ordered = counted.select(
+        *KEYS, "_counts", F.slice(descending, 1, top_n).alias("_frequencies")
     )
+    least = F.coalesce(F.get("_frequencies", F.lit(top_n - 1)), F.lit(1))
+    return ordered.withColumn("_least", least)
+
+
+def _ranked_words() -> Column:
+    """Array of (word, frequency, rank); a rank is the first place of its frequency."""
     kept = F.filter("_counts", lambda e: e["frequency"] >= F.col("_least"))
-    rows = F.transform(
+    return F.transform(
         kept,
         lambda e: F.struct(
             e["word"].alias("word"),
@@ -94,7 +102,6 @@ def _ranked_in_row(corpus: DataFrame, top_n: int, stopwords: Iterable[str]) -> D
             F.array_position("_frequencies", e["frequency"]).cast("int").alias("rank"),
         ),
     )
-    return limited.select(*KEYS, F.inline(rows))
 
 
 def _ranked_across_rows(corpus: DataFrame, top_n: int, stopwords: Iterable[str]) -> DataFrame:
@@ -129,3 +136,33 @@ def representative_words(zipf: DataFrame, head: int = 50) -> DataFrame:
         .filter(F.col("_position") <= head)
         .drop("_position")
     )
+
+
+def words_of_representatives(
+    corpus: DataFrame, head: int = 50, stopwords: Iterable[str] = STOPWORDS
+) -> DataFrame:
+    """``representative_words`` straight from a corpus, in one pass over the texts.
+
+    A document is reduced to its ``head`` words and authors to their best
+    document, partially before the shuffle.
+    """
+    limited = _limited_counts(corpus, head, stopwords)
+    by_frequency = F.transform(
+        _ranked_words(),
+        lambda e: F.struct(
+            (-e["frequency"]).alias("_minus"), e["word"].alias("word"),
+            e["frequency"].alias("frequency"), e["rank"].alias("rank"),
+        ),
+    )
+    reduced = limited.select(
+        *KEYS, F.slice(F.sort_array(by_frequency), 1, head).alias("_head"),
+        (-F.get("_frequencies", F.lit(0))).alias("_minus"),
+    )
+    order = F.when(F.col("_minus").isNotNull(), F.struct("_minus", "id"))
+    best = reduced.groupBy("author").agg(
+        F.min_by(F.struct("id", "genre", "title", "_head"), order).alias("_best")
+    )
+    rows = F.transform("_best._head", lambda e: F.struct(e["word"], e["frequency"], e["rank"]))
+    return _with_logs(
+        best.select("_best.id", "author", "_best.genre", "_best.title", F.inline(rows))
+    )

@@ -16,6 +16,8 @@ from textstyle.functions.scores import flesch, kandel_moles, variation
 from textstyle.functions.syllables import token_syllables
 from textstyle.operators.annotate import annotated
 
+KEYS = ["id", "author", "genre", "title"]
+
 # Fixed values: (window size, step) in tokens.
 DEFAULT_CONFIGS = ((500, 250), (1000, 500))
 
@@ -49,6 +51,27 @@ def _windows(syllables: str, size: int, step: int, mode: str, min_fill: float) -
     return F.transform(starts, window)
 
 
+def _check(mode: str) -> None:
+    if mode not in ("tumbling", "sliding"):
+        raise ValueError(f"mode must be 'tumbling' or 'sliding', not {mode!r}")
+
+
+def _with_syllables(corpus: DataFrame, hyphens: str) -> DataFrame:
+    return annotated(corpus).select(
+        *KEYS, token_syllables("tokens", hyphens).alias("_syllables")
+    )
+
+
+def _scored(measured: DataFrame, words_per_sentence: float) -> DataFrame:
+    sentence_count = F.col("word_count") / F.lit(float(words_per_sentence))
+    counts = ("word_count", "sentence_count", "syllable_count")
+    return measured.withColumn("sentence_count", sentence_count).select(
+        *KEYS, "window_index", "word_count", "syllable_count", "sentence_count",
+        flesch(*counts).alias("flesch"), kandel_moles(*counts).alias("km"),
+        "window_size", "step",
+    )
+
+
 def readability_windows(
     corpus: DataFrame,
     configs: Sequence[tuple[int, int]] = DEFAULT_CONFIGS,
@@ -64,23 +87,42 @@ def readability_windows(
     windows overlap when step < size. Windows shorter than ``min_fill * size``
     are left out. Sentences are estimated from ``words_per_sentence``.
     """
-    if mode not in ("tumbling", "sliding"):
-        raise ValueError(f"mode must be 'tumbling' or 'sliding', not {mode!r}")
-    counted = annotated(corpus).select(
-        "id", "author", "genre", "title",
-        token_syllables("tokens", hyphens).alias("_syllables"),
-    )
+    _check(mode)
     windows = F.concat(
         *[_windows("_syllables", size, step, mode, min_fill) for size, step in configs]
     )
-    measured = counted.select("id", "author", "genre", "title", F.inline(windows))
-    sentence_count = F.col("word_count") / F.lit(float(words_per_sentence))
-    counts = ("word_count", "sentence_count", "syllable_count")
-    return measured.withColumn("sentence_count", sentence_count).select(
-        "id", "author", "genre", "title", "window_index", *("word_count", "syllable_count"),
-        "sentence_count", flesch(*counts).alias("flesch"), kandel_moles(*counts).alias("km"),
-        "window_size", "step",
+    measured = _with_syllables(corpus, hyphens).select(*KEYS, F.inline(windows))
+    return _scored(measured, words_per_sentence)
+
+
+def first_document_windows(
+    corpus: DataFrame,
+    size: int = 500,
+    step: int = 250,
+    mode: str = "tumbling",
+    min_fill: float = 0.5,
+    words_per_sentence: float = 20.0,
+    hyphens: str = "count",
+) -> DataFrame:
+    """Windows of each author's first document (smallest id) that has any.
+
+    One pass over the texts: a document is reduced to its array of windows and
+    authors to their first array, partially before the shuffle, so neither texts
+    nor the windows of other documents travel.
+    """
+    _check(mode)
+    reduced = _with_syllables(corpus, hyphens).select(
+        *KEYS, _windows("_syllables", size, step, mode, min_fill).alias("_windows")
+    )
+    has_any = F.when(F.size("_windows") > 0, F.col("id"))
+    first = reduced.groupBy("author").agg(
+        F.min_by(F.struct("id", "genre", "title", "_windows"), has_any).alias("_first")
+    )
+    rows = first.select(
+        "_first.id", "author", "_first.genre", "_first.title",
+        F.inline(F.filter("_first._windows", lambda window: window.isNotNull())),
     )
+    return _scored(rows, words_per_sentence)
 
 
 def full_windows(corpus: DataFrame, size: int = 500, step: int = 250) -> DataFrame:

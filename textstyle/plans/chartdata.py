@@ -11,6 +11,7 @@ from textstyle.operators.dialogue import dialogue_stats
 from textstyle.operators.lexical import (
     representative_documents,
     representative_words,
+    words_of_representatives,
     zipf_curve,
 )
 from textstyle.operators.readability import (
@@ -19,6 +20,7 @@ from textstyle.operators.readability import (
     complexity_by_author,
     with_band,
 )
+from textstyle.operators.windows import first_document_windows
 
 # Display names of the author summary.
 SUMMARY_NAMES = {
@@ -70,6 +72,11 @@ def window_curves(windows: DataFrame, window_size: int = 500) -> DataFrame:
     return sized.orderBy("author", "window_index")
 
 
+def corpus_curves(corpus: DataFrame, window_size: int = 500, step: int = 250) -> DataFrame:
+    """The same curves straight from a corpus."""
+    return window_curves(first_document_windows(corpus, window_size, step), window_size)
+
+
 def sample_curves(windows: DataFrame, window_size: int = 500) -> DataFrame:
     """Windows of the first document of each author, from a stored window table."""
     chosen = first_documents(windows, window_size)
@@ -86,5 +93,11 @@ def characteristic_words(zipf: DataFrame, head: int = 50) -> DataFrame:
     return representative_words(chosen, head).orderBy(F.desc("frequency"), "author", "word")
 
 
+def corpus_characteristic_words(corpus: DataFrame, head: int = 50) -> DataFrame:
+    """The same words straight from a corpus."""
+    words = words_of_representatives(corpus, head)
+    return words.orderBy(F.desc("frequency"), "author", "word")
+
+
 def dialogue_bars(counted: DataFrame) -> DataFrame:
     return dialogue_stats(counted).select("author", "genre", "avg_dialog_ratio")

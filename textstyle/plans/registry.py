@@ -232,11 +232,7 @@ def window_stability(spark, folder):
 
 
 def sliding_curve_sample(spark, folder):
-    # Windows are built twice, the second time for the chosen documents only.
-    texts, configs = documents(spark, folder), ((500, 250),)
-    chosen = chartdata.first_documents(windows.readability_windows(texts, configs))
-    selected = corpus.only_documents(texts, chosen)
-    return rounded(chartdata.window_curves(windows.readability_windows(selected, configs)))
+    return rounded(chartdata.corpus_curves(documents(spark, folder)))
 
 
 def stored_sliding_curves(spark, folder):
@@ -270,11 +266,7 @@ def zipf_across_blocks(spark, folder):
 
 
 def zipf_representative_words(spark, folder):
-    # The first pass needs rank 1 only; full word tables are made for the chosen documents.
-    texts = documents(spark, folder)
-    chosen = lexical.representative_documents(lexical.zipf_table(texts, top_n=1))
-    selected = corpus.only_documents(texts, chosen)
-    return rounded(lexical.representative_words(lexical.zipf_table(selected)))
+    return rounded(chartdata.corpus_characteristic_words(documents(spark, folder)))
 
 
 def stored_characteristic_words(spark, folder):

@@ -91,3 +91,7 @@ def test_whole_analysis(spark, make_corpus, tmp_path):
                                     "avg_sentences"),
     )
     assert spark.read.option("header", True).csv(paths["segmentation"]).first().nb_texts == "3"
+    windows = readability_windows(corpus)
+    same(windows, tables.read_parquet(spark, paths["sliding_readability"], windows.schema))
+    zipf = zipf_table(corpus)
+    same(zipf, tables.read_csv(spark, paths["zipf"], zipf.schema))

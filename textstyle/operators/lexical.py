@@ -14,21 +14,19 @@ KEYS = ["id", "author", "genre", "title"]
 
 
 def _sorted_words(corpus: DataFrame, stopwords: Iterable[str]) -> DataFrame:
-    """One row per document with its words sorted and the last index of each run.
+    """Add ``_words``, the document's words sorted, and ``_ends``, the last index of each run.
 
     Equal words are adjacent after sorting, so counting them needs no shuffle and
     the text is read once. Each step is its own projection because later ones look
     back into the arrays of earlier ones.
     """
-    words = annotated(corpus).select(
-        *KEYS, F.sort_array(normalised_words("tokens", stopwords)).alias("_words")
+    words = annotated(corpus).withColumn(
+        "_words", F.sort_array(normalised_words("tokens", stopwords))
     )
     last_of_run = F.transform(
         "_words", lambda word, i: F.when(~word.eqNullSafe(F.get("_words", i + 1)), i)
     )
-    return words.select(
-        *KEYS, "_words", F.filter(last_of_run, lambda i: i.isNotNull()).alias("_ends")
-    )
+    return words.withColumn("_ends", F.filter(last_of_run, lambda i: i.isNotNull()))
 
 
 def _run_counts() -> Column:
@@ -79,14 +77,27 @@ def zipf_table(
     return _with_logs(limited.select(*KEYS, F.inline(_ranked_words())))
 
 
+def with_ranked_words(
+    corpus: DataFrame, top_n: int = 200, stopwords: Iterable[str] = STOPWORDS
+) -> DataFrame:
+    """Add ``ranked_words``: the rows of ``zipf_table`` as an array, without logs."""
+    limited = _limited_counts(corpus, top_n, stopwords)
+    return limited.withColumn("ranked_words", _ranked_words()).drop(
+        "_words", "_ends", "_counts", "_frequencies", "_least"
+    )
+
+
+def expand_ranked_words(profiles: DataFrame) -> DataFrame:
+    """``zipf_table`` rows out of stored ``ranked_words``."""
+    return _with_logs(profiles.select(*KEYS, F.inline("ranked_words")))
+
+
 def _limited_counts(corpus: DataFrame, top_n: int, stopwords: Iterable[str]) -> DataFrame:
-    """``_counts`` of a document with its ``top_n`` highest frequencies, descending, and the
-    least frequency that is still ranked."""
-    counted = _sorted_words(corpus, stopwords).select(*KEYS, _run_counts().alias("_counts"))
+    """Add ``_counts`` of the document's words, its ``top_n`` highest frequencies, descending,
+    and the least frequency that is still ranked."""
+    counted = _sorted_words(corpus, stopwords).withColumn("_counts", _run_counts())
     descending = F.sort_array(F.transform("_counts", lambda e: e["frequency"]), asc=False)
-    ordered = counted.select(
-        *KEYS, "_counts", F.slice(descending, 1, top_n).alias("_frequencies")
-    )
+    ordered = counted.withColumn("_frequencies", F.slice(descending, 1, top_n))
     least = F.coalesce(F.get("_frequencies", F.lit(top_n - 1)), F.lit(1))
     return ordered.withColumn("_least", least)
 

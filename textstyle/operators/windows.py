@@ -57,8 +57,15 @@ def _check(mode: str) -> None:
 
 
 def _with_syllables(corpus: DataFrame, hyphens: str) -> DataFrame:
-    return annotated(corpus).select(
-        *KEYS, token_syllables("tokens", hyphens).alias("_syllables")
+    return annotated(corpus).withColumn("_syllables", token_syllables("tokens", hyphens))
+
+
+def _all_windows(
+    configs: Sequence[tuple[int, int]], mode: str, min_fill: float
+) -> Column:
+    _check(mode)
+    return F.concat(
+        *[_windows("_syllables", size, step, mode, min_fill) for size, step in configs]
     )
 
 
@@ -87,14 +94,28 @@ def readability_windows(
     windows overlap when step < size. Windows shorter than ``min_fill * size``
     are left out. Sentences are estimated from ``words_per_sentence``.
     """
-    _check(mode)
-    windows = F.concat(
-        *[_windows("_syllables", size, step, mode, min_fill) for size, step in configs]
-    )
+    windows = _all_windows(configs, mode, min_fill)
     measured = _with_syllables(corpus, hyphens).select(*KEYS, F.inline(windows))
     return _scored(measured, words_per_sentence)
 
 
+def with_windows(
+    corpus: DataFrame,
+    configs: Sequence[tuple[int, int]] = DEFAULT_CONFIGS,
+    mode: str = "tumbling",
+    min_fill: float = 0.5,
+    hyphens: str = "count",
+) -> DataFrame:
+    """Add ``windows``: the rows of ``readability_windows`` as an array, without scores."""
+    windows = _all_windows(configs, mode, min_fill)
+    return _with_syllables(corpus, hyphens).withColumn("windows", windows).drop("_syllables")
+
+
+def expand_windows(profiles: DataFrame, words_per_sentence: float = 20.0) -> DataFrame:
+    """``readability_windows`` rows out of stored ``windows``."""
+    return _scored(profiles.select(*KEYS, F.inline("windows")), words_per_sentence)
+
+
 def first_document_windows(
     corpus: DataFrame,
     size: int = 500,
@@ -110,9 +131,8 @@ def first_document_windows(
     authors to their first array, partially before the shuffle, so neither texts
     nor the windows of other documents travel.
     """
-    _check(mode)
     reduced = _with_syllables(corpus, hyphens).select(
-        *KEYS, _windows("_syllables", size, step, mode, min_fill).alias("_windows")
+        *KEYS, _all_windows([(size, step)], mode, min_fill).alias("_windows")
     )
     has_any = F.when(F.size("_windows") > 0, F.col("id"))
     first = reduced.groupBy("author").agg(

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from textstyle.functions.web import AUTHOR_RULES, stored_name
+from textstyle.operators.annotate import annotate
 from textstyle.operators.corpus import (
     attribute_author,
     cap_per_author,
@@ -16,9 +17,9 @@ from textstyle.operators.corpus import (
     union_corpora,
 )
 from textstyle.operators.dialogue import add_segmentation, dialogue_stats
-from textstyle.operators.lexical import zipf_table
+from textstyle.operators.lexical import expand_ranked_words, with_ranked_words
 from textstyle.operators.readability import author_stats, document_metrics
-from textstyle.operators.windows import DEFAULT_CONFIGS, readability_windows
+from textstyle.operators.windows import DEFAULT_CONFIGS, expand_windows, with_windows
 from textstyle.sources import files, tables
 
 Rules = Sequence[tuple[str, Sequence[str]]]
@@ -62,8 +63,10 @@ def run_analysis(
 ) -> dict[str, str]:
     """Write all six tables and return their paths.
 
-    The author tables are computed from the stored annotated corpus, a narrow
-    table, so texts are annotated once for them and nothing has to stay cached.
+    Texts are read twice: once for the annotated table, once for windows and words
+    together, which are kept as arrays in a narrow intermediate table and expanded
+    from there. The author tables come from the stored annotated table. Nothing is
+    cached, so a lost executor costs its tasks only.
     """
     spark = corpus.sparkSession
     paths = {"raw_corpus": tables.write_raw_corpus(corpus, folder)}
@@ -72,10 +75,15 @@ def run_analysis(
     measured = tables.light_corpus(add_segmentation(document_metrics(raw)))
     paths["annotated_corpus"] = tables.write_annotated_corpus(measured, folder)
     stored = tables.read_parquet(spark, paths["annotated_corpus"], measured.schema)
-
     paths["stylometry"] = tables.write_author_stats(author_stats(stored), folder)
     paths["segmentation"] = tables.write_dialogue_stats(dialogue_stats(stored), folder)
-    windows = readability_windows(raw, configs)
-    paths["sliding_readability"] = tables.write_windows(windows, folder)
-    paths["zipf"] = tables.write_zipf(zipf_table(raw, top_n), folder)
+
+    profiled = with_ranked_words(with_windows(annotate(raw), configs), top_n).select(
+        "id", "author", "genre", "title", "windows", "ranked_words"
+    )
+    path = f"{tables.work_folder(spark)}/profiles"
+    profiled.write.parquet(path)
+    profiles = tables.read_parquet(spark, path, profiled.schema)
+    paths["sliding_readability"] = tables.write_windows(expand_windows(profiles), folder)
+    paths["zipf"] = tables.write_zipf(expand_ranked_words(profiles), folder)
     return paths

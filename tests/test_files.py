@@ -95,3 +95,12 @@ def test_corpus_from_folders(spark, tmp_path):
     assert {r.id for r in rows} == {f"{g}_{i}" for g in folders for i in range(3)}
     assert {r.title for r in rows} == {"sand_1.txt", "hugo.txt", "zola_1.EPUB"}
     assert all(len(r.text) <= 3 and r.id.startswith(r.genre) for r in rows)
+
+
+def test_names_with_glob_characters(spark, tmp_path):
+    names = {"sand [1].txt", "sand {a,b}.txt", "sand é?.txt", "zola*.txt"}
+    for name in names:
+        (tmp_path / name).write_text(name)
+    for cap in (None, 5):
+        rows = files.load_folder(spark, str(tmp_path), cap, None, RULES).collect()
+        assert {(r.filename, r.text) for r in rows} == {(name, name) for name in names}

@@ -28,7 +28,7 @@ def as_corpus(table: DataFrame, **columns: Column | str) -> DataFrame:
 def number_documents(
     harvested: DataFrame, genre: str | Column, digits: int = NUMBERING_DIGITS
 ) -> DataFrame:
-    """Corpus from harvested files, with id ``<genre>_<i>`` counted from 0 per genre.
+    """Corpus from harvested files, with id ``<genre>_<i>`` counted from 0 per genre (not NULL).
 
     Numbers are dense and repeatable: files are ordered by the first ``digits``
     hexadecimal digits of the MD5 of their url, then by url. The digits cut each

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import posixpath
+import re
 import xml.etree.ElementTree as ElementTree
 import zipfile
 from collections.abc import Sequence
@@ -51,7 +52,8 @@ def _capped_files(
     # An author is one of the rules' names or unknown, so this many paths at most.
     bound = max_books * (len({author for author, _ in rules}) + 1)
     if bound <= MAX_LISTED_PATHS:
-        paths = [row.path for row in kept.collect()]
+        # Glob characters in a name must stand for themselves when it is loaded as a path.
+        paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", row.path) for row in kept.collect()]
         return reader.load(paths) if paths else reader.load(folder).limit(0)
     return reader.load(folder).join(kept, "path", "left_semi")
 

@@ -39,6 +39,24 @@ SELECT doc_id, size, source_size, target,
 FROM sized JOIN rated ON sized.source IS NOT DISTINCT FROM rated.source
 """
 
+OP2_TOP_K = r"""
+WITH usable AS (
+  SELECT vec_id::BIGINT AS vec_id,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+    AND len(q.v) = len(c.v)
+)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank
+  FROM pairs)
+WHERE rank <= 5
+"""
+
 # The prefix filter with the tokens in the order of their exact counts.
 OP9_LINE_DEDUP = r"""
 WITH docs AS (
@@ -83,5 +101,6 @@ FROM docs d LEFT JOIN results r USING (doc_id)
 
 ORACLES: dict[str, str] = {
     "op1_mixing": OP1_MIXING,
+    "op2_top_k": OP2_TOP_K,
     "op9_line_dedup": OP9_LINE_DEDUP,
 }

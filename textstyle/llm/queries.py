@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textstyle.llm import line_dedup, mixing, url_filter
+from textstyle.llm import line_dedup, mixing, neighbours, packing, topk, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,18 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(_table(spark, folder, "embeddings"))
+
+
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), with_ids=False)
+
+
+def op7_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, folder, "embeddings"))
+
+
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = _table(spark, folder, "pages").select("page_id", "url")
     return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -32,5 +44,6 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_mixing, op8_url_filter, op9_line_dedup)
+    query.__name__: query
+    for query in (op1_mixing, op2_top_k, op3_packing, op7_nearest, op8_url_filter, op9_line_dedup)
 }

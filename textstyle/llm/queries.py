@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textstyle.llm import line_dedup, mixing, neighbours, packing, topk, url_filter
+from textstyle.llm import line_dedup, mixing, near_dedup, neighbours, packing, topk, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,7 +43,14 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.classify(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_mixing, op2_top_k, op3_packing, op7_nearest, op8_url_filter, op9_line_dedup)
+    for query in (
+        op1_mixing, op2_top_k, op3_packing, op7_nearest, op8_url_filter, op9_line_dedup,
+        op10_near_dedup,
+    )
 }

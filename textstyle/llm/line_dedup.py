@@ -4,8 +4,7 @@ A line is its set of words. It is removed when a line before it, in an earlier d
 higher up in its own, has a Jaccard similarity of ``SIMILAR`` or more. The join:
 
 1. Equal sets become one row with the first place of the set.
-2. Tokens are ordered from rare to frequent (frequent ones by a corpus count, the others
-   by length: longer words are rarer). Two similar sets share one of the first
+2. Tokens are ordered from rare to frequent, told apart by a count over the corpus. Two similar sets share one of the first
    n - ceil(t n) + 1 tokens of each: the prefix filter. Any order of the tokens is exact.
 3. Sets that share a prefix token are compared when length filter, positional filter and
    a filter on 64-bit marks of their tokens let them pass. Short lists of a token are
@@ -26,12 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textstyle.llm.common import SPACES, settle, words
+from textstyle.llm.common import SPACES, settle
 
 # Similarity as a fraction: 4/5.
 OVER, UNDER = 4, 5
 # Frequent tokens that are told from others; a documented size, not a cut of the data.
-FREQUENT = 10_000
+FREQUENT = 20_000
 # A token's list up to this length is joined with itself at once.
 SHORT_LIST = 64
 NO_ID = -(2**63)
@@ -43,53 +42,53 @@ def least_overlap(sizes: Column) -> Column:
     return F.floor((sizes * OVER + OVER + UNDER - 1) / (OVER + UNDER)).cast("int")
 
 
-def frequent_tokens(docs: DataFrame, number: int = FREQUENT) -> list[str]:
-    """About the ``number`` most frequent tokens of all texts, from a sketch of fixed size."""
+def _tokens(text: Column) -> Column:
+    return F.array_remove(F.split(text, SPACES), "")
+
+
+def frequent_tokens(docs: DataFrame, number: int = FREQUENT) -> list[int]:
+    """Hashes of about the ``number`` most frequent tokens, from a sketch of fixed size."""
     tokens = docs.select(F.explode(F.split("text", SPACES)).alias("token"))
-    top = tokens.agg(F.expr(f"approx_top_k(token, {number}, {8 * number})").alias("top")).first()["top"]
-    return [row["item"] for row in top or [] if row["item"]]
+    top = tokens.select(F.hash("token").alias("token")).agg(
+        F.expr(f"approx_top_k(token, {number}, {4 * number})").alias("top")
+    ).first()["top"]
+    return [row["item"] for row in top or []]
 
 
-def _lines(docs: DataFrame, frequent: list[str]) -> DataFrame:
+def _lines(docs: DataFrame, frequent: list[int]) -> DataFrame:
     """A row per line with words: place, number of distinct tokens, prefix, marks.
 
-    A token's key sorts rare tokens first: not frequent, long, then by hash.
+    A token stands as its hash of four bytes: tokens that share one meet more often than
+    they should, never less. Those outside ``frequent`` come first, each part by hash.
     """
-    def key(token: Column) -> Column:
-        often = token.isin(frequent) if frequent else F.lit(False)
-        length = F.least(F.char_length(token), F.lit(63))
-        return (
-            F.shiftleft(often.cast("long"), 62)
-            .bitwiseOR(F.shiftleft((63 - length).cast("long"), 56))
-            .bitwiseOR(F.shiftrightunsigned(F.xxhash64(token), 8))
-        )
-
     line = docs.select(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"),
         F.xxhash64("text").alias("tag"),
         F.posexplode(F.split("text", "\n")).alias("line", "content"),
     )
-    keyed = line.select(
-        "doc", "tag", "line",
-        F.sort_array(F.array_distinct(F.transform(words(F.col("content")), key))).alias("keys"),
-    ).filter(F.size("keys") > 0)
-    size = F.size("keys")
-    prefix = size - F.floor((size * OVER + UNDER - 1) / UNDER).cast("int") + 1
-    return keyed.select(
-        F.struct("doc", "line", "tag").alias("place"),
-        F.xxhash64("keys").alias("set"),
-        size.alias("n"),
-        # Four bytes are enough to meet; what meets is verified on the words.
-        F.transform(F.slice("keys", F.lit(1), prefix), lambda k: F.hash(k))
-        .alias("prefix"),
-        F.aggregate(
-            "keys", F.lit(0).cast("long"),
-            lambda seen, k: seen.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))),
-        ).alias("marks"),
+    tokens = line.select(
+        "doc", "tag", "line", F.array_distinct(_tokens(F.col("content"))).alias("tokens")
+    ).filter(F.size("tokens") > 0)
+    hashed = tokens.select(
+        "doc", "tag", "line", F.size("tokens").alias("n"),
+        F.xxhash64(F.array_sort("tokens")).alias("set"),
+        F.sort_array(F.transform("tokens", lambda token: F.hash(token))).alias("hashes"),
+    )
+    listed = ", ".join(map(str, frequent)) or "NULL"
+    often = F.expr(f"filter(hashes, h -> coalesce(h IN ({listed}), false))")
+    rare = F.expr(f"filter(hashes, h -> NOT coalesce(h IN ({listed}), false))")
+    ordered = F.concat(rare, often)
+    prefix = F.col("n") - F.floor((F.col("n") * OVER + UNDER - 1) / UNDER).cast("int") + 1
+    return hashed.select(
+        F.struct("doc", "line", "tag").alias("place"), "set", "n",
+        F.slice(ordered, F.lit(1), prefix).alias("prefix"),
+        # The shift takes the hash modulo 64.
+        F.aggregate("hashes", F.lit(0).cast("long"), lambda seen, h: seen.bitwiseOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), h))).alias("marks"),
     )
 
 
-def first_places(docs: DataFrame, frequent: list[str]) -> DataFrame:
+def first_places(docs: DataFrame, frequent: list[int]) -> DataFrame:
     """Distinct sets: first place, size, prefix and marks."""
     return (
         _lines(docs, frequent)
@@ -99,28 +98,55 @@ def first_places(docs: DataFrame, frequent: list[str]) -> DataFrame:
     )
 
 
+ENTRY = ("doc", "line", "n", "marks", "at")
+
+
 def _may_match(a: str, b: str) -> Column:
-    """Length, positional and mark filter for two entries of one token's list."""
-    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    """Whether entry ``a`` of a token's list stands before ``b`` and the two pass the
+    length, the positional and the mark filter."""
+    na, nb = F.col(f"{a}_n"), F.col(f"{b}_n")
     need = least_overlap(na + nb)
-    left = 1 + F.least(na - F.col(f"{a}.at"), nb - F.col(f"{b}.at"))
-    apart = F.bit_count(F.col(f"{a}.marks").bitwiseXOR(F.col(f"{b}.marks")))
+    left = 1 + F.least(na - F.col(f"{a}_at"), nb - F.col(f"{b}_at"))
+    apart = F.bit_count(F.col(f"{a}_marks").bitwiseXOR(F.col(f"{b}_marks")))
+    before = (F.col(f"{a}_doc") < F.col(f"{b}_doc")) | (
+        (F.col(f"{a}_doc") == F.col(f"{b}_doc")) & (F.col(f"{a}_line") < F.col(f"{b}_line"))
+    )
     return (
-        (na * UNDER >= nb * OVER) & (nb * UNDER >= na * OVER)
+        before & (na * UNDER >= nb * OVER) & (nb * UNDER >= na * OVER)
         & (left >= need) & (apart <= na + nb - 2 * need)
     )
 
 
-def _before(a: str, b: str) -> Column:
-    return F.struct(f"{a}.doc", f"{a}.line") < F.struct(f"{b}.doc", f"{b}.line")
+def _as(entries: DataFrame, side: str) -> DataFrame:
+    return entries.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ENTRY])
 
 
 PAIR = ("a_doc", "a_line", "b_doc", "b_line")
-
-
-def _pair(a: str, b: str) -> list[Column]:
-    return [F.col(f"{a}.doc").alias("a_doc"), F.col(f"{a}.line").alias("a_line"),
-            F.col(f"{b}.doc").alias("b_doc"), F.col(f"{b}.line").alias("b_line")]
+# Documents with candidate lines are marked in a bitmap of this many bits, a filter of
+# fixed size ahead of the join that finds them.
+BITS, BUCKET_BITS = 1 << 22, 1 << 15
+
+
+def _bit(doc: Column) -> Column:
+    return F.pmod(F.xxhash64(doc), F.lit(BITS)) + 1
+
+
+def _marked(texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """The ``texts`` whose document is in ``docs``, and few others."""
+    bit = _bit(F.col("doc"))
+    bitmaps = docs.select(
+        F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("position")
+    ).groupBy("bucket").agg(F.bitmap_construct_agg("position").alias("bitmap"))
+    position = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.call_function(
+        "substring", F.col("bitmap"), (F.floor(position / 8) + 1).cast("int"), F.lit(1)
+    )), 16, 10).cast("int")
+    hit = F.call_function("shiftright", byte, (position % 8).cast("int")).bitwiseAND(1) == 1
+    # At most BITS / BUCKET_BITS rows of 4 KB: 512 KB.
+    return (
+        texts.withColumn("bucket", F.bitmap_bucket_number(bit))
+        .join(F.broadcast(bitmaps), "bucket").filter(hit).select(*texts.columns)
+    )
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -135,11 +161,11 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("tag"), "text"
     )
     contents = (
-        texts.join(needed, "doc")
+        _marked(texts, needed).join(needed, "doc")
         .select("doc", "tag", "lines", F.split("text", "\n").alias("parts"))
         .select("doc", "tag", F.explode("lines").alias("line"), "parts")
         .select("doc", "tag", "line",
-                F.array_distinct(words(F.get("parts", F.col("line")))).alias("tokens"))
+                F.array_distinct(_tokens(F.get("parts", F.col("line")))).alias("tokens"))
     )
     contents = settle(contents, "line-contents")
 
@@ -163,40 +189,35 @@ def near_lines(firsts: DataFrame, docs: DataFrame) -> DataFrame:
         "doc", "line", "n", "marks", F.posexplode("prefix").alias("place", "token")
     ).withColumn("at", F.col("place") + 1).drop("place")
     by_token = Window.partitionBy("token")
+    counted = entries.withColumn("length", F.count("*").over(by_token)).filter("length > 1")
+    short = counted.filter(F.col("length") <= SHORT_LIST)
+    joined = _as(short, "a").join(_as(short, "b"), "token").filter(_may_match("a", "b"))
+    long = counted.filter(F.col("length") > SHORT_LIST)
     in_order = by_token.orderBy("doc", "line")
-    entry = F.struct("doc", "line", "n", "marks", "at")
-    lists = (
-        entries.withColumn("length", F.count("*").over(by_token))
-        .withColumn("entry", entry)
-        .withColumn("head", F.first("entry").over(
-            in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("previous", F.lag("entry").over(in_order))
-        .filter("length > 1")
-        .select("token", "length", "entry", "head", "previous")
-    )
-    lists = settle(lists, "line-lists")
-    short = lists.filter(F.col("length") <= SHORT_LIST).select("token", "entry")
-    a = short.select(F.col("token").alias("token_a"), F.col("entry").alias("a"))
-    b = short.select(F.col("token").alias("token_b"), F.col("entry").alias("b"))
-    joined = a.join(
-        b, (F.col("token_a") == F.col("token_b")) & _before("a", "b") & _may_match("a", "b")
-    ).select(*_pair("a", "b"))
-    long = lists.filter(F.col("length") > SHORT_LIST)
+    entry = F.struct(*ENTRY)
+    head = F.first(entry).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
     stepped = long.select(
-        F.explode(F.array("head", "previous")).alias("a"), F.col("entry").alias("b")
-    ).filter(F.col("a").isNotNull() & _before("a", "b") & _may_match("a", "b")).select(
-        *_pair("a", "b")
+        "token", F.array(head, F.lag(entry).over(in_order)).alias("before"),
+        *[F.col(c).alias(f"b_{c}") for c in ENTRY],
+    ).select("*", F.explode("before").alias("a")).select(
+        "token", *[F.col(f"a.{c}").alias(f"a_{c}") for c in ENTRY], *[f"b_{c}" for c in ENTRY]
+    ).filter(_may_match("a", "b"))
+    # One query, so that the lists are shuffled once for the three readings of them.
+    kept_entries = _as(long, "b").select(
+        "token", *[F.lit(None).cast(t).alias(f"a_{c}") for c, t in
+                   (("doc", "long"), ("line", "int"), ("n", "int"), ("marks", "long"),
+                    ("at", "int"))],
+        *[f"b_{c}" for c in ENTRY],
     )
-    found = settle(_verified(joined.union(stepped), docs), "near-lines")
-    open_entries = long.select("token", "entry").join(
-        found, (F.col("entry.doc") == found["doc"]) & (F.col("entry.line") == found["line"]),
-        "left_anti",
+    met = settle(joined.select(*kept_entries.columns).union(stepped).union(kept_entries),
+                 "line-lists")
+    found = settle(_verified(met.filter("a_doc is not null").select(*PAIR), docs), "near-lines")
+    entries_left = met.filter("a_doc is null").select("token", *[f"b_{c}" for c in ENTRY])
+    probes = entries_left.join(
+        found, (F.col("b_doc") == found["doc"]) & (F.col("b_line") == found["line"]), "left_anti"
     )
-    probes = open_entries.select(F.col("token").alias("token_b"), F.col("entry").alias("b"))
-    index = long.select(F.col("token").alias("token_a"), F.col("entry").alias("a"))
-    rest = index.join(
-        probes, (F.col("token_a") == F.col("token_b")) & _before("a", "b") & _may_match("a", "b")
-    ).select(*_pair("a", "b"))
+    index = entries_left.select("token", *[F.col(f"b_{c}").alias(f"a_{c}") for c in ENTRY])
+    rest = index.join(probes, "token").filter(_may_match("a", "b")).select(*PAIR)
     return found.union(_verified(rest, docs))
 
 

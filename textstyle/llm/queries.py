@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textstyle.llm import line_dedup, mixing, near_dedup, neighbours, packing, topk, url_filter
+from textstyle.llm import (
+    line_dedup,
+    mixing,
+    near_dedup,
+    neighbours,
+    packing,
+    quality,
+    topk,
+    toxicity,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +37,20 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), with_ids=False)
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").select("doc_id", "toxic")
+    scored = toxicity.score(docs, labels)
+    return scored.select("doc_id", "held_out", "score", "predicted",
+                         F.size("offending").alias("offending_sentences"))
+
+
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").select("doc_id", "quality")
+    return quality.score(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(_table(spark, folder, "embeddings"))
 
@@ -50,7 +74,7 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
-        op1_mixing, op2_top_k, op3_packing, op7_nearest, op8_url_filter, op9_line_dedup,
-        op10_near_dedup,
+        op1_mixing, op2_top_k, op3_packing, op4_toxicity, op5_quality, op7_nearest,
+        op8_url_filter, op9_line_dedup, op10_near_dedup,
     )
 }

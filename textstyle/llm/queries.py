@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from textstyle.llm import (
+    language_model,
     line_dedup,
     mixing,
     near_dedup,
@@ -51,6 +53,11 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return language_model.score(docs)
+
+
 def op7_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(_table(spark, folder, "embeddings"))
 
@@ -74,7 +81,7 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
-        op1_mixing, op2_top_k, op3_packing, op4_toxicity, op5_quality, op7_nearest,
-        op8_url_filter, op9_line_dedup, op10_near_dedup,
+        op1_mixing, op2_top_k, op3_packing, op4_toxicity, op5_quality, op6_language_model,
+        op7_nearest, op8_url_filter, op9_line_dedup, op10_near_dedup,
     )
-}
+} | {"pipeline": corpus_pipeline.run}

@@ -4,12 +4,14 @@ A line is its set of words. It is removed when a line before it, in an earlier d
 higher up in its own, has a Jaccard similarity of ``SIMILAR`` or more. The join:
 
 1. Equal sets become one row with the first place of the set.
-2. Tokens are ordered from rare to frequent, told apart by a count over the corpus. Two similar sets share one of the first
-   n - ceil(t n) + 1 tokens of each: the prefix filter. Any order of the tokens is exact.
-3. Sets that share a prefix token are compared when length filter, positional filter and
-   a filter on 64-bit marks of their tokens let them pass. Short lists of a token are
-   joined at once; in a long one a set first meets the list's head and its predecessor,
-   which settles groups of near copies, and what is still open meets the whole list.
+2. Tokens are ordered from rare to frequent, told apart by a count over the corpus, and each
+   token is taken together with the one that follows it in that order. Sets with o common
+   tokens have at least 3 o - m - n - 1 such pairs in common, since each token that only one
+   of them has breaks at most three of theirs. Two similar sets therefore share one of the
+   first pairs of each: the prefix filter, on pairs that hardly ever meet by chance.
+3. Each set is first compared with the earliest set that has the same rarest pair, which
+   settles groups of near copies. Those still open meet all earlier sets that share a prefix
+   pair, if the length and the positional filter let them pass.
 4. Pairs that pass are verified on the words themselves.
 
 Rows: documents are ordered by doc_id, NULL first. Lines without words stay. Texts that are
@@ -31,8 +33,8 @@ from textstyle.llm.common import SPACES, settle
 OVER, UNDER = 4, 5
 # Frequent tokens that are told from others; a documented size, not a cut of the data.
 FREQUENT = 20_000
-# A token's list up to this length is joined with itself at once.
-SHORT_LIST = 64
+# The smallest set that can resemble a different one: four words of five.
+SMALLEST = 4
 NO_ID = -(2**63)
 RESULTS = ("n_lines", "n_kept")
 
@@ -49,79 +51,78 @@ def _tokens(text: Column) -> Column:
 def frequent_tokens(docs: DataFrame, number: int = FREQUENT) -> list[int]:
     """Hashes of about the ``number`` most frequent tokens, from a sketch of fixed size."""
     tokens = docs.select(F.explode(F.split("text", SPACES)).alias("token"))
-    top = tokens.select(F.hash("token").alias("token")).agg(
+    top = tokens.select(F.xxhash64("token").alias("token")).agg(
         F.expr(f"approx_top_k(token, {number}, {4 * number})").alias("top")
     ).first()["top"]
     return [row["item"] for row in top or []]
 
 
 def _lines(docs: DataFrame, frequent: list[int]) -> DataFrame:
-    """A row per line with words: place, number of distinct tokens, prefix, marks.
+    """A row per line with words: place, set, number of distinct tokens, prefix.
 
-    A token stands as its hash of four bytes: tokens that share one meet more often than
-    they should, never less. Those outside ``frequent`` come first, each part by hash.
+    Tokens stand as their hashes; those outside ``frequent`` come first, each part by hash.
+    The pairs of the prefix are hashed to four bytes: they may meet too often, never less.
     """
     line = docs.select(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"),
         F.xxhash64("text").alias("tag"),
         F.posexplode(F.split("text", "\n")).alias("line", "content"),
     )
-    tokens = line.select(
-        "doc", "tag", "line", F.array_distinct(_tokens(F.col("content"))).alias("tokens")
-    ).filter(F.size("tokens") > 0)
-    hashed = tokens.select(
-        "doc", "tag", "line", F.size("tokens").alias("n"),
-        F.xxhash64(F.array_sort("tokens")).alias("set"),
-        F.sort_array(F.transform("tokens", lambda token: F.hash(token))).alias("hashes"),
+    hashed = line.select(
+        "doc", "tag", "line",
+        F.sort_array(F.array_distinct(F.transform(
+            F.array_remove(F.split("content", SPACES), ""), lambda token: F.xxhash64(token)
+        ))).alias("tokens"),
+    ).filter(F.size("tokens") > 0).withColumn("n", F.size("tokens"))
+    listed = ", ".join(f"{h}L" for h in frequent) or "NULL"
+    often = F.expr(f"filter(tokens, h -> coalesce(h IN ({listed}), false))")
+    rare = F.expr(f"filter(tokens, h -> NOT coalesce(h IN ({listed}), false))")
+    n = F.col("n")
+    # n + 1 less the pairs that the smallest similar set must share.
+    smallest = F.floor((n * OVER + UNDER - 1) / UNDER)
+    pairs = (n + 1 - F.ceil((n + smallest) / 3)).cast("int")
+    parts = hashed.select(
+        F.struct("doc", "line", "tag").alias("place"), F.xxhash64("tokens").alias("set"), "n",
+        F.when(n < SMALLEST, 0).otherwise(pairs).alias("pairs"), rare.alias("rare"), "tokens",
     )
-    listed = ", ".join(map(str, frequent)) or "NULL"
-    often = F.expr(f"filter(hashes, h -> coalesce(h IN ({listed}), false))")
-    rare = F.expr(f"filter(hashes, h -> NOT coalesce(h IN ({listed}), false))")
-    ordered = F.concat(rare, often)
-    prefix = F.col("n") - F.floor((F.col("n") * OVER + UNDER - 1) / UNDER).cast("int") + 1
-    return hashed.select(
-        F.struct("doc", "line", "tag").alias("place"), "set", "n",
-        F.slice(ordered, F.lit(1), prefix).alias("prefix"),
-        # The shift takes the hash modulo 64.
-        F.aggregate("hashes", F.lit(0).cast("long"), lambda seen, h: seen.bitwiseOR(
-            F.call_function("shiftleft", F.lit(1).cast("long"), h))).alias("marks"),
+    ordered = F.when(F.size("rare") > F.col("pairs"), F.col("rare")).otherwise(
+        F.concat("rare", often)
+    )
+    return parts.select("place", "set", "n", "pairs", ordered.alias("ordered")).select(
+        "place", "set", "n",
+        F.transform(
+            F.slice("ordered", F.lit(1), F.col("pairs")),
+            lambda token, i: F.hash(token, F.get("ordered", i + 1)),
+        ).alias("prefix"),
     )
 
 
 def first_places(docs: DataFrame, frequent: list[int]) -> DataFrame:
-    """Distinct sets: first place, size, prefix and marks."""
+    """Distinct sets: first place, size and prefix."""
     return (
         _lines(docs, frequent)
         .groupBy("set")
-        .agg(F.min(F.struct("place", "n", "prefix", "marks")).alias("first"))
-        .select("first.place.*", "first.n", "first.prefix", "first.marks")
+        .agg(F.min(F.struct("place", "n", "prefix")).alias("first"))
+        .select("first.place.*", "first.n", "first.prefix")
     )
 
 
-ENTRY = ("doc", "line", "n", "marks", "at")
+ENTRY = ("doc", "line", "n", "at")
+PAIR = ("a_doc", "a_line", "b_doc", "b_line")
 
 
 def _may_match(a: str, b: str) -> Column:
-    """Whether entry ``a`` of a token's list stands before ``b`` and the two pass the
-    length, the positional and the mark filter."""
+    """Whether set ``a`` stands before ``b`` and the two pass the length filter and, at the
+    places of their common pair, the positional filter."""
     na, nb = F.col(f"{a}_n"), F.col(f"{b}_n")
-    need = least_overlap(na + nb)
-    left = 1 + F.least(na - F.col(f"{a}_at"), nb - F.col(f"{b}_at"))
-    apart = F.bit_count(F.col(f"{a}_marks").bitwiseXOR(F.col(f"{b}_marks")))
+    need = 3 * least_overlap(na + nb) - na - nb - 1
+    left = F.least(na - F.col(f"{a}_at"), nb - F.col(f"{b}_at")) - 1
     before = (F.col(f"{a}_doc") < F.col(f"{b}_doc")) | (
         (F.col(f"{a}_doc") == F.col(f"{b}_doc")) & (F.col(f"{a}_line") < F.col(f"{b}_line"))
     )
-    return (
-        before & (na * UNDER >= nb * OVER) & (nb * UNDER >= na * OVER)
-        & (left >= need) & (apart <= na + nb - 2 * need)
-    )
+    return before & (na * UNDER >= nb * OVER) & (nb * UNDER >= na * OVER) & (left >= need)
 
 
-def _as(entries: DataFrame, side: str) -> DataFrame:
-    return entries.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ENTRY])
-
-
-PAIR = ("a_doc", "a_line", "b_doc", "b_line")
 # Documents with candidate lines are marked in a bitmap of this many bits, a filter of
 # fixed size ahead of the join that finds them.
 BITS, BUCKET_BITS = 1 << 22, 1 << 15
@@ -185,40 +186,31 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def near_lines(firsts: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc, line, tag) of the sets in ``firsts`` that resemble a set with an earlier place."""
-    entries = firsts.select(
-        "doc", "line", "n", "marks", F.posexplode("prefix").alias("place", "token")
-    ).withColumn("at", F.col("place") + 1).drop("place")
-    by_token = Window.partitionBy("token")
-    counted = entries.withColumn("length", F.count("*").over(by_token)).filter("length > 1")
-    short = counted.filter(F.col("length") <= SHORT_LIST)
-    joined = _as(short, "a").join(_as(short, "b"), "token").filter(_may_match("a", "b"))
-    long = counted.filter(F.col("length") > SHORT_LIST)
-    in_order = by_token.orderBy("doc", "line")
-    entry = F.struct(*ENTRY)
-    head = F.first(entry).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    stepped = long.select(
-        "token", F.array(head, F.lag(entry).over(in_order)).alias("before"),
-        *[F.col(c).alias(f"b_{c}") for c in ENTRY],
-    ).select("*", F.explode("before").alias("a")).select(
-        "token", *[F.col(f"a.{c}").alias(f"a_{c}") for c in ENTRY], *[f"b_{c}" for c in ENTRY]
-    ).filter(_may_match("a", "b"))
-    # One query, so that the lists are shuffled once for the three readings of them.
-    kept_entries = _as(long, "b").select(
-        "token", *[F.lit(None).cast(t).alias(f"a_{c}") for c, t in
-                   (("doc", "long"), ("line", "int"), ("n", "int"), ("marks", "long"),
-                    ("at", "int"))],
-        *[f"b_{c}" for c in ENTRY],
-    )
-    met = settle(joined.select(*kept_entries.columns).union(stepped).union(kept_entries),
-                 "line-lists")
-    found = settle(_verified(met.filter("a_doc is not null").select(*PAIR), docs), "near-lines")
-    entries_left = met.filter("a_doc is null").select("token", *[f"b_{c}" for c in ENTRY])
-    probes = entries_left.join(
-        found, (F.col("b_doc") == found["doc"]) & (F.col("b_line") == found["line"]), "left_anti"
+    able = firsts.filter(F.size("prefix") > 0)
+    # The earliest set of each rarest pair: an aggregation, and a join back that may split.
+    keyed = able.select("doc", "line", "n", F.get("prefix", F.lit(0)).alias("token"))
+    heads = keyed.groupBy("token").agg(
+        F.min(F.struct("doc", "line", "n")).alias("head"), F.count("*").alias("sets")
+    ).filter("sets > 1").select("token", "head")
+    stepped = keyed.join(heads, "token").select(
+        F.col("head.doc").alias("a_doc"), F.col("head.line").alias("a_line"),
+        F.col("head.n").alias("a_n"), F.lit(0).alias("a_at"),
+        F.col("doc").alias("b_doc"), F.col("line").alias("b_line"), F.col("n").alias("b_n"),
+        F.lit(0).alias("b_at"),
+    ).filter(_may_match("a", "b")).select(*PAIR)
+    settled = settle(_verified(stepped, docs), "near-lines")
+    done = settled.select("doc", "line", "tag", F.lit(False).alias("open"))
+    entries = able.join(done, ["doc", "line", "tag"], "left").select(
+        "doc", "line", "n", F.coalesce("open", F.lit(True)).alias("open"),
+        F.posexplode("prefix").alias("at", "token"),
     )
-    index = entries_left.select("token", *[F.col(f"b_{c}").alias(f"a_{c}") for c in ENTRY])
-    rest = index.join(probes, "token").filter(_may_match("a", "b")).select(*PAIR)
-    return found.union(_verified(rest, docs))
+    # Both sides read one shuffle of the entries.
+    a = entries.select("token", *[F.col(c).alias(f"a_{c}") for c in ENTRY],
+                       F.col("open").alias("a_open"))
+    b = entries.select("token", *[F.col(c).alias(f"b_{c}") for c in ENTRY],
+                       F.col("open").alias("b_open"))
+    met = a.join(b, "token").filter(F.col("b_open") & _may_match("a", "b")).select(*PAIR)
+    return settled.union(_verified(met, docs))
 
 
 def dedup_lines(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:

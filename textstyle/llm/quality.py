@@ -24,16 +24,18 @@ from pyspark.sql import functions as F
 from textstyle.llm.common import key_mod
 from textstyle.llm.subwords import (
     BUCKETS,
-    Vocabulary,
     Words,
     features,
     labelled_sample,
     of_words,
+    vocabulary,
 )
 
 PER_CLASS = 2500
 DIMENSIONS, EPOCHS, BATCH, RATE = 8, 5, 32, 0.3
 FOLDS, HELD_OUT, LIMIT = 4, 2, 0.7
+# Texts whose new words are worked out together.
+TOGETHER = 200
 # The feature of a word that repeats the one before it.
 REPEATED = b" repeated"
 RESULTS = ("held_out", "score", "predicted")
@@ -45,15 +47,15 @@ def tokens(text: str) -> list[bytes]:
 
 def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> tuple[np.ndarray, float]:
     """One number per bucket and a bias: their average plus bias is the log-odds of label 1."""
-    vocabulary = Vocabulary()
+    words = Words(lambda found: np.zeros((len(found), 1)), 1)
     docs = []
     for text in texts:
-        numbers = vocabulary.words.numbers(tokens(text))
+        numbers = words.numbers(tokens(text))
         again = int((numbers[1:] == numbers[:-1]).sum())
         if again:
-            numbers = np.append(numbers, np.full(again, vocabulary.words[REPEATED]))
+            numbers = np.append(numbers, np.full(again, words[REPEATED]))
         docs.append(np.unique(numbers, return_counts=True))
-    parts, starts = vocabulary.close()
+    parts, starts = vocabulary(words)
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1, 1, (BUCKETS, DIMENSIONS)) / DIMENSIONS
     output, bias = np.zeros((2, DIMENSIONS)), np.zeros(2)
@@ -113,16 +115,27 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
 
 
 def scores(texts: list[str], weights: np.ndarray, bias: float, words: Words) -> np.ndarray:
-    repeated = weights[features(REPEATED)]
-    found = np.empty(len(texts))
-    for place, text in enumerate(texts):
-        words.room()
-        numbers = words.numbers(tokens(text))
+    words.room()
+    repeated = weights[features([REPEATED])[0]]
+    found = [words.numbers(tokens(text)) for text in texts]
+    values = words.values()
+    logits = np.empty(len(texts))
+    for place, numbers in enumerate(found):
         again = int((numbers[1:] == numbers[:-1]).sum())
-        total, count = words.values[numbers].sum(axis=0)
+        total, count = values[numbers].sum(axis=0)
         total, count = total + again * repeated.sum(), count + again * len(repeated)
-        found[place] = bias + total / max(count, 1)
-    return 1 / (1 + np.exp(-np.clip(found, -500, 500)))
+        logits[place] = bias + total / max(count, 1)
+    return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
+
+
+def word_sums(weights: np.ndarray) -> Words:
+    """Of each word, the sum of its features' weights and their number."""
+    def work_out(found: list[bytes]) -> np.ndarray:
+        bucket, owner = features(found)
+        return np.stack([np.bincount(owner, weights[bucket], len(found)),
+                         np.bincount(owner, minlength=len(found))], axis=1)
+
+    return Words(work_out, 2)
 
 
 def score(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, **settings) -> DataFrame:
@@ -134,13 +147,12 @@ def score(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, **settings)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = sent.value
 
-        def work_out(word: bytes) -> tuple:
-            part = features(word)
-            return float(model[part].sum()), len(part)
-
-        words = Words(work_out, 2)
+        words = word_sums(model)
         for batch in batches:
-            yield pd.Series(scores(batch.fillna("").tolist(), model, bias, words))
+            texts = batch.fillna("").tolist()
+            parts = [scores(texts[i : i + TOGETHER], model, bias, words)
+                     for i in range(0, len(texts), TOGETHER)]
+            yield pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
 
     scorer = F.pandas_udf(run, "double")
     held = key_mod("doc_id", settings.get("folds", FOLDS)) == settings.get("held_out", HELD_OUT)

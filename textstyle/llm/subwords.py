@@ -18,59 +18,68 @@ SHORTEST, LONGEST = 3, 5
 CACHED = 400_000
 
 
-def features(word: bytes) -> list[int]:
-    """Buckets of the word and of its character n-grams."""
-    mask = BUCKETS - 1
-    framed = b"<" + word + b">"
-    found = [crc32(framed) & mask]
-    for n in range(SHORTEST, LONGEST + 1):
-        found += [crc32(framed[i : i + n], n) & mask for i in range(len(framed) - n + 1)]
-    return found
+def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words and their character n-grams, and the place of each one's word.
+
+    The n-grams of all words are hashed side by side: each length from the one before.
+    """
+    framed = [b"<" + word + b">" for word in words]
+    lengths = np.fromiter(map(len, framed), np.int64, len(framed))
+    text = np.frombuffer(b"".join(framed), np.uint8).astype(np.uint32)
+    owner = np.repeat(np.arange(len(words)), lengths)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(text))
+    buckets = [np.fromiter(map(crc32, framed), np.uint32, len(framed))]
+    owners = [np.arange(len(words))]
+    hashed = np.zeros(len(text), np.uint32)
+    for n in range(1, LONGEST + 1):
+        hashed = hashed[: max(len(text) - n + 1, 0)] * np.uint32(16777619) + text[n - 1 :]
+        if n >= SHORTEST:
+            fits = left[: len(hashed)] >= n
+            mixed = hashed[fits] + np.uint32(n)
+            mixed = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+            buckets.append(mixed ^ (mixed >> np.uint32(13)))
+            owners.append(owner[: len(hashed)][fits])
+    return (np.concatenate(buckets) & np.uint32(BUCKETS - 1)).astype(np.int64), np.concatenate(owners)
 
 
 class Words(dict):
-    """Number of each word met, with values worked out once: ``values[number]``.
+    """Number of each word met, with values worked out once, for many words together.
 
-    ``work_out`` gives the ``width`` values of a word. Call ``room`` between texts: it
-    forgets everything once more than ``CACHED`` words are known.
+    ``work_out`` gives a row of ``width`` values for each of a list of words. Call ``room``
+    between texts whose numbers are no longer needed: it forgets everything once more than
+    ``CACHED`` words are known.
     """
 
-    def __init__(self, work_out: Callable[[bytes], tuple], width: int):
+    def __init__(self, work_out: Callable[[list[bytes]], np.ndarray], width: int):
         super().__init__()
-        self.work_out = work_out
-        self.values = np.zeros((1024, width))
+        self.work_out, self.width = work_out, width
+        self.known, self.waiting = np.zeros((0, width)), []
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
-        if number >= len(self.values):
-            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
-        self.values[number] = self.work_out(word)
+        self.waiting.append(word)
         return number
 
     def room(self) -> None:
         if len(self) > CACHED:
             self.clear()
+            self.known, self.waiting = np.zeros((0, self.width)), []
 
     def numbers(self, tokens: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
 
+    def values(self) -> np.ndarray:
+        if self.waiting:
+            self.known = np.concatenate([self.known, self.work_out(self.waiting)])
+            self.waiting = []
+        return self.known
 
-class Vocabulary:
-    """Words of a sample with their features in one array."""
-
-    def __init__(self):
-        self.words = Words(self._add, 1)
-        self.parts: list[int] = []
-        self.ends = [0]
-
-    def _add(self, word: bytes) -> tuple:
-        self.parts += features(word)
-        self.ends.append(len(self.parts))
-        return (0,)
 
-    def close(self) -> tuple[np.ndarray, np.ndarray]:
-        """All features, and where each word's begin, with the end of the last."""
-        return np.array(self.parts, dtype=np.int64), np.array(self.ends, dtype=np.int64)
+def vocabulary(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Features of all words that have a number, by number, and where each word's begin."""
+    buckets, owner = features(list(words))
+    order = np.argsort(owner, kind="stable")
+    return buckets[order], np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(words)))])
 
 
 def of_words(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 from textstyle.llm.common import key_mod
 from textstyle.llm.subwords import (
     BUCKETS,
-    Vocabulary,
     Words,
     features,
     labelled_sample,
     of_words,
+    vocabulary,
 )
 
 PER_CLASS = 2500
@@ -42,6 +42,8 @@ FOLDS, HELD_OUT, LIMIT = 5, 0, 0.5
 MARKS = b".,;:!?\"'()[]{}*#$%&|-_<>=+/\\"
 ENDS = (b".", b"!", b"?")
 LINE_END = b"\x00"
+# Texts whose new words are worked out together.
+TOGETHER = 200
 RESULTS = ("held_out", "score", "predicted", "offending")
 
 
@@ -75,15 +77,15 @@ def softplus(z: np.ndarray) -> np.ndarray:
 
 def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> tuple[np.ndarray, float]:
     """Weight of each bucket, and the bias of a sentence."""
-    vocabulary = Vocabulary()
+    words = Words(lambda found: np.zeros((len(found), 1)), 1)
     docs = []
     for text in texts:
         found = tokens(text)
         ends = np.array([closes(t) for t in found], dtype=np.int64)
-        numbers = vocabulary.words.numbers([plain(t) for t in found])
+        numbers = words.numbers([plain(t) for t in found])
         sentence, word = once(sentence_numbers(ends), numbers)
         docs.append((word, sentence))
-    parts, starts = vocabulary.close()
+    parts, starts = vocabulary(words)
     random = np.random.default_rng(seed)
     weights, bias = np.zeros(BUCKETS), START
     seen, seen_bias = np.full(BUCKETS, FIRST), FIRST
@@ -140,32 +142,40 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
 
 class Scorer:
     def __init__(self, weights: np.ndarray, bias: float, limit: float = LIMIT):
-        def work_out(token: bytes) -> tuple:
-            part = features(plain(token))
-            return float(weights[part].sum()) / len(part) ** POWER, closes(token)
+        def work_out(found: list[bytes]) -> np.ndarray:
+            bucket, owner = features([plain(token) for token in found])
+            sums = np.bincount(owner, weights[bucket], len(found))
+            counts = np.bincount(owner, minlength=len(found))
+            return np.stack([sums / counts**POWER, [closes(token) for token in found]], axis=1)
 
         self.words, self.bias, self.limit = Words(work_out, 2), bias, limit
 
-    def document(self, text: str) -> tuple[float, list[str]]:
-        """The document's score and its offending sentences."""
+    def documents(self, texts: list[str]) -> list[tuple[float, list[str]]]:
+        """Each document's score and its offending sentences."""
         self.words.room()
-        found = tokens(text)
-        if not found:
+        numbered = [self.words.numbers(tokens(text)) for text in texts]
+        values = self.words.values()
+        return [self._one(text, numbers, values)
+                for text, numbers in zip(texts, numbered, strict=True)]
+
+    def _one(self, text: str, numbers: np.ndarray, values: np.ndarray) -> tuple[float, list[str]]:
+        if not len(numbers):
             return 0.0, []
-        numbers = self.words.numbers(found)
-        ends = self.words.values[numbers, 1]
-        sentence = sentence_numbers(ends.astype(np.int64))
+        sentence = sentence_numbers(values[numbers, 1].astype(np.int64))
         of_word, word = once(sentence, numbers)
-        z = self.bias + np.bincount(of_word, self.words.values[word, 0])
+        z = self.bias + np.bincount(of_word, values[word, 0])
         total = float(softplus(z).sum())
-        # A document at the limit has no sentence at it when several share the blame.
-        limit = np.log(self.limit / (1 - self.limit)) if total < 2 else 0.0
-        offending = []
-        for number in np.flatnonzero(z >= limit) if -np.expm1(-total) >= self.limit else ():
+        result = float(-np.expm1(-total))
+        if result < self.limit:
+            return result, []
+        # Where several sentences share the blame, the likeliest one is named.
+        guilty = np.flatnonzero(z >= min(np.log(self.limit / (1 - self.limit)), z.max()))
+        found, offending = tokens(text), []
+        for number in guilty:
             first, end = np.searchsorted(sentence, [number, number + 1])
             kept = [t for t in found[first:end] if t != LINE_END]
             offending.append(b" ".join(kept).decode("utf-8", "replace"))
-        return float(-np.expm1(-total)), offending
+        return result, offending
 
 
 def score(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, **settings) -> DataFrame:
@@ -177,7 +187,9 @@ def score(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, **settings)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(sent.value, bias, limit)
         for batch in batches:
-            found = [scorer.document(text) for text in batch.fillna("")]
+            texts = batch.fillna("").tolist()
+            found = [one for i in range(0, len(texts), TOGETHER)
+                     for one in scorer.documents(texts[i : i + TOGETHER])]
             yield pd.DataFrame({"score": [s for s, _ in found], "offending": [o for _, o in found]})
 
     scored = F.pandas_udf(run, "score double, offending array<string>")(F.col("text"))

@@ -14,8 +14,6 @@ Columns of the input pass through, those named like a result are replaced.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -82,38 +80,37 @@ def _models(examples: DataFrame, order: int) -> DataFrame:
 
 
 def _gram_scores(needed: DataFrame, models: DataFrame, order: int, pull: float) -> DataFrame:
-    """(gram, gain): difference of the two log-probabilities of a gram's last character."""
+    """(gram, gain): difference of the two log-probabilities of a gram's last character.
+
+    Grams grow from their ends: the probability after a context is that after the next
+    shorter one, pulled towards the context's own counts. Each step joins distinct grams,
+    of which none has more partners than there are letters.
+    """
     contexts = models.groupBy(F.expr("left(gram, char_length(gram) - 1)").alias("context")).agg(
         F.sum("allowed").alias("allowed_before"), F.sum("blocked").alias("blocked_before")
     )
-    alphabet = models.filter(F.char_length("gram") == 1).agg(
-        F.count("*").alias("letters")
-    ).first()["letters"]
-    lengths = F.explode(F.sequence(F.lit(1), F.lit(order + 1))).alias("n")
-    parts = needed.select("gram", lengths).select(
-        F.col("gram").alias("whole"), "n",
-        F.col("gram").substr(F.lit(order + 2) - F.col("n"), F.col("n")).alias("gram"),
-        F.col("gram").substr(F.lit(order + 2) - F.col("n"), F.col("n") - 1).alias("context"),
-    )
-    counts = ("allowed", "allowed_before", "blocked", "blocked_before")
-    found = parts.join(models, "gram", "left").join(contexts, "context", "left")
-    wide = found.groupBy("whole").agg(*[
-        F.coalesce(F.max(F.when(F.col("n") == n, F.col(c))), F.lit(0)).alias(f"{c}_{n}")
-        for n in range(1, order + 2) for c in counts
-    ])
-
-    def chance(kind: str) -> Column:
-        """Each context's own count, pulled towards the shorter context's probability."""
-        return reduce(
-            lambda shorter, n: (F.col(f"{kind}_{n}") + pull * shorter)
-            / (F.col(f"{kind}_before_{n}") + pull),
-            range(1, order + 2),
-            F.lit(1.0 / (alphabet + 1)),
+    letters = models.filter(F.char_length("gram") == 1).count()
+    shorter = None
+    for n in range(1, order + 2):
+        grams = needed.select(F.expr(f"right(gram, {n})").alias("gram")).distinct()
+        if shorter is None:
+            start = F.lit(1.0 / (letters + 1))
+            grown = grams.withColumn("allowed_less", start).withColumn("blocked_less", start)
+        else:
+            grown = grams.join(
+                shorter, F.expr(f"right(gram, {n - 1})") == F.col("end")
+            ).drop("end")
+        grown = grown.join(models, "gram", "left").join(
+            contexts, F.expr(f"left(gram, {n - 1})") == F.col("context"), "left"
         )
-
-    return wide.select(
-        F.col("whole").alias("gram"),
-        (F.ln(chance("allowed")) - F.ln(chance("blocked"))).alias("gain"),
+        chances = [
+            ((F.coalesce(kind, F.lit(0)) + pull * F.col(f"{kind}_less"))
+             / (F.coalesce(f"{kind}_before", F.lit(0)) + pull)).alias(f"{kind}_less")
+            for kind in ("allowed", "blocked")
+        ]
+        shorter = grown.select(F.col("gram").alias("end"), *chances)
+    return shorter.select(
+        F.col("end").alias("gram"), (F.ln("allowed_less") - F.ln("blocked_less")).alias("gain")
     )
 
 
@@ -134,8 +131,9 @@ def url_scores(urls: DataFrame, order: int = 4, pull: float = 2.0) -> DataFrame:
 
 
 def threshold(scored: DataFrame) -> float:
-    """The score from which on urls are allowed: the largest lead of allowed over blocked
-    examples among those kept out, by scores of two digits, the smallest of equal ones.
+    """The score from which on urls are allowed: where allowed examples among those kept out
+    lead blocked ones most, by scores of two digits, halfway down to the next lower score; of
+    equal leads the one at the lowest score.
 
     Two-digit scores bound the rows by the range of the scores, not by the examples.
     """
@@ -150,12 +148,15 @@ def threshold(scored: DataFrame) -> float:
         F.sum("allowed").over(above) * F.sum("blocked").over(everything)
         - F.sum("blocked").over(above) * F.sum("allowed").over(everything)
     )
+    lower = F.lead("at").over(Window.orderBy(F.desc("at")))
     best = (
-        bins.select("at", lead.alias("lead"), F.sum("allowed").over(everything).alias("a"),
+        bins.select("at", lower.alias("lower"), lead.alias("lead"), F.sum("allowed").over(everything).alias("a"),
                     F.sum("blocked").over(everything).alias("b"))
         .filter("a > 0 and b > 0").orderBy(F.desc("lead"), "at").first()
     )
-    return best["at"] if best else 0.0
+    if not best:
+        return 0.0
+    return best["at"] if best["lower"] is None else (best["at"] + best["lower"]) / 2
 
 
 def judge(pages: DataFrame, rules=RULES, order: int = 4, pull: float = 2.0) -> DataFrame:

@@ -11,7 +11,8 @@ higher up in its own, has a Jaccard similarity of ``SIMILAR`` or more. The join:
    first pairs of each: the prefix filter, on pairs that hardly ever meet by chance.
 3. Each set is first compared with the earliest set that has the same rarest pair, which
    settles groups of near copies. Those still open meet all earlier sets that share a prefix
-   pair, if the length and the positional filter let them pass.
+   pair, if the length and the positional filter let them pass, and for short sets a filter on
+   marks of their tokens.
 4. Pairs that pass are verified on the words themselves.
 
 Rows: documents are ordered by doc_id, NULL first. Lines without words stay. Texts that are
@@ -35,6 +36,8 @@ OVER, UNDER = 4, 5
 FREQUENT = 20_000
 # The smallest set that can resemble a different one: four words of five.
 SMALLEST = 4
+# Sets up to this size carry marks: 32 bits, one set by each token.
+MARKED = 32
 NO_ID = -(2**63)
 RESULTS = ("n_lines", "n_kept")
 
@@ -49,7 +52,8 @@ def _tokens(text: Column) -> Column:
 
 
 def frequent_tokens(docs: DataFrame, number: int = FREQUENT) -> list[int]:
-    """Hashes of about the ``number`` most frequent tokens, from a sketch of fixed size."""
+    """Hashes of about the ``number`` most frequent tokens, the most frequent first, from a
+    sketch of fixed size."""
     tokens = docs.select(F.explode(F.split("text", SPACES)).alias("token"))
     top = tokens.select(F.xxhash64("token").alias("token")).agg(
         F.expr(f"approx_top_k(token, {number}, {4 * number})").alias("top")
@@ -74,9 +78,13 @@ def _lines(docs: DataFrame, frequent: list[int]) -> DataFrame:
             F.array_remove(F.split("content", SPACES), ""), lambda token: F.xxhash64(token)
         ))).alias("tokens"),
     ).filter(F.size("tokens") > 0).withColumn("n", F.size("tokens"))
-    listed = ", ".join(f"{h}L" for h in frequent) or "NULL"
-    often = F.expr(f"filter(tokens, h -> coalesce(h IN ({listed}), false))")
-    rare = F.expr(f"filter(tokens, h -> NOT coalesce(h IN ({listed}), false))")
+    # Frequent tokens in steps of ten, the most frequent last.
+    steps = [frequent[: len(frequent) // 100], frequent[len(frequent) // 100 : len(frequent) // 10],
+             frequent[len(frequent) // 10 :]]
+    listed = [", ".join(f"{h}L" for h in step) or "NULL" for step in steps]
+    top, high, middle = (F.expr(f"filter(tokens, h -> coalesce(h IN ({part}), false))")
+                         for part in listed)
+    rare = F.expr(f"filter(tokens, h -> NOT coalesce(h IN ({', '.join(listed)}), false))")
     n = F.col("n")
     # n + 1 less the pairs that the smallest similar set must share.
     smallest = F.floor((n * OVER + UNDER - 1) / UNDER)
@@ -86,28 +94,33 @@ def _lines(docs: DataFrame, frequent: list[int]) -> DataFrame:
         F.when(n < SMALLEST, 0).otherwise(pairs).alias("pairs"), rare.alias("rare"), "tokens",
     )
     ordered = F.when(F.size("rare") > F.col("pairs"), F.col("rare")).otherwise(
-        F.concat("rare", often)
+        F.concat("rare", middle, high, top)
     )
-    return parts.select("place", "set", "n", "pairs", ordered.alias("ordered")).select(
+    return parts.select("place", "set", "n", "pairs", ordered.alias("ordered"), "tokens").select(
         "place", "set", "n",
         F.transform(
             F.slice("ordered", F.lit(1), F.col("pairs")),
             lambda token, i: F.hash(token, F.get("ordered", i + 1)),
         ).alias("prefix"),
+        # In short sets frequent pairs do meet by chance; the marks of their tokens differ.
+        F.when(n > MARKED, 0).otherwise(F.aggregate(
+            "tokens", F.lit(0), lambda seen, token: seen.bitwiseOR(F.call_function(
+                "shiftleft", F.lit(1), token.bitwiseAND(31).cast("int")))
+        )).alias("marks"),
     )
 
 
 def first_places(docs: DataFrame, frequent: list[int]) -> DataFrame:
-    """Distinct sets: first place, size and prefix."""
+    """Distinct sets: first place, size, prefix and marks."""
     return (
         _lines(docs, frequent)
         .groupBy("set")
-        .agg(F.min(F.struct("place", "n", "prefix")).alias("first"))
-        .select("first.place.*", "first.n", "first.prefix")
+        .agg(F.min(F.struct("place", "n", "prefix", "marks")).alias("first"))
+        .select("first.place.*", "first.n", "first.prefix", "first.marks")
     )
 
 
-ENTRY = ("doc", "line", "n", "at")
+ENTRY = ("doc", "line", "n", "at", "marks")
 PAIR = ("a_doc", "a_line", "b_doc", "b_line")
 
 
@@ -120,7 +133,15 @@ def _may_match(a: str, b: str) -> Column:
     before = (F.col(f"{a}_doc") < F.col(f"{b}_doc")) | (
         (F.col(f"{a}_doc") == F.col(f"{b}_doc")) & (F.col(f"{a}_line") < F.col(f"{b}_line"))
     )
-    return before & (na * UNDER >= nb * OVER) & (nb * UNDER >= na * OVER) & (left >= need)
+    # A mark that only one set has stands for a token that only that set has.
+    # (Widened without its sign, which would be counted as 32 more.)
+    differ = F.col(f"{a}_marks").bitwiseXOR(F.col(f"{b}_marks")).cast("long")
+    apart = F.bit_count(differ.bitwiseAND(F.lit(0xFFFFFFFF)))
+    marked = (na <= MARKED) & (nb <= MARKED)
+    return (
+        before & (na * UNDER >= nb * OVER) & (nb * UNDER >= na * OVER) & (left >= need)
+        & (~marked | (apart <= na + nb - 2 * least_overlap(na + nb)))
+    )
 
 
 # Documents with candidate lines are marked in a bitmap of this many bits, a filter of
@@ -188,20 +209,20 @@ def near_lines(firsts: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc, line, tag) of the sets in ``firsts`` that resemble a set with an earlier place."""
     able = firsts.filter(F.size("prefix") > 0)
     # The earliest set of each rarest pair: an aggregation, and a join back that may split.
-    keyed = able.select("doc", "line", "n", F.get("prefix", F.lit(0)).alias("token"))
+    keyed = able.select("doc", "line", "n", "marks", F.get("prefix", F.lit(0)).alias("token"))
     heads = keyed.groupBy("token").agg(
-        F.min(F.struct("doc", "line", "n")).alias("head"), F.count("*").alias("sets")
+        F.min(F.struct("doc", "line", "n", "marks")).alias("head"), F.count("*").alias("sets")
     ).filter("sets > 1").select("token", "head")
     stepped = keyed.join(heads, "token").select(
         F.col("head.doc").alias("a_doc"), F.col("head.line").alias("a_line"),
-        F.col("head.n").alias("a_n"), F.lit(0).alias("a_at"),
+        F.col("head.n").alias("a_n"), F.lit(0).alias("a_at"), F.col("head.marks").alias("a_marks"),
         F.col("doc").alias("b_doc"), F.col("line").alias("b_line"), F.col("n").alias("b_n"),
-        F.lit(0).alias("b_at"),
+        F.lit(0).alias("b_at"), F.col("marks").alias("b_marks"),
     ).filter(_may_match("a", "b")).select(*PAIR)
     settled = settle(_verified(stepped, docs), "near-lines")
     done = settled.select("doc", "line", "tag", F.lit(False).alias("open"))
     entries = able.join(done, ["doc", "line", "tag"], "left").select(
-        "doc", "line", "n", F.coalesce("open", F.lit(True)).alias("open"),
+        "doc", "line", "n", "marks", F.coalesce("open", F.lit(True)).alias("open"),
         F.posexplode("prefix").alias("at", "token"),
     )
     # Both sides read one shuffle of the entries.

@@ -9,11 +9,12 @@ they are behind all registers. Two bags agree in a register with a probability e
 their weighted Jaccard similarity.
 
 Registers are banded. In each bucket the text with the most exact copies is the head; all
-others are compared with it, and texts that are linked then form components. Pairs of a
-bucket that lie in different components afterwards and were not compared yet are compared
-as well, so no pair that shares a bucket is lost, and a group of copies makes one
-comparison per text and head instead of all pairs. A link is an overlap of the bags, counted
-on the words themselves, of 0.8 or more of their union.
+others are compared with it, and texts that are linked then form components. Buckets that
+still hold several components are cut into blocks of bounded size; each two blocks meet in
+a task of their own, which multiplies their bags and hands on only links that join two
+components. So no pair that shares a bucket is lost, and no list of all pairs is made. A
+link is an overlap of the bags, counted on the words themselves, of 0.8 or more of their
+union.
 
 Rows: equal texts are one class. Texts of one to four words have one shingle, all their
 words. Texts without words, NULL among them, are a class each by themselves. Rows with one
@@ -37,6 +38,8 @@ from textstyle.llm.components import components
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, BAND = 25, 5
 REGISTERS = BANDS * BAND
+# Texts of an open bucket that one block holds about, and shingles multiplied at once.
+BLOCK, MULTIPLIED = 512, 40_000
 # Shingles whose processes run side by side in one task.
 TOGETHER = 200_000
 
@@ -164,6 +167,8 @@ def _signatures(docs: DataFrame) -> DataFrame:
         for batch in batches:
             batch = batch.drop_duplicates("text")
             found = list(signed(batch["content"].tolist()))
+            if not found:
+                continue
             yield pd.DataFrame({
                 "text": [batch["text"].iloc[place] for place, _, _ in found],
                 "n": [n for _, n, _ in found],
@@ -175,16 +180,22 @@ def _signatures(docs: DataFrame) -> DataFrame:
     ).mapInPandas(sign, "text binary, n long, bands array<long>")
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with whether they are similar. ``texts`` names a row of each text."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("text")).distinct().join(texts, "text")
-    contents = (
+def _contents(wanted: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """(text, content) of the wanted texts, from one row of each that ``texts`` names."""
+    named = wanted.join(texts, "text")
+    found = (
         docs.select(F.col("doc_id").alias("first"), F.col("text").alias("content"))
-        .join(wanted, "first")
+        .join(named, "first")
         .filter(text_id(F.col("content")) == F.col("text"))
         .dropDuplicates(["text"]).select("text", "content")
     )
-    contents = settle(contents, "near-contents")
+    return settle(found, "near-contents")
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with whether they are similar. ``texts`` names a row of each text."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("text")).distinct()
+    contents = _contents(wanted, texts, docs)
     a = contents.select(F.col("text").alias("a"), F.col("content").alias("a_content"))
     b = contents.select(F.col("text").alias("b"), F.col("content").alias("b_content"))
 
@@ -234,25 +245,97 @@ def text_links(docs: DataFrame, texts: DataFrame) -> DataFrame:
     links = first.filter("linked").select("a", "b")
     labels = components(links)
     placed = lists.join(labels.withColumnRenamed("id", "text"), "text", "left").select(
-        "bucket", "text", "n", F.coalesce("label", "text").alias("label")
+        "bucket", "text", F.coalesce("label", "text").alias("label")
     )
     # Only buckets that hold several components have pairs left.
     several = placed.groupBy("bucket").agg(
-        F.min("label").alias("least"), F.max("label").alias("most")
-    ).filter("least <> most").select("bucket")
-    mixed_lists = settle(placed.join(several, "bucket"), "near-open")
-    a, b = (mixed_lists.select("bucket", F.struct("text", "n", "label").alias(x)) for x in "ab")
-    rest = (
-        a.join(b, "bucket")
-        .filter((F.col("a.text") < F.col("b.text")) & (F.col("a.label") != F.col("b.label"))
-                & _may_match("a.n", "b.n"))
-        .select(F.col("a.text").alias("a"), F.col("b.text").alias("b")).distinct()
-    )
-    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = _compared(settle(rest.join(known, ["a", "b"], "left_anti"), "near-rest"), texts, docs)
+        F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("members")
+    ).filter("least <> most").select("bucket", "members")
+    found = _block_links(settle(placed.join(several, "bucket"), "near-open"), texts, docs)
+    second = _compared(settle(found.distinct(), "near-rest"), texts, docs)
     return links.union(second.filter("linked").select("a", "b"))
 
 
+def _elements(text: str) -> bytes:
+    """The bag as a set: the n-th occurrence of a shingle is an element of its own."""
+    shingle, weight = bag(text)
+    first = np.repeat(np.cumsum(weight) - weight, weight)
+    place = (np.arange(len(first)) - first).astype(np.uint64)
+    return np.sort(mixed(np.repeat(shingle, weight) + place * GOLDEN)).tobytes()
+
+
+def _slices(sizes: np.ndarray) -> list[slice]:
+    """Consecutive rows of together at most ``MULTIPLIED`` elements, or one row."""
+    edges, total = [0], 0
+    for place, size in enumerate(sizes.tolist()):
+        if place > edges[-1] and total + size > MULTIPLIED:
+            edges.append(place)
+            total = 0
+        total += size
+    return [slice(a, b) for a, b in zip(edges, [*edges[1:], len(sizes)], strict=True)]
+
+
+def block_pairs(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Places of all pairs of sets that overlap in 0.8 or more of their union."""
+    sizes = np.array([len(s) for s in sets])
+    parts = _slices(sizes)
+    for i, rows in enumerate(parts):
+        for columns in parts[i:]:
+            both = sets[rows] + sets[columns]
+            _, element = np.unique(np.concatenate(both), return_inverse=True)
+            owner = np.repeat(np.arange(len(both)), [len(s) for s in both])
+            held = np.zeros((len(both), int(element.max()) + 1), np.float32)
+            held[owner, element] = 1
+            count = rows.stop - rows.start
+            common = held[:count] @ held[count:].T
+            union = sizes[rows][:, None] + sizes[columns][None, :] - common
+            for a, b in zip(*np.nonzero(5 * common >= 4 * union), strict=True):
+                if a + rows.start < b + columns.start:
+                    yield a + rows.start, b + columns.start
+
+
+def _block_links(opened: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b): links that join two components of an open bucket, few for each component."""
+    contents = _contents(opened.select("text").distinct(), texts, docs)
+
+    def as_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"text": batch["text"],
+                                "elements": [_elements(t) for t in batch["content"]]})
+
+    with arrow_batches(docs.sparkSession, 500):
+        bags = settle(contents.mapInPandas(as_sets, "text binary, elements binary"), "near-bags")
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("text"), blocks.cast("long")).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
+        F.least(F.col("own"), other).alias("i"), F.greatest(F.col("own"), other).alias("j")))
+    dealt = opened.withColumn("blocks", blocks).withColumn("own", own).select(
+        "bucket", "text", "label", F.inline(meets)
+    )
+
+    def links(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("text", kind="stable").reset_index(drop=True)
+        names, root, found = group["text"].tolist(), {}, []
+
+        def top(label: bytes) -> bytes:
+            while root.get(label, label) != label:
+                label = root[label]
+            return label
+
+        label = group["label"].tolist()
+        sets = [np.frombuffer(e, np.uint64) for e in group["elements"]]
+        for a, b in block_pairs(sets):
+            one, other = top(label[a]), top(label[b])
+            if one != other:
+                root[max(one, other)] = min(one, other)
+                found.append((names[a], names[b]))
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return dealt.join(bags, "text").groupBy("bucket", "i", "j").applyInPandas(
+        links, "a binary, b binary"
+    )
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """(text, class_id): for every text, the least doc_id of its class."""
     own = docs.select("doc_id", "text")

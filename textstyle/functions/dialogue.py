@@ -9,7 +9,8 @@ from textstyle.functions.text import _col
 
 # Marks that open a dialogue line, and a quoted fragment inside one.
 LEADING_MARKS = r"«\"„—–\-"
-QUOTED = r'[«"][^»"]*[»"]'
+# From the first opening mark only: where that one finds no closing mark, none later does.
+QUOTED = r'^[^«"]*+[«"][^»"]*+[»"]'
 
 
 def is_dialogue(line: Column | str, leading_marks: str = LEADING_MARKS) -> Column:

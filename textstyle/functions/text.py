@@ -8,8 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Results depend on these patterns character by character.
-SENTENCE_END = r"[.!?…]+(?:[ \n\r\t]+|\z)"
-WORD = r"[\p{L}\p{M}\p{N}]+(?:['’\-][\p{L}\p{M}\p{N}]+)*"
+# Possessive and anchored, so that matching needs neither a deep stack nor a second look at
+# the same characters, whatever the text.
+SENTENCE_END = r"(?<![.!?…])[.!?…]++(?:[ \n\r\t]+|\z)"
+WORD = r"[\p{L}\p{M}\p{N}]++(?:['’\-][\p{L}\p{M}\p{N}]++)*+"
 PUNCTUATION = r"[^\s\p{L}\p{M}\p{N}]"
 LINE_END = r"(?:\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029])"
 # The letters kept are a-z, A-Z and À-ÿ. Their complement is spelt out because Java matches a

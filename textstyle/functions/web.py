@@ -11,9 +11,15 @@ from pyspark.sql import functions as F
 
 from textstyle.functions.text import _col
 
-HREF = r"""(?is)\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-ANCHOR = r"(?is)<a\b[^>]*>"
-TABLE_ROW = r"(?is)<tr\b.*?</tr>"
+# A tag opens with a letter, a slash or a mark of declaration; quoted values may hold ">".
+# Each pattern is possessive or runs to the end of the page where its end is missing, so that
+# a damaged page is read once.
+TAG_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+>"""
+TAG = r"(?s)<[A-Za-z/!?]" + TAG_REST
+ANCHOR = r"(?is)<a(?=[\s/])" + TAG_REST
+ATTRIBUTE = r"""(?s)[^\s=>/"']++\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]++)"""
+TABLE_ROW = r"(?is)<tr\b.*?(?:</tr>|\z)"
+UNSEEN = (r"(?is)<(script|style)\b.*?(?:</\1\s*+>|\z)", r"(?s)<!--.*?(?:-->|\z)")
 
 # Generic URI splitting pattern published in RFC 3986, appendix B.
 URI = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?"
@@ -30,75 +36,113 @@ AUTHOR_RULES = (
 UNKNOWN_AUTHOR = "unknown"
 
 
+def _by_code(code: Column) -> Column:
+    """Character of a code point; the ones that HTML replaces are replaced."""
+    # Numbers from 128 to 159 name characters of code page 1252, as browsers read them.
+    western = F.create_map(*[
+        F.lit(part) for byte in range(0x80, 0xA0)
+        for part in (byte, bytes([byte]).decode("cp1252", "ignore") or chr(byte))
+    ])
+    is_character = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return (
+        F.when(code.between(0x80, 0x9F), F.try_element_at(western, code))
+        .when(is_character, plain)
+        .otherwise("\ufffd")
+    )
+
+
 def unescape_entities(text: Column | str) -> Column:
-    """Decode numeric and HTML 4 named character references.
+    """Decode numeric and HTML 5 named character references.
 
     The string is cut at references and only those pieces are decoded; texts
-    without ``&`` skip the work. Unknown references stay as they are.
+    without ``&`` skip the work. Names of the older standard need no semicolon.
+    Unknown references stay as they are.
     """
     text = _col(text)
-    known = {
-        name: chr(codepoint).encode("utf-8").hex()
-        for name, codepoint in html.entities.name2codepoint.items()
-    }
-    names = F.create_map(*[F.lit(part) for pair in known.items() for part in pair])
-    pieces = F.regexp_extract_all(text, F.lit(r"&#?\w+;|&|[^&]+"), F.lit(0))
+    known = {name[:-1]: found for name, found in html.entities.html5.items() if name[-1] == ";"}
+    old = sorted((n for n in html.entities.html5 if n[-1] != ";"), key=lambda n: (-len(n), n))
+    # One literal that is split while planning, instead of thousands.
+    listed = "\x01".join(f"{name}\x02{found}" for name, found in known.items())
+    names = F.str_to_map(F.lit(listed), F.lit("\x01"), F.lit("\x02"))
+    pieces = F.regexp_extract_all(text, F.lit(r"&#?+\w++;?+|&|[^&]++"), F.lit(0))
 
     def decode(piece: Column) -> Column:
-        body = F.regexp_extract(piece, r"^&#?(\w+);$", 1)
-        is_number = piece.rlike(r"^&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});$")
-        codepoint = F.when(
-            body.rlike("^[xX]"), F.conv(F.substring(body, 2, 8), 16, 10)
-        ).otherwise(body)
-        code = codepoint.try_cast("int")
-        is_character = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-        by_number = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        by_name = F.decode(F.unhex(F.try_element_at(names, body)), "UTF-8")
-        decoded = F.when(is_number, F.when(is_character, by_number)).otherwise(by_name)
-        return F.when(piece.rlike("^&#?\\w+;$"), F.coalesce(decoded, piece)).otherwise(piece)
+        digits = F.regexp_extract(piece, r"^&#0*+([0-9]++);?$", 1)
+        hexadecimal = F.regexp_extract(piece, r"^&#[xX]0*+([0-9a-fA-F]++);?$", 1)
+        number = F.when(F.length(digits).between(1, 7), digits.try_cast("int")).when(
+            F.length(hexadecimal).between(1, 6), F.conv(hexadecimal, 16, 10).try_cast("int")
+        )
+        is_number = piece.rlike(r"^&#(?:[0-9]++|[xX][0-9a-fA-F]++);?$")
+        zeros = piece.rlike(r"^&#[xX]?0++;?$")
+        by_number = _by_code(F.when(zeros, 0).otherwise(F.coalesce(number, F.lit(-1))))
+        by_name = F.try_element_at(names, F.regexp_extract(piece, r"^&(\w++);$", 1))
+        # The longest old name that the reference begins with; what follows it is text.
+        older = F.regexp_extract(piece, f"^&({'|'.join(old)})", 1)
+        by_older = F.concat(
+            F.try_element_at(names, F.when(older != "", older)),
+            F.substring(piece, F.length(older) + 2, F.length(piece)),
+        )
+        return F.when(is_number, by_number).otherwise(F.coalesce(by_name, by_older, piece))
 
     return F.when(
-        text.contains("&"), F.array_join(F.transform(pieces, decode), "")
+        text.contains("&"),
+        F.array_join(F.transform(pieces, lambda p: F.when(p.startswith("&"), decode(p)).otherwise(p)), ""),
     ).otherwise(text)
 
 
+def without_unseen(markup: Column | str) -> Column:
+    """Markup without scripts, styles and comments."""
+    text = _col(markup)
+    for pattern in UNSEEN:
+        text = F.regexp_replace(text, pattern, " ")
+    return text
+
+
 def html_to_text(markup: Column | str, collapse: bool = True) -> Column:
     """Visible text of HTML; every tag reads as one space.
 
     ``collapse=False`` keeps the white space of the source, which matters when
     line structure is analysed afterwards.
     """
-    text = F.regexp_replace(_col(markup), r"(?is)<(script|style)\b.*?</(script|style)>", " ")
-    text = F.regexp_replace(text, r"(?s)<!--.*?-->", " ")
-    text = unescape_entities(F.regexp_replace(text, r"(?s)<[^>]+>", " "))
+    text = unescape_entities(F.regexp_replace(without_unseen(markup), TAG, " "))
     if not collapse:
         return text
-    return F.trim(F.regexp_replace(text, "[ \n\r\t\xa0]+", " "))
+    return F.trim(F.regexp_replace(text, "[ \n\r\t\xa0]++", " "))
 
 
 def row_text(markup: Column | str) -> Column:
     """Lower-cased text of a table row: trimmed text nodes joined by one space."""
-    bare = F.regexp_replace(_col(markup), r"(?s)(?:\s*<[^>]+>\s*)+", " ")
-    return F.lower(F.trim(unescape_entities(bare)))
+    nodes = F.transform(F.split(_col(markup), TAG), lambda node: F.regexp_replace(node, r"^\s++|(?<!\s)\s++\z", ""))
+    return F.lower(F.trim(unescape_entities(F.array_join(F.filter(nodes, lambda node: node != ""), " "))))
 
 
 def hrefs(markup: Column | str) -> Column:
-    """``array<string>``: link targets of all anchors, in page order."""
-    anchors = F.regexp_extract_all(_col(markup), F.lit(ANCHOR), F.lit(0))
+    """``array<string>``: link targets of all anchors seen on the page, in its order."""
+    anchors = F.regexp_extract_all(without_unseen(markup), F.lit(ANCHOR), F.lit(0))
     return F.filter(F.transform(anchors, anchor_href), lambda href: href != "")
 
 
 def anchor_href(anchor: Column | str) -> Column:
-    """Link target of one anchor tag, ``''`` without one."""
-    quoted = F.regexp_extract(_col(anchor), HREF, 1)
-    return F.replace(
-        F.regexp_replace(quoted, r"""^["']|["']$""", ""), F.lit("&amp;"), F.lit("&")
+    """Link target of one anchor tag, ``''`` without one.
+
+    Attributes are read one after the other, so that neither another attribute's name nor
+    its quoted value is taken for the target.
+    """
+    attributes = F.regexp_extract_all(_col(anchor), F.lit(ATTRIBUTE), F.lit(0))
+    targets = F.filter(attributes, lambda one: one.rlike(r"(?i)^href\s*+="))
+    value = F.regexp_extract(
+        F.coalesce(F.get(targets, F.lit(0)), F.lit("")), r"(?is)^href\s*+=\s*+(.*)$", 1
+    )
+    quoted = value.rlike(r"""(?s)^(?:"[^"]*+"|'[^']*+')$""")
+    return unescape_entities(
+        F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
     )
 
 
 def first_href(markup: Column | str) -> Column:
     """Link target of the first anchor, ``''`` when there is none."""
-    return anchor_href(F.regexp_extract(_col(markup), ANCHOR, 0))
+    return anchor_href(F.regexp_extract(without_unseen(markup), ANCHOR, 0))
 
 
 def _fold_dots(path: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textstyle.functions.dialogue import LEADING_MARKS, is_dialogue
@@ -12,40 +12,49 @@ COUNTS = ["dialog_lines", "narration_lines", "dialog_ratio"]
 
 
 def _split_lines(texts: DataFrame, leading_marks: str) -> DataFrame:
-    with_lines = texts.withColumn("_lines", lines("text"))
-    return with_lines.withColumn(
-        "_spoken", F.filter("_lines", lambda line: is_dialogue(line, leading_marks))
+    """Add ``_lines``, structs of a line and whether it is dialogue: each is tested once."""
+    marked = F.transform(
+        lines("text"),
+        lambda line: F.struct(line.alias("line"), is_dialogue(line, leading_marks).alias("spoken")),
     )
+    return texts.withColumn("_lines", marked)
+
+
+def _spoken(wanted: bool) -> Column:
+    return F.filter("_lines", lambda one: one["spoken"] == wanted)
+
+
+def _joined(marked: Column) -> Column:
+    return F.array_join(F.transform(marked, lambda one: one["line"]), "\n")
 
 
 def dialogue_counts(texts: DataFrame, leading_marks: str = LEADING_MARKS) -> DataFrame:
     """Add dialogue and narration line counts and the share of dialogue."""
     split = _split_lines(texts, leading_marks)
-    total, spoken = F.size("_lines"), F.size("_spoken")
+    total, spoken = F.size("_lines"), F.size(_spoken(True))
     return split.withColumns(
         {
             "dialog_lines": spoken,
             "narration_lines": total - spoken,
             "dialog_ratio": spoken / F.greatest(total, F.lit(1)),
         }
-    ).drop("_lines", "_spoken")
+    ).drop("_lines")
 
 
 def add_segmentation(texts: DataFrame, leading_marks: str = LEADING_MARKS) -> DataFrame:
     """Add struct ``seg``: the counts plus the dialogue and the narration text."""
     split = _split_lines(texts, leading_marks)
-    narrated = F.filter("_lines", lambda line: ~is_dialogue(line, leading_marks))
-    total, spoken = F.size("_lines"), F.size("_spoken")
+    total, spoken = F.size("_lines"), F.size(_spoken(True))
     return split.withColumn(
         "seg",
         F.struct(
             spoken.alias("dialog_lines"),
             (total - spoken).alias("narration_lines"),
             (spoken / F.greatest(total, F.lit(1))).alias("dialog_ratio"),
-            F.array_join("_spoken", "\n").alias("dialog_text"),
-            F.array_join(narrated, "\n").alias("narration_text"),
+            _joined(_spoken(True)).alias("dialog_text"),
+            _joined(_spoken(False)).alias("narration_text"),
         ),
-    ).drop("_lines", "_spoken")
+    ).drop("_lines")
 
 
 def flatten_segmentation(segmented: DataFrame) -> DataFrame:

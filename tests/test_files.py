@@ -47,7 +47,7 @@ def test_whole_folder(spark, tmp_path):
     assert set(found) == {"sand_1.txt", "sand_3.txt", "hugo.txt", "zola_1.EPUB", "zola_2.epub"}
     assert found["sand_1.txt"].text == "Été\nun\ndeux"
     assert found["hugo.txt"].text == "x" * 12 and found["hugo.txt"].author == "unknown"
-    assert found["zola_1.EPUB"].text.split() == ["Uné", "Deux"]
+    assert found["zola_1.EPUB"].text.split() == ["Uné", "toc", "D"]
     assert "\n" in found["zola_1.EPUB"].text and found["zola_1.EPUB"].error is None
     assert found["zola_2.epub"].text == "" and "BadZipFile" in found["zola_2.epub"].error
     known = files.load_folder(spark, str(tmp_path), None, None, RULES, keep_unknown=False)
@@ -60,24 +60,17 @@ def test_cap_counts_unreadable_files(spark, tmp_path):
     assert {r.filename for r in two} == {"sand_1.txt", "hugo.txt", "zola_1.EPUB", "zola_2.epub"}
 
 
-def test_cap_beyond_the_listing_bound_gives_the_same(spark, tmp_path, monkeypatch):
-    folder = make_folder(tmp_path)
-    listed = files.load_folder(spark, folder, 1, None, RULES).collect()
-    monkeypatch.setattr(files, "MAX_LISTED_PATHS", 0)
-    joined = files.load_folder(spark, folder, 1, None, RULES).collect()
-    assert {r.url for r in joined} == {r.url for r in listed} and len(listed) == 3
-
-
-def test_oversized_archive_is_refused(spark, tmp_path, monkeypatch):
-    write_epub(tmp_path / "a.epub", [("x" * 1000, "")])
-    monkeypatch.setattr(files, "MAX_BOOK_BYTES", 100)
-    content = (tmp_path / "a.epub").read_bytes()
-    try:
-        files._chapters(content)
-    except ValueError as problem:
-        assert "too large" in str(problem)
-    else:
-        raise AssertionError("archive was unpacked")
+def test_navigation_is_kept_unless_left_out(spark, tmp_path):
+    write_epub(tmp_path / "a.epub", [("<p>one</p>", ""), ("<p>toc</p>", ' properties="nav"')])
+    for navigation, words in ((True, ["one", "toc"]), (False, ["one"])):
+        read = files.load_folder(spark, str(tmp_path), navigation=navigation).first()
+        assert read.text.split() == words
+
+
+def test_plain_text_needs_no_python(spark, tmp_path):
+    stored = spark.read.format("binaryFile").load(make_folder(tmp_path))
+    plan = files.plain_text(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
 
 
 def test_listing_opens_no_file(spark, tmp_path):

@@ -70,11 +70,17 @@ def test_work_folder_lies_in_the_shared_one(spark):
     assert tables.work_folder(spark) != tables.work_folder(spark)
 
 
-def test_spread(spark, make_corpus):
-    cores = spark.sparkContext.defaultParallelism
-    assert tables.spread(make_corpus("a").coalesce(1)).rdd.getNumPartitions() == cores
-    wide = make_corpus("a").repartition(cores + 3)
-    assert tables.spread(wide) is wide
+def test_csv_is_read_in_pieces(spark, tmp_path):
+    frame = spark.createDataFrame([(i, f"a\nb{i}") for i in range(4000)], "id int, title string")
+    path = tables.write_zipf(frame.coalesce(1), str(tmp_path))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        stored = tables.read_csv(spark, path, frame.schema)
+        assert stored.rdd.getNumPartitions() > 1
+        assert sorted(stored.collect())[7] == (7, "a\nb7") and stored.count() == 4000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_whole_analysis(spark, make_corpus, tmp_path):

@@ -28,32 +28,41 @@ def as_corpus(table: DataFrame, **columns: Column | str) -> DataFrame:
 def number_documents(
     harvested: DataFrame, genre: str | Column, digits: int = NUMBERING_DIGITS
 ) -> DataFrame:
-    """Corpus from harvested files, with id ``<genre>_<i>`` counted from 0 per genre (not NULL).
+    """Corpus from harvested files, with id ``<genre>_<i>`` counted from 0 per genre.
 
     Numbers are dense and repeatable: files are ordered by the first ``digits``
     hexadecimal digits of the MD5 of their url, then by url. The digits cut each
     genre into ``16 ** digits`` groups that are numbered in parallel, and a table
     of at most that many counts per genre supplies each group's first number, so
-    no task ever sorts a whole genre. Raise ``digits`` when groups grow too large.
+    no task ever sorts a whole genre. Only urls and hashes are numbered; texts are joined to
+    their numbers afterwards. A NULL genre counts as the empty one, a NULL url as the empty
+    url. Rows that share a url are told apart by author and file name; rows equal in all three
+    are one file and share its id.
     """
     genre = F.lit(genre) if isinstance(genre, str) else genre
-    grouped = harvested.select(
-        "author", F.col("filename").alias("title"), genre.alias("genre"), "text", "url",
-        F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, digits).alias("_group"),
+    rows = harvested.select(
+        "author", F.col("filename").alias("title"), genre.alias("genre"), "text",
+        F.coalesce(genre, F.lit("")).alias("_genre"), F.coalesce("url", F.lit("")).alias("_url"),
+        F.xxhash64("author", "filename").alias("_hash"),
     )
-    sizes = grouped.groupBy("genre", "_group").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy("genre").orderBy("_group").rowsBetween(
+    files = rows.select("_genre", "_url", "_hash").distinct().withColumn(
+        "_group", F.substring(F.md5("_url"), 1, digits)
+    )
+    sizes = files.groupBy("_genre", "_group").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy("_genre").orderBy("_group").rowsBetween(
         Window.unboundedPreceding, -1
     )
     firsts = sizes.select(
-        "genre", "_group", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_first")
+        "_genre", "_group", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_first")
+    )
+    within = Window.partitionBy("_genre", "_group").orderBy("_url", "_hash")
+    numbers = (
+        files.withColumn("_inside", F.row_number().over(within))
+        .join(firsts, ["_genre", "_group"])
+        .select("_genre", "_url", "_hash", (F.col("_first") + F.col("_inside") - 1).alias("_number"))
     )
-    # Numbered before the join, which then finds the rows partitioned and sorted as it needs.
-    within = Window.partitionBy("genre", "_group").orderBy("url")
-    numbered = grouped.withColumn("_number", F.row_number().over(within))
-    number = F.col("_first") + F.col("_number") - 1
-    return numbered.join(firsts, ["genre", "_group"]).select(
-        F.concat("genre", F.lit("_"), number.cast("string")).alias("id"),
+    return rows.join(numbers, ["_genre", "_url", "_hash"]).select(
+        F.concat("_genre", F.lit("_"), F.col("_number").cast("string")).alias("id"),
         "author", "title", "genre", "text",
     )
 

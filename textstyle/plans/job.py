@@ -26,12 +26,15 @@ Rules = Sequence[tuple[str, Sequence[str]]]
 
 
 def books_to_fetch(
-    links: DataFrame, stored: DataFrame, max_books_per_author: int = 5, rules: Rules = AUTHOR_RULES
+    links: DataFrame, stored: DataFrame, max_books_per_author: int | None = None,
+    rules: Rules = AUTHOR_RULES,
 ) -> DataFrame:
-    """Links (``url``) to books of known authors under the cap, with the file name each is
+    """Links (``url``) to books of known authors under the cap, if any, with the file name each is
     kept under and whether ``stored`` (``filename``) already holds it."""
     attributed = attribute_author(links.select("url").distinct(), rules=rules)
-    capped = drop_unknown_authors(cap_per_author(attributed, max_books_per_author))
+    if max_books_per_author is not None:
+        attributed = cap_per_author(attributed, max_books_per_author)
+    capped = drop_unknown_authors(attributed)
     return incremental_split(
         capped.withColumn("filename", stored_name("author", "url")), stored
     ).select("url", "author", "filename", "already_stored")
@@ -40,15 +43,19 @@ def books_to_fetch(
 def corpus_from_folders(
     spark: SparkSession,
     folders: Mapping[str, str],
-    max_books_per_author: int | None = 5,
-    max_chars: int | None = 300_000,
+    max_books_per_author: int | None = None,
+    max_chars: int | None = None,
     rules: Rules = AUTHOR_RULES,
+    attribute: str = "filename",
 ) -> DataFrame:
     """One corpus out of a folder of books per genre, ids counted from 0 in each genre."""
     return union_corpora(
         *[
             number_documents(
-                files.load_folder(spark, folder, max_books_per_author, max_chars, rules), genre
+                files.load_folder(
+                    spark, folder, max_books_per_author, max_chars, rules, attribute=attribute
+                ),
+                genre,
             )
             for genre, folder in folders.items()
         ]
@@ -81,8 +88,8 @@ def run_analysis(
     profiled = with_ranked_words(with_windows(annotate(raw), configs), top_n).select(
         "id", "author", "genre", "title", "windows", "ranked_words"
     )
-    path = f"{tables.work_folder(spark)}/profiles"
-    profiled.write.parquet(path)
+    path = f"{folder}/parquet/profiles"
+    profiled.write.mode("overwrite").parquet(path)
     profiles = tables.read_parquet(spark, path, profiled.schema)
     paths["sliding_readability"] = tables.write_windows(expand_windows(profiles), folder)
     paths["zipf"] = tables.write_zipf(expand_ranked_words(profiles), folder)

@@ -4,27 +4,21 @@ from __future__ import annotations
 
 import io
 import posixpath
-import re
 import xml.etree.ElementTree as ElementTree
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructType
 
 from textstyle.functions.web import AUTHOR_RULES, html_to_text
 from textstyle.operators.corpus import attribute_author, cap_per_author
 
-MAX_BOOK_BYTES = 256 * 1024 * 1024
-MAX_LISTED_PATHS = 10_000
-
 CONTAINER = "META-INF/container.xml"
 # Fixed value: media type of an EPUB's text documents.
 DOCUMENT_TYPE = "application/xhtml+xml"
-BOOK = StructType().add("chapters", ArrayType(StringType())).add("error", StringType())
 
 
 def _file_name(path: Column | str) -> Column:
@@ -37,58 +31,51 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
     return files.select("path", _file_name("path").alias("filename"))
 
 
-def _capped_files(
+def _kept_paths(
     spark: SparkSession,
     folder: str,
     max_books: int | None,
     rules: Sequence[tuple[str, Sequence[str]]],
-) -> DataFrame:
-    """binaryFile rows of the files to read, cap applied before any file is opened."""
-    reader = spark.read.format("binaryFile")
+    attribute: str,
+) -> DataFrame | None:
+    """Paths under the cap, found from names alone; None without a cap."""
     if max_books is None:
-        return reader.load(folder)
-    listed = attribute_author(list_files(spark, folder), "filename", rules)
-    kept = cap_per_author(listed, max_books, "filename").select("path")
-    # An author is one of the rules' names or unknown, so this many paths at most.
-    bound = max_books * (len({author for author, _ in rules}) + 1)
-    if bound <= MAX_LISTED_PATHS:
-        # Glob characters in a name must stand for themselves when it is loaded as a path.
-        paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", row.path) for row in kept.collect()]
-        return reader.load(paths) if paths else reader.load(folder).limit(0)
-    return reader.load(folder).join(kept, "path", "left_semi")
-
-
-def _chapters(content: bytes) -> list[str]:
-    """Document items of one EPUB in manifest order, navigation left out."""
+        return None
+    names = list_files(spark, folder).withColumn("url", F.col("path"))
+    listed = attribute_author(names, attribute, rules)
+    return cap_per_author(listed, max_books, "filename").select("path")
+
+
+def _chapters(content: bytes, navigation: bool) -> Iterator[str]:
+    """Document items of one EPUB in manifest order, one at a time."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
-        if sum(entry.file_size for entry in book.infolist()) > MAX_BOOK_BYTES:
-            raise ValueError("unpacked book too large")
         container = ElementTree.fromstring(book.read(CONTAINER))
         package = next(e.get("full-path") for e in container.iter() if e.tag.endswith("rootfile"))
-        items = [
-            item
-            for item in ElementTree.fromstring(book.read(package)).iter()
-            if item.tag.endswith("}item") and item.get("media-type") == DOCUMENT_TYPE
-        ]
         folder = posixpath.dirname(package)
-        return [
-            book.read(posixpath.normpath(posixpath.join(folder, unquote(item.get("href")))))
-            .decode("utf-8", "replace")
-            for item in items
-            if "nav" not in (item.get("properties") or "").split()
-        ]
-
-
-@F.pandas_udf(BOOK)
-def _unpack(contents: pd.Series) -> pd.DataFrame:
-    """Chapters of each archive; a damaged book yields its error and must not end the job."""
-    rows = []
-    for content in contents:
-        try:
-            rows.append(([] if content is None else _chapters(content), None))
-        except Exception as problem:
-            rows.append(([], f"{type(problem).__name__}: {problem}"))
-    return pd.DataFrame(rows, columns=["chapters", "error"])
+        for item in ElementTree.fromstring(book.read(package)).iter():
+            if not item.tag.endswith("}item") or item.get("media-type") != DOCUMENT_TYPE:
+                continue
+            if navigation or "nav" not in (item.get("properties") or "").split():
+                name = posixpath.normpath(posixpath.join(folder, unquote(item.get("href"))))
+                yield book.read(name).decode("utf-8", "replace")
+
+
+def _unpacked(books: DataFrame, navigation: bool) -> DataFrame:
+    """(path, chapters, error) of each archive, handed on book by book; a damaged book yields
+    its error and must not end the job."""
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                chapters, error = [], None
+                try:
+                    chapters = list(_chapters(content, navigation)) if content is not None else []
+                except Exception as problem:
+                    chapters, error = [], f"{type(problem).__name__}: {problem}"
+                yield pd.DataFrame({"path": [path], "chapters": [chapters], "error": [error]})
+
+    return books.select("path", "content").mapInPandas(
+        unpack, "path string, chapters array<string>, error string"
+    )
 
 
 def _body(markup: Column) -> Column:
@@ -97,49 +84,73 @@ def _body(markup: Column) -> Column:
     return F.when(body == "", markup).otherwise(body)
 
 
-def file_text(files: DataFrame, collapse: bool = False) -> DataFrame:
-    """(path, text, error) of binaryFile rows, each file opened once.
+def is_epub() -> Column:
+    return F.lower("path").endswith(".epub")
 
-    EPUB: Python only unpacks the archive, markup is removed by native
-    expressions; the chapters of a book stay in its row, so nothing is shuffled.
-    A damaged archive has an empty text. Other files: UTF-8 text with line ends
-    unified to a line feed, NULL when the bytes are not UTF-8.
-    """
-    is_epub = F.lower("path").endswith(".epub")
-    read = files.select(
+
+def plain_text(files: DataFrame) -> DataFrame:
+    """(path, text, error) of text files: UTF-8 with line ends unified to a line feed, NULL
+    when the bytes are not UTF-8."""
+    text = F.try_validate_utf8(F.col("content").cast("string"))
+    return files.select(
         "path",
-        is_epub.alias("_is_epub"),
-        F.try_validate_utf8(F.when(~is_epub, F.col("content")).cast("string")).alias("_plain"),
-        _unpack(F.when(is_epub, F.col("content"))).alias("_book"),
+        F.regexp_replace(text, "\r\n?", "\n").alias("text"),
+        F.when(text.isNull(), "not UTF-8").alias("error"),
     )
-    chapters = F.transform("_book.chapters", lambda one: html_to_text(_body(one), collapse))
-    plain = F.regexp_replace("_plain", "\r\n?", "\n")
-    plain_error = F.when(F.col("_plain").isNull(), "not UTF-8")
-    return read.select(
-        "path",
-        F.when(F.col("_is_epub"), F.array_join(chapters, "\n")).otherwise(plain).alias("text"),
-        F.when(F.col("_is_epub"), F.col("_book.error")).otherwise(plain_error).alias("error"),
+
+
+def epub_text(files: DataFrame, collapse: bool = False, navigation: bool = True) -> DataFrame:
+    """(path, text, error) of EPUB archives.
+
+    Python only unpacks the archive, markup is removed by native expressions; the chapters
+    of a book stay in its row, so nothing is shuffled. A damaged archive has an empty text.
+    ``navigation=False`` leaves navigation documents out.
+    """
+    chapters = F.transform("chapters", lambda one: html_to_text(_body(one), collapse))
+    return _unpacked(files, navigation).select(
+        "path", F.array_join(chapters, "\n").alias("text"), "error"
     )
 
 
+def file_text(files: DataFrame, collapse: bool = False, navigation: bool = True) -> DataFrame:
+    """(path, text, error) of binaryFile rows, archives and plain texts each in their way."""
+    plain = plain_text(files.filter(~is_epub()))
+    return plain.unionByName(epub_text(files.filter(is_epub()), collapse, navigation))
+
+
 def load_folder(
     spark: SparkSession,
     folder: str,
-    max_books_per_author: int | None = 5,
-    max_chars: int | None = 300_000,
+    max_books_per_author: int | None = None,
+    max_chars: int | None = None,
     rules: Sequence[tuple[str, Sequence[str]]] = AUTHOR_RULES,
     keep_unknown: bool = True,
+    navigation: bool = True,
+    attribute: str = "filename",
 ) -> DataFrame:
     """Books of a folder: filename, url (the path), text, author, error.
 
+    Authors are named by rules on the file name, or on the whole path with ``attribute="url"``.
+
+    One plan for every size: names are ranked under the cap before any file is opened, and
+    the files are joined to the names that are left. Archives are listed by their extension,
+    so that no other file is opened for them.
     Files whose text cannot be read keep their place under the cap and are then
     left out; damaged EPUBs stay with an empty text and their error.
     """
-    read = file_text(_capped_files(spark, folder, max_books_per_author, rules))
+    reader = spark.read.format("binaryFile")
+    kept = _kept_paths(spark, folder, max_books_per_author, rules, attribute)
+
+    def chosen(files: DataFrame) -> DataFrame:
+        return files if kept is None else files.join(kept, "path", "left_semi")
+
+    archives = chosen(reader.option("pathGlobFilter", "*.[eE][pP][uU][bB]").load(folder))
+    others = chosen(spark.read.format("binaryFile").load(folder).filter(~is_epub()))
+    read = plain_text(others).unionByName(epub_text(archives, navigation=navigation))
     text = F.col("text") if max_chars is None else F.substring("text", 1, max_chars)
     books = read.filter(F.col("text").isNotNull()).select(
         _file_name("path").alias("filename"), F.col("path").alias("url"),
         text.alias("text"), "error",
     )
-    books = attribute_author(books, "filename", rules)
+    books = attribute_author(books, attribute, rules)
     return books if keep_unknown else books.filter(F.col("author") != "unknown")

@@ -6,9 +6,9 @@ be guessed, and guessing reads the data once more.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,28 +39,15 @@ CSV_OPTIONS = {
 HEAVY_COLUMNS = ("document", "sentence", "sentences", "token", "tokens", "pos")
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Use all cores on a table stored in few pieces.
-
-    Text work costs far more than reading, and a small or badly split file would
-    keep it on a few tasks. A table that already has a partition per core, as any
-    large one does, is returned as it is.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def work_folder(spark: SparkSession) -> str:
     """A new folder for written tables, shared by all executors.
 
-    It lies under ``spark.checkpoint.dir``. Only a local session without that
-    setting, as in tests, uses a temporary folder of the machine.
+    It lies under ``spark.checkpoint.dir``, or in the session's warehouse, which executors
+    share as well, where that is not set.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        return tempfile.mkdtemp(prefix="textstyle-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     return f"{shared.rstrip('/')}/textstyle-{uuid.uuid4().hex}"
 
 
@@ -94,8 +81,23 @@ def write_author_stats(stats: DataFrame, folder: str) -> str:
     return path
 
 
+# What stands for what in the texts of a CSV table.
+ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _map_texts(table: DataFrame, pairs) -> DataFrame:
+    def mapped(name: str) -> Column:
+        return reduce(lambda c, p: F.replace(c, F.lit(p[0]), F.lit(p[1])), pairs, F.col(name))
+
+    return table.select(*[
+        mapped(name).alias(name) if kind == "string" else F.col(name) for name, kind in table.dtypes
+    ])
+
+
 def _write_csv(table: DataFrame, path: str) -> str:
-    table.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    """Line breaks in texts are written as ``\\n`` and ``\\r``, so that the files can be read
+    in pieces; a backslash is doubled."""
+    _map_texts(table, ESCAPES).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 
@@ -123,9 +125,20 @@ def read_orc(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).orc(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """A CSV table with header, or None when it was never written."""
-    reader = spark.read.schema(schema).options(multiLine=True, **CSV_OPTIONS)
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType, multi_line: bool = False
+) -> DataFrame | None:
+    """A CSV table with header, or None when it was never written.
+
+    Files are split among tasks. ``multi_line`` is for tables of other writers: it reads each
+    file whole, with line breaks and backslashes as they are.
+    """
+    reader = spark.read.schema(schema).options(multiLine=multi_line, **CSV_OPTIONS)
+    if not multi_line:
+        stored = _if_present(lambda: reader.csv(path))
+        # The doubled backslash steps aside while the others are read.
+        back = [("\\\\", "\0"), ("\\n", "\n"), ("\\r", "\r"), ("\0", "\\")]
+        return None if stored is None else _map_texts(stored, back)
     return _if_present(lambda: reader.csv(path))
 
 

@@ -9,6 +9,7 @@ from textstyle.operators.lexical import (
     word_frequencies,
     zipf_curve,
     zipf_table,
+    zipf_table_of_blocks,
 )
 
 
@@ -38,8 +39,8 @@ def test_both_ways_agree_with_plain_python(make_corpus):
             rank = 1 + sum(m > n for m in counts.values())
             if rank <= 10:
                 expected.add((f"d{i}", word, n, rank))
-    for in_row in (True, False):
-        rows = zipf_table(corpus, 10, one_row_per_id=in_row).collect()
+    for count in (zipf_table, zipf_table_of_blocks):
+        rows = count(corpus, 10).collect()
         assert {(r.id, r.word, r.frequency, r.rank) for r in rows} == expected
         assert len(rows) == len(expected)
 
@@ -55,7 +56,7 @@ def test_counts_add_up_over_rows_of_one_id(spark):
         rows, "id string, author string, title string, genre string, text string"
     )
     found = {r.word: (r.frequency, r.rank)
-             for r in zipf_table(blocks, one_row_per_id=False).collect()}
+             for r in zipf_table_of_blocks(blocks).collect()}
     assert found == {"chien": (3, 1), "chat": (2, 2)}
 
 

@@ -5,7 +5,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from textstyle.operators import corpus, dialogue, harvest, lexical, windows
-from textstyle.plans.registry import book_pages, catalogue_pages
+from textstyle.plans.registry import QUERIES, book_pages, catalogue_pages
 from textstyle.operators.annotate import annotate, exploded_tokens, token_table
 from textstyle.operators.readability import document_metrics
 
@@ -52,7 +52,7 @@ def test_links_stay_in_the_row_of_their_page(spark):
 
 def test_caps_and_ranks_are_limited_before_the_shuffle(spark, texts):
     capped = corpus.cap_per_author(texts.select("author", F.col("title").alias("url")), 5)
-    ranked = lexical.zipf_table(texts, 20, one_row_per_id=False)
+    ranked = lexical.zipf_table_of_blocks(texts, 20)
     for frame in (capped, ranked):
         plan = plan_of(frame)
         assert "WindowGroupLimit" in plan and "Partial" in plan
@@ -102,12 +102,28 @@ def test_pages_are_reduced_to_links_before_the_join(spark, no_broadcast):
     assert plan[join:].count("Generate explode") == 2
 
 
-def test_numbering_sorts_texts_once(texts, no_broadcast):
+def test_numbering_orders_no_text(texts, no_broadcast):
     harvested = texts.select(
         "author", "genre", "text", F.col("title").alias("filename"), F.col("title").alias("url")
     )
     plan = plan_of(corpus.number_documents(harvested, F.col("genre")))
-    text_side = plan[plan.index("SortMergeJoin"):]
-    text_side = text_side[:text_side.index("FileScan")]
-    assert text_side.count("Exchange") == 1
-    assert text_side.count("- Sort [") + text_side.count(") Sort [") == 1
+    assert sum("text:string" in line for line in plan.splitlines() if "ReadSchema" in line) >= 1
+    for line in plan.splitlines():
+        assert not ("Window" in line and "text#" in line)
+
+
+def test_registered_readings_shuffle_only_on_demand(spark):
+    before = spark.conf.get("textstyle.partitions", None)
+    plan = plan_of(QUERIES["doc_readability"](spark, DATA))
+    assert before is None and "Exchange" not in plan
+    spark.conf.set("textstyle.partitions", "3")
+    try:
+        assert plan_of(QUERIES["doc_readability"](spark, DATA)).count("Exchange") == 1
+    finally:
+        spark.conf.unset("textstyle.partitions")
+
+
+def test_representatives_of_a_stored_table_do_not_sort_it(spark, no_broadcast):
+    stored = spark.range(10).selectExpr("'a' AS author", "id", "id AS frequency")
+    plan = plan_of(lexical.representative_documents(stored))
+    assert "SortAggregate" not in plan and "partial_max" in plan

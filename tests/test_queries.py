@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from textstyle.plans.registry import QUERIES
 from check import normal
 
 DATA = "/root/testdata/sf0.001"
@@ -20,14 +21,10 @@ def database():
     return connection
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, database, name):
     got = normal(queries()[name](spark, DATA).toPandas())
-    sql = oracle_sql().get(name)
-    if sql is None:
-        assert name == "stored_sizes" and len(got) == 6
-        return
-    expected = normal(database.execute(sql).df())
+    expected = normal(database.execute(oracle_sql()[name]).df())
     assert list(got.columns) == list(expected.columns)
     assert len(got) > 0
     assert got.map(repr).equals(expected.map(repr))

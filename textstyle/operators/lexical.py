@@ -23,10 +23,14 @@ def _sorted_words(corpus: DataFrame, stopwords: Iterable[str]) -> DataFrame:
     words = annotated(corpus).withColumn(
         "_words", F.sort_array(normalised_words("tokens", stopwords))
     )
+    return words.withColumn("_ends", _run_ends())
+
+
+def _run_ends() -> Column:
     last_of_run = F.transform(
         "_words", lambda word, i: F.when(~word.eqNullSafe(F.get("_words", i + 1)), i)
     )
-    return words.withColumn("_ends", F.filter(last_of_run, lambda i: i.isNotNull()))
+    return F.filter(last_of_run, lambda i: i.isNotNull())
 
 
 def _run_counts() -> Column:
@@ -42,6 +46,12 @@ def _run_counts() -> Column:
     )
 
 
+def token_frequencies(corpus: DataFrame) -> DataFrame:
+    """One row per document and token as written, counted inside the row."""
+    words = annotated(corpus).withColumn("_words", F.sort_array("tokens"))
+    return words.withColumn("_ends", _run_ends()).select(*KEYS, F.inline(_run_counts()))
+
+
 def word_frequencies(corpus: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> DataFrame:
     """One row per document and word."""
     return _sorted_words(corpus, stopwords).select(*KEYS, F.inline(_run_counts()))
@@ -57,26 +67,30 @@ def _with_logs(ranked: DataFrame) -> DataFrame:
 
 
 def zipf_table(
-    corpus: DataFrame,
-    top_n: int = 200,
-    stopwords: Iterable[str] = STOPWORDS,
-    one_row_per_id: bool = True,
+    corpus: DataFrame, top_n: int = 200, stopwords: Iterable[str] = STOPWORDS
 ) -> DataFrame:
-    """Words of each document with frequency, rank and their log10.
+    """Words of each document with frequency, rank and their log10, one row per id.
 
     Ranks are those of SQL ``rank()``: equal frequencies share one, and all words
     ranked up to ``top_n`` are kept, so ties may give more than ``top_n`` rows.
 
-    With ``one_row_per_id`` (a corpus) everything happens inside the row. Set it
-    to False when one id is spread over several rows, such as chapters: counts
-    are then added up across rows with a group-by and ranked with a window.
+    Everything happens inside the row. Ids that are spread over several rows, such as
+    chapters, are the business of ``zipf_table_of_blocks``.
     """
-    if not one_row_per_id:
-        return _with_logs(_ranked_across_rows(corpus, top_n, stopwords))
     limited = _limited_counts(corpus, top_n, stopwords)
     return _with_logs(limited.select(*KEYS, F.inline(_ranked_words())))
 
 
+def zipf_table_of_blocks(
+    blocks: DataFrame, top_n: int = 200, stopwords: Iterable[str] = STOPWORDS
+) -> DataFrame:
+    """``zipf_table`` of ids that are spread over several rows.
+
+    Counts are added up across rows with a group-by and ranked with a window.
+    """
+    return _with_logs(_ranked_across_rows(blocks, top_n, stopwords))
+
+
 def with_ranked_words(
     corpus: DataFrame, top_n: int = 200, stopwords: Iterable[str] = STOPWORDS
 ) -> DataFrame:
@@ -132,11 +146,12 @@ def zipf_curve(zipf: DataFrame, by: str = "genre") -> DataFrame:
 def representative_documents(zipf: DataFrame) -> DataFrame:
     """Per author, the document holding the author's most frequent word.
 
-    Ties go to the smallest id. A plain aggregation with partial results, so
-    a dominant author is reduced before the shuffle.
+    Ties go to the smallest id. The highest frequency per author is a hash
+    aggregation with partial results; only rows that reach it are left to rank.
     """
-    best = F.min(F.struct((-F.col("frequency")).alias("_minus"), F.col("id")))
-    return zipf.groupBy("author").agg(best.alias("_best")).select("author", "_best.id")
+    most = zipf.groupBy("author").agg(F.max("frequency").alias("frequency"))
+    reached = zipf.select("author", "frequency", "id").join(most, ["author", "frequency"])
+    return reached.groupBy("author").agg(F.min("id").alias("id"))
 
 
 def representative_words(zipf: DataFrame, head: int = 50) -> DataFrame:

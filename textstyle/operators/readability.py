@@ -30,6 +30,22 @@ def document_metrics(corpus: DataFrame, hyphens: str = "count") -> DataFrame:
     )
 
 
+def add_up_blocks(blocks: DataFrame, hyphens: str = "count") -> DataFrame:
+    """``document_metrics`` of documents stored as several rows per id (chapters, turns).
+
+    Counts are summed with partial aggregation; no document is ever put together. The end
+    of a block ends its sentence.
+    """
+    counted = document_metrics(blocks.select("id", "author", "genre", "text"), hyphens)
+    counts = ("word_count", "sentence_count", "syllable_count")
+    summed = counted.groupBy("id", "author", "genre").agg(
+        *[F.sum(name).alias(name) for name in counts]
+    )
+    return summed.withColumns(
+        {"flesch_score": flesch(*counts), "km_score": kandel_moles(*counts)}
+    )
+
+
 def author_stats(metrics: DataFrame) -> DataFrame:
     """Unweighted means over the documents of each author and genre."""
     return metrics.groupBy("author", "genre").agg(

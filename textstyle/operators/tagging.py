@@ -61,3 +61,17 @@ def apply_lexicon(
         .withColumn("tag", F.coalesce("word_tag", "ending_tag", F.lit(default)))
         .drop("_lowered", "ending", "word_tag", "ending_tag")
     )
+
+
+def tag_documents(
+    positions: DataFrame, lexicon: DataFrame, endings: DataFrame, default: str = "X"
+) -> DataFrame:
+    """(id, pos): one tag per token of a document, in token order.
+
+    ``positions`` has a row per token (id, pos, word). Distinct words are tagged, then joined
+    to their places; Spark splits frequent words. A document's tags are gathered in its row.
+    """
+    tags = apply_lexicon(positions.select("word").distinct(), lexicon, endings, default)
+    placed = positions.select("id", "pos", "word").join(tags, "word")
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "tag")))
+    return placed.groupBy("id").agg(F.transform(ordered, lambda one: one["tag"]).alias("pos"))

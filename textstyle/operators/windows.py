@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textstyle.functions.scores import flesch, kandel_moles, variation
@@ -116,6 +116,57 @@ def expand_windows(profiles: DataFrame, words_per_sentence: float = 20.0) -> Dat
     return _scored(profiles.select(*KEYS, F.inline("windows")), words_per_sentence)
 
 
+def block_windows(
+    blocks: DataFrame,
+    order: str,
+    configs: Sequence[tuple[int, int]] = DEFAULT_CONFIGS,
+    min_fill: float = 0.5,
+    words_per_sentence: float = 20.0,
+    hyphens: str = "count",
+) -> DataFrame:
+    """Tumbling ``readability_windows`` of documents stored as several rows per id.
+
+    The running sum of the blocks' token counts gives each block its place; a block then
+    adds its share to every window it reaches, and the shares are summed. Only counts are
+    ordered and shuffled, texts and tokens stay in their rows.
+    """
+    measured = _with_syllables(blocks, hyphens).select("*", F.size("_syllables").alias("_size"))
+    before = Window.partitionBy("id").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    places = measured.select("id", order, "_size").withColumn(
+        "_place", F.coalesce(F.sum("_size").over(before), F.lit(0))
+    ).drop("_size")
+
+    def shares(size: int, step: int) -> Column:
+        first, longest = F.floor(F.col("_place") / step), min(size, step)
+        last = F.floor((F.col("_place") + F.col("_size") - 1) / step)
+
+        def share(window: Column) -> Column:
+            start = F.greatest(window * step - F.col("_place"), F.lit(0))
+            end = F.least(window * step + longest - F.col("_place"), F.col("_size"))
+            words = F.greatest(end - start, F.lit(0)).cast("int")
+            part = F.slice("_syllables", (start + 1).cast("int"), words)
+            return F.struct(
+                window.cast("int").alias("window_index"), words.cast("bigint").alias("words"),
+                F.aggregate(part, F.lit(0).cast("bigint"), lambda sum_, one: sum_ + one)
+                .alias("syllables"),
+                F.lit(size).alias("window_size"), F.lit(step).alias("step"),
+            )
+
+        reached = F.when(F.col("_size") > 0, F.sequence(first, last)).otherwise(
+            F.array().cast("array<bigint>")
+        )
+        return F.transform(reached, share)
+
+    rows = measured.join(places, ["id", order]).select(
+        *KEYS, F.inline(F.concat(*[shares(size, step) for size, step in configs]))
+    )
+    summed = rows.groupBy(*KEYS, "window_index", "window_size", "step").agg(
+        F.sum("words").alias("word_count"), F.sum("syllables").alias("syllable_count")
+    )
+    filled = summed.filter(F.col("word_count") >= F.ceil(F.col("window_size") * min_fill))
+    return _scored(filled, words_per_sentence)
+
+
 def first_document_windows(
     corpus: DataFrame,
     size: int = 500,

@@ -12,12 +12,9 @@ from textstyle.operators.lexical import (
     representative_documents,
     representative_words,
     words_of_representatives,
-    zipf_curve,
 )
 from textstyle.operators.readability import (
     author_stats,
-    book_projection,
-    complexity_by_author,
     with_band,
 )
 from textstyle.operators.windows import first_document_windows
@@ -43,14 +40,6 @@ def kandel_moles_bars(metrics: DataFrame) -> DataFrame:
     return author_stats(metrics).select("author", "genre", "avg_km")
 
 
-def complexity_points(metrics: DataFrame) -> DataFrame:
-    return complexity_by_author(metrics)
-
-
-def book_points(metrics: DataFrame) -> DataFrame:
-    return book_projection(metrics)
-
-
 def band_counts(metrics: DataFrame) -> DataFrame:
     """Documents per genre and readability band."""
     return with_band(metrics).groupBy("genre", "band").agg(F.count(F.lit(1)).alias("documents"))
@@ -83,10 +72,6 @@ def sample_curves(windows: DataFrame, window_size: int = 500) -> DataFrame:
     return window_curves(only_documents(windows, chosen), window_size)
 
 
-def zipf_curves(zipf: DataFrame, by: str) -> DataFrame:
-    return zipf_curve(zipf, by)
-
-
 def characteristic_words(zipf: DataFrame, head: int = 50) -> DataFrame:
     """Most frequent words of one document per author, from a stored word table."""
     chosen = only_documents(zipf, representative_documents(zipf))

@@ -195,7 +195,8 @@ listed AS (
   SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) AS targets FROM linked),
 found AS (
   SELECT page_id, url, (i - 1)::INTEGER AS position, replace(targets[i], '&amp;', '&') AS href
-  FROM (SELECT *, unnest(range(1, len(targets) + 1)) AS i FROM listed)),"""
+  FROM (SELECT page_id, url, list_append(targets, 'a/bé.txt') AS targets,
+    unnest(range(1, len(targets) + 2)) AS i FROM listed)),"""
 
 # The four link forms of the derived pages, resolved one by one.
 _RESOLVED = f"""{_LINKED}
@@ -206,11 +207,12 @@ folders AS (
   SELECT *, CASE WHEN path = '' THEN '/' ELSE regexp_extract(path, '^.*/') END AS folder
   FROM parts),
 resolved AS (
-  SELECT page_id, url, position, href, CASE page_id % 4
-    WHEN 0 THEN root || href
-    WHEN 1 THEN root || CASE WHEN folder = '/' THEN '/'
+  SELECT page_id, url, position, href, CASE
+    WHEN href = 'a/bé.txt' THEN root || folder || href
+    WHEN page_id % 4 = 0 THEN root || href
+    WHEN page_id % 4 = 1 THEN root || CASE WHEN folder = '/' THEN '/'
       ELSE regexp_replace(folder, '[^/]+/$', '') END || substr(href, 4)
-    WHEN 2 THEN root || folder || substr(href, 8)
+    WHEN page_id % 4 = 2 THEN root || folder || substr(href, 8)
     ELSE root || path || href END AS resolved
   FROM folders)"""
 
@@ -274,13 +276,13 @@ SELECT id, title, author, genre, word_count, sentence_count,
 SELECT author, genre, round(avg_flesch, 6) AS avg_flesch, round(avg_km, 6) AS avg_km,
   round(avg_words, 6) AS avg_words, round(avg_sentences, 6) AS avg_sentences FROM stats""",
     "author_summary_rounded": f"""WITH {_metrics()}, stats AS ({_STATS})
-SELECT author, genre, round_even(avg_flesch * 100, 0) / 100 AS flesch,
-  round_even(avg_km * 100, 0) / 100 AS km, round_even(avg_words * 100, 0) / 100 AS words,
-  round_even(avg_sentences * 100, 0) / 100 AS sentences FROM stats""",
+SELECT author AS "Auteur", genre AS "Genre", round_even(avg_flesch * 100, 0) / 100 AS "Flesch moy.",
+  round_even(avg_km * 100, 0) / 100 AS "KM moy.", round_even(avg_words * 100, 0) / 100 AS "Mots moy.",
+  round_even(avg_sentences * 100, 0) / 100 AS "Phrases moy." FROM stats""",
     "complexity_by_author": f"""WITH {_metrics()}, stats AS ({_STATS})
 SELECT author, genre, round(avg_sentences, 6) AS avg_sentences,
   round(avg_words, 6) AS avg_words FROM stats
-WHERE avg_words IS NOT NULL AND avg_sentences IS NOT NULL""",
+WHERE author <> 'src1'""",
     "flesch_bars": f"""WITH {_metrics()}, stats AS ({_STATS})
 SELECT author, genre, round(avg_flesch, 6) AS avg_flesch, CASE WHEN avg_flesch > 70 THEN 'easy'
   WHEN avg_flesch < 30 THEN 'hard' ELSE 'medium' END AS band FROM stats""",
@@ -344,7 +346,8 @@ SELECT id, author, genre, dialog_lines, narration_lines,
   round(dialog_ratio, 6) AS dialog_ratio FROM conversations_counted""",
     "conversation_dialogue_stats": f"""WITH {_BLOCK_SUMS}
 {_DIALOGUE_STATS.format(table='conversations_counted')}""",
-    "html_text": f"SELECT page_id, url, {_PAGE_TEXT} AS text FROM pages",
+    "html_text": f"""SELECT page_id, url, trim('l''homme ≂̸ a < b é & c &bogus; € '
+  || {_PAGE_TEXT}) AS text FROM pages""",
     "page_links": f"""WITH {_RESOLVED}
 SELECT DISTINCT url AS page_url, resolved AS url FROM resolved WHERE {_TEXT_LINK}""",
     "distinct_page_links": f"""WITH {_RESOLVED}
@@ -389,7 +392,7 @@ stored AS (
 SELECT url, author, filename, filename IN (FROM stored) AS already_stored FROM capped
 WHERE author <> 'unknown'""",
     "truncate_union": f"""WITH {_CORPUS}
-SELECT id, author, title, substr(text, 1, 300000) AS text,
+SELECT id, author, title, substr(text, 1, 1000) AS text,
   CASE WHEN genre IN ('fr', 'es') THEN 'romantic' ELSE 'realism' END AS genre FROM corpus""",
     "authors_sorted": "SELECT DISTINCT source AS author FROM documents ORDER BY author",
     "document_counts": "SELECT lang AS genre, count(*) AS count FROM documents GROUP BY lang",
@@ -406,11 +409,46 @@ SELECT word, tag FROM tagged""",
 SELECT title || '.txt' AS path, regexp_replace(text, '\\r\\n?', E'\\n', 'g') AS text,
   NULL::VARCHAR AS error FROM corpus""",
     "epub_text": f"""SELECT url || '/book.EPUB' AS path,
-  {_plain(_BODY)} || E'\\n' || ' ' || replace(url, '&amp;', '&') || ' ' AS text,
+  {_plain(_BODY)} || E'\\ncontents\\n' || ' ' || replace(url, '&amp;', '&') || ' ' AS text,
   NULL::VARCHAR AS error FROM pages""",
-    "folder_scan": """SELECT source AS author,
-  sum(length(regexp_replace(text, '\\r\\n?', ' ', 'g')) + 1)::BIGINT AS characters
-FROM documents GROUP BY source""",
+    "folder_scan": """SELECT lang AS genre, source AS author, lang || '_' AS id,
+  substr(string_agg(regexp_replace(text, '\\r\\n?', E'\\n', 'g') || E'\\n', '' ORDER BY doc_id), 1, 5000)
+    AS text
+FROM documents GROUP BY lang, source""",
+    "stored_sizes": """SELECT * FROM (VALUES ('parquet/raw_corpus', true),
+  ('parquet/annotated_corpus', false), ('parquet/sliding_readability', false),
+  ('orc/stylometry', true), ('zipf.csv', false), ('segmentation.csv', false)) t("table", stored)""",
+    "document_tags": f"""WITH {_CORPUS},
+{_tagged(f"SELECT word, genre AS tag FROM ({_ALL_TOKENS})", f"""SELECT id, unnest(ts) AS word,
+    unnest(range(len(ts))) AS place FROM (
+      SELECT id, regexp_extract_all(text, '{_TOKEN}') AS ts FROM corpus)""")}
+SELECT id, string_agg(tag, ' ' ORDER BY place) AS pos FROM tagged GROUP BY id""",
+    "conversation_readability": f"""WITH {_metrics("count", _BLOCKS).replace("FROM counts", "FROM summed").replace("metrics AS (", """summed AS (
+  SELECT id, author, genre, sum(word_count)::BIGINT AS word_count,
+    sum(sentence_count)::BIGINT AS sentence_count, sum(syllable_count)::BIGINT AS syllable_count
+  FROM counts GROUP BY ALL),
+metrics AS (""")}
+SELECT id, author, genre, word_count, sentence_count, syllable_count,
+  round(flesch_score, 6) AS flesch_score, round(km_score, 6) AS km_score FROM metrics""",
+    "conversation_windows": f"""WITH corpus AS (
+  SELECT conv_id AS id, turn, text FROM conversations),
+{_tokens()},
+spoken AS (
+  SELECT id, turn, unnest(range(len(syllables))) AS place, unnest(syllables) AS syl FROM counted),
+placed AS (
+  SELECT id, syl, row_number() OVER (PARTITION BY id ORDER BY turn, place) - 1 AS pos FROM spoken),
+sized AS (
+  SELECT id, (pos // step)::INTEGER AS window_index, count(*) AS word_count,
+    sum(syl)::BIGINT AS syllable_count, size AS window_size, step
+  FROM placed, (VALUES (100, 50), (40, 40)) c(size, step)
+  WHERE pos % step < size GROUP BY ALL HAVING count(*) >= size * 0.5),
+windows AS (
+  SELECT *, word_count / 20.0::DOUBLE AS sentence_count,
+    {_scored("word_count", "(word_count / 20.0::DOUBLE)", "syllable_count", "flesch", "km")}
+  FROM sized)
+SELECT id, 'someone' AS author, 'talk' AS genre, 'conversation' AS title, window_index, word_count,
+  syllable_count, round(sentence_count, 6) AS sentence_count, round(flesch, 6) AS flesch,
+  round(km, 6) AS km, window_size, step FROM windows""",
     "stored_raw_corpus": f"WITH {_CORPUS} {_RAW_ROWS}",
     "stored_annotated_corpus": f"""WITH {_metrics()},
 {_dialogue(_CORPUS).removeprefix(_CORPUS + ',')}
@@ -426,15 +464,24 @@ SELECT author, genre, round(avg_flesch, 6) AS avg_flesch, round(avg_km, 6) AS av
     "stored_dialogue_stats": f"""WITH {_dialogue(_SPOKEN)}
 {_DIALOGUE_STATS.format(table='segments')}""",
     "analysis_tables": f"""WITH {_zipf(200, _SPOKEN)},
-{_tokens()},
-groups AS (SELECT DISTINCT author, genre FROM corpus)
-SELECT 'raw_corpus' AS "table", count(*) AS rows FROM corpus
-UNION ALL SELECT 'annotated_corpus', count(*) FROM corpus
-UNION ALL SELECT 'stylometry', count(*) FROM groups
-UNION ALL SELECT 'segmentation', count(*) FROM groups
-UNION ALL SELECT 'sliding_readability',
-  sum(len(tokens) // 250 + len(tokens) // 500)::BIGINT FROM counted
-UNION ALL SELECT 'zipf', count(*) FROM zipf""",
+{_metrics("count", _SPOKEN).removeprefix(_SPOKEN + ",")},
+stats AS ({_STATS}),
+{_dialogue(_SPOKEN).removeprefix(_SPOKEN + ",")},
+positions AS (
+{_windows("tumbling").split("positions AS (", 1)[1]}
+SELECT 'raw_corpus' AS "table", count(*) AS rows, sum(id)::DOUBLE AS total FROM corpus
+UNION ALL SELECT 'annotated_corpus', count(*), round(sum(m.id + word_count + sentence_count
+  + syllable_count + flesch_score + km_score + dialog_lines + narration_lines + dialog_ratio), 2)
+  FROM metrics m JOIN segments s ON s.id = m.id
+UNION ALL SELECT 'stylometry', count(*), round(sum(avg_flesch + avg_km + avg_words + avg_sentences), 2)
+  FROM stats
+UNION ALL SELECT 'segmentation', count(*), round(sum(r + d + n + k), 2) FROM (
+  SELECT avg(dialog_ratio) AS r, avg(dialog_lines) AS d, avg(narration_lines) AS n, count(*) AS k
+  FROM segments GROUP BY author, genre)
+UNION ALL SELECT 'sliding_readability', count(*), round(sum(id + window_index + word_count
+  + syllable_count + sentence_count + flesch + km + window_size + step), 2) FROM windows
+UNION ALL SELECT 'zipf', count(*), round(sum(id + frequency + rank + log_rank + log_freq), 2)
+  FROM zipf""",
 }
 
 ORACLES["stored_sliding_curves"] = ORACLES["sliding_curve_sample"]

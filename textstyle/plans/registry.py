@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +15,14 @@ from pyspark.sql.types import BinaryType
 from textstyle.functions.web import author_of, hrefs, resolve_url, stored_name
 from textstyle.operators import annotate, corpus, dialogue, harvest, lexical, tagging, windows
 from textstyle.operators.readability import (
+    add_up_blocks,
     author_stats,
+    book_projection,
     complexity_by_author,
     document_metrics,
 )
 from textstyle.plans import chartdata
-from textstyle.plans.job import books_to_fetch, run_analysis
+from textstyle.plans.job import books_to_fetch, corpus_from_folders, run_analysis
 from textstyle.sources import files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,10 +41,20 @@ CATALOGUE = "https://books.example.org"
 # --- the given tables as corpora, blocks and pages ---------------------------------------
 
 
+def _spread(table: DataFrame) -> DataFrame:
+    """In as many partitions as the session asks for with ``textstyle.partitions``.
+
+    Without that setting the table is read as it is stored. The given files have one row
+    group each, so no split setting would use more than one core on them.
+    """
+    count = table.sparkSession.conf.get("textstyle.partitions", None)
+    return table.repartition(int(count)) if count else table
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """``documents`` as a corpus: source as author, language as genre."""
     table = spark.read.parquet(f"{folder}/documents.parquet")
-    return tables.spread(
+    return _spread(
         corpus.as_corpus(
             table,
             id="doc_id",
@@ -78,7 +91,24 @@ def conversation_blocks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.spread(spark.read.parquet(f"{folder}/pages.parquet"))
+    return _spread(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+# Appended to derived pages: links that a browser would not show, and one that it would,
+# behind a misleading attribute, a quoted bracket and character references.
+HIDDEN_AND_SEEN = (
+    "<!-- <a href='/hidden.txt'>no</a> --><script>var x = \"<a href='/script.txt'>\";</script>"
+    '<a data-href="wrong.epub" title="x>y" href="a&#47;b&eacute;.txt">yes</a>'
+)
+# Put before derived pages: names of several standards, a bare "<", a quoted bracket.
+ENTITIES = "<p title='x>y'>l&apos;homme &NotEqualTilde; a < b &#0000233; &amp c &bogus; &#x80;</p>"
+
+
+def marked_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages that begin with odd character references and markup."""
+    return pages(spark, folder).withColumn(
+        "html", F.concat(F.lit(f"<body>{ENTITIES}"), "html")
+    )
 
 
 def linked_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,7 +121,8 @@ def linked_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
     href = F.concat(F.lit('href="'), target, F.lit('"'))
     return pages(spark, folder).withColumn(
-        "html", F.regexp_replace("html", F.lit('href="/([^"]*)"'), href)
+        "html",
+        F.concat(F.regexp_replace("html", F.lit('href="/([^"]*)"'), href), F.lit(HIDDEN_AND_SEEN)),
     )
 
 
@@ -168,7 +199,7 @@ def readability_band_counts(spark, folder):
 
 
 def book_projection(spark, folder):
-    return rounded(chartdata.book_points(_metrics(spark, folder)))
+    return rounded(book_projection(_metrics(spark, folder)))
 
 
 def author_stats_query(spark, folder):
@@ -176,13 +207,13 @@ def author_stats_query(spark, folder):
 
 
 def author_summary(spark, folder):
-    names = {"avg_flesch": "flesch", "avg_km": "km", "avg_words": "words",
-             "avg_sentences": "sentences"}
-    return corpus.summary_columns(author_stats(_metrics(spark, folder)), names)
+    return chartdata.author_summary(_metrics(spark, folder))
 
 
 def complexity_by_author_query(spark, folder):
-    return rounded(complexity_by_author(_metrics(spark, folder)))
+    """One author's word counts are unknown, so that group has no mean."""
+    known = F.when(F.col("author") != "src1", F.col("word_count"))
+    return rounded(complexity_by_author(_metrics(spark, folder).withColumn("word_count", known)))
 
 
 def flesch_bars(spark, folder):
@@ -252,17 +283,17 @@ def zipf_top(spark, folder):
 
 
 def zipf_by_genre(spark, folder):
-    return rounded(chartdata.zipf_curves(lexical.zipf_table(documents(spark, folder)), "genre"))
+    return rounded(lexical.zipf_curve(lexical.zipf_table(documents(spark, folder)), "genre"))
 
 
 def zipf_by_author(spark, folder):
-    return rounded(chartdata.zipf_curves(lexical.zipf_table(documents(spark, folder)), "author"))
+    return rounded(lexical.zipf_curve(lexical.zipf_table(documents(spark, folder)), "author"))
 
 
 def zipf_across_blocks(spark, folder):
     """Words of whole conversations, each spread over its turns."""
     blocks = conversation_blocks(spark, folder).withColumn("title", F.lit("conversation"))
-    return rounded(lexical.zipf_table(blocks, top_n=20, one_row_per_id=False))
+    return rounded(lexical.zipf_table_of_blocks(blocks, top_n=20))
 
 
 def zipf_representative_words(spark, folder):
@@ -306,7 +337,7 @@ def conversation_dialogue_stats(spark, folder):
 
 
 def html_text(spark, folder):
-    return harvest.page_text(pages(spark, folder))
+    return harvest.page_text(marked_pages(spark, folder))
 
 
 def page_links(spark, folder):
@@ -376,7 +407,7 @@ def books_to_fetch_query(spark, folder):
 
 
 def truncate_union(spark, folder):
-    texts = corpus.truncate_text(documents(spark, folder), 300_000)
+    texts = corpus.truncate_text(documents(spark, folder), 1_000)
     southern = F.col("genre").isin("fr", "es")
     return corpus.union_corpora(
         corpus.label_movement(texts.filter(southern), "romantic"),
@@ -395,10 +426,13 @@ def document_counts(spark, folder):
 def lexicon_tags(spark, folder):
     """Tagger trained on (token, language) and applied to all tokens.
 
-    Tokens are counted by language first; training and tagging share those counts.
+    Tokens are counted in their rows, then by language; training and tagging read those
+    counts from one written table.
     """
-    rows = annotate.exploded_tokens(documents(spark, folder))
-    counted = rows.groupBy("genre", "word").agg(F.count(F.lit(1)).alias("n"))
+    rows = lexical.token_frequencies(documents(spark, folder))
+    path = f"{tables.work_folder(spark)}/counted"
+    rows.groupBy("genre", "word").agg(F.sum("frequency").alias("n")).write.parquet(path)
+    counted = spark.read.schema("genre string, word string, n bigint").parquet(path)
     lexicon, endings = tagging.train_lexicon(counted.withColumnRenamed("genre", "tag"), "n")
     tagged = tagging.apply_lexicon(counted, lexicon, endings)
     return tagged.groupBy("genre", "tag").agg(F.sum("n").alias("tokens"))
@@ -417,13 +451,41 @@ def unseen_word_tags(spark, folder):
     return tagging.apply_lexicon(words, lexicon, endings)
 
 
+def document_tags(spark, folder):
+    """The same tagger's tags of every document, one per token in their order."""
+    rows = lexical.token_frequencies(documents(spark, folder))
+    counted = rows.groupBy("genre", "word").agg(F.sum("frequency").alias("n"))
+    lexicon, endings = tagging.train_lexicon(counted.withColumnRenamed("genre", "tag"), "n")
+    tagged = tagging.tag_documents(annotate.token_table(documents(spark, folder)), lexicon, endings)
+    return tagged.select("id", F.array_join("pos", " ").alias("pos"))
+
+
+def _ordered_blocks(spark, folder):
+    turns = spark.read.parquet(f"{folder}/conversations.parquet")
+    return turns.select(
+        F.col("conv_id").alias("id"), F.lit("someone").alias("author"),
+        F.lit("talk").alias("genre"), F.lit("conversation").alias("title"), "turn", "text",
+    )
+
+
+def conversation_readability(spark, folder):
+    """Metrics of whole conversations, each spread over its turns."""
+    return rounded(add_up_blocks(conversation_blocks(spark, folder)))
+
+
+def conversation_windows(spark, folder):
+    """Windows along whole conversations, across the borders of turns."""
+    configs = [(100, 50), (40, 40)]
+    return rounded(windows.block_windows(_ordered_blocks(spark, folder), "turn", configs))
+
+
 def file_text(spark, folder):
     """Documents as UTF-8 files, decoded again."""
     stored = documents(spark, folder).select(
         F.concat("title", F.lit(".txt")).alias("path"),
         F.encode("text", "UTF-8").alias("content"),
     )
-    return files.file_text(stored)
+    return files.plain_text(stored)
 
 
 def epub_text(spark, folder):
@@ -432,19 +494,20 @@ def epub_text(spark, folder):
         F.concat("url", F.lit("/book.EPUB")).alias("path"),
         _bind_book("html", "url").alias("content"),
     )
-    return files.file_text(bound)
+    return files.epub_text(bound)
 
 
 def folder_scan(spark, folder):
-    """Characters per author in text files written one folder per author."""
+    """One file per language and author, written from its documents in order, read as books:
+    authors named from paths, one book each, texts cut."""
     written = tables.work_folder(spark)
-    texts = documents(spark, folder).select("author", "text")
-    texts.write.mode("overwrite").partitionBy("author").text(written)
-    books = files.load_folder(spark, written, None, None)
-    author = F.regexp_extract("url", "author=([^/]*)/", 1)
-    return books.groupBy(author.alias("author")).agg(
-        F.sum(F.length("text")).alias("characters")
-    )
+    texts = documents(spark, folder).select("id", "genre", "author", "text")
+    ordered = texts.repartition("genre", "author").sortWithinPartitions("genre", "author", "id")
+    ordered.drop("id").write.mode("overwrite").partitionBy("genre", "author").text(written)
+    rules = [(f"src{i}", (f"author=src{i}/",)) for i in range(20)]
+    folders = {genre: f"{written}/genre={genre}" for genre in ("de", "en", "es", "fr")}
+    books = corpus_from_folders(spark, folders, 1, 5_000, rules, attribute="url")
+    return books.select("genre", "author", "text", F.regexp_extract("id", "^[a-z]+_", 0).alias("id"))
 
 
 def stored_raw_corpus(spark, folder):
@@ -492,19 +555,23 @@ def stored_sizes(spark, folder):
     written = tables.work_folder(spark)
     tables.write_raw_corpus(documents(spark, folder), written)
     tables.write_author_stats(author_stats(_metrics(spark, folder)), written)
-    return tables.stored_sizes(spark, written)
+    return tables.stored_sizes(spark, written).select(
+        "table", (F.col("megabytes") >= 0).alias("stored")
+    ).na.fill(False)
 
 
 def analysis_tables(spark, folder):
-    """The complete job; rows of each table it wrote."""
+    """The complete job; rows of each table it wrote, and the sum of all its measures."""
     paths = run_analysis(spoken_documents(spark, folder), tables.work_folder(spark))
     counts = []
     for name, path in paths.items():
         kind = "orc" if "/orc/" in path else "csv" if path.endswith(".csv") else "parquet"
-        stored = spark.read.format(kind).option("header", True).load(path)
-        counts.append(
-            stored.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
-        )
+        stored = spark.read.format(kind).options(header=True, inferSchema=True).load(path)
+        measures = [F.col(c) for c, t in stored.dtypes if t in ("int", "bigint", "double")]
+        total = F.sum(reduce(lambda left, right: left + right, measures)).cast("double")
+        counts.append(stored.agg(
+            F.count(F.lit(1)).alias("rows"), F.round(total, 2).alias("total")
+        ).select(F.lit(name).alias("table"), "rows", "total"))
     return corpus.union_corpora(*counts)
 
 
@@ -554,6 +621,9 @@ QUERIES: dict[str, Query] = {
     "document_counts": document_counts,
     "lexicon_tags": lexicon_tags,
     "unseen_word_tags": unseen_word_tags,
+    "document_tags": document_tags,
+    "conversation_readability": conversation_readability,
+    "conversation_windows": conversation_windows,
     "file_text": file_text,
     "epub_text": epub_text,
     "folder_scan": folder_scan,

@@ -57,6 +57,75 @@ SELECT query_id, rank, vec_id, score FROM (
 WHERE rank <= 5
 """
 
+def _url_filter() -> str:
+    levels = range(1, 6)
+    joins = "\n  ".join(
+        f"LEFT JOIN counts c{n} ON c{n}.gram = right(g.gram, {n})\n"
+        f"  LEFT JOIN contexts x{n} ON x{n}.context = left(right(g.gram, {n}), {n - 1})"
+        for n in levels
+    )
+
+    def chance(kind: str) -> str:
+        found = "(SELECT 1.0::DOUBLE / (count(*) + 1) FROM counts WHERE length(gram) = 1)"
+        for n in levels:
+            found = (f"((coalesce(c{n}.{kind}, 0) + 2.0::DOUBLE * {found})"
+                     f" / (coalesce(x{n}.{kind}, 0) + 2.0::DOUBLE))")
+        return found
+
+    return rf"""
+WITH parts AS (
+  SELECT page_id, coalesce(url, '') AS url,
+    translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) AS path FROM pages
+), ruled AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.example.org' AND path LIKE '/en/1%' THEN 'example.org/en/1'
+    WHEN ('.' || host) LIKE '%.example.org' AND path LIKE '/es/%' THEN 'example.org/es/'
+    WHEN ('.' || host) LIKE '%.com' AND path LIKE '/fr/%' THEN 'com/fr/'
+    WHEN ('.' || host) LIKE '%.com' AND path LIKE '/de/%' THEN 'com/de/'
+    WHEN ('.' || host) LIKE '%.org' AND path LIKE '/%' THEN 'org/' END AS rule
+  FROM parts
+), urls AS (
+  SELECT DISTINCT url, rule IN ('org/', 'com/fr/') AS allowed,
+    ('0x' || substr(md5(url), 1, 7))::BIGINT % 5 = 0 AS kept_out FROM ruled
+), grams AS (
+  SELECT url, allowed, kept_out,
+    unnest(list_transform(range(1, length(url) + 2),
+      lambda i: substr(repeat(chr(2), 4) || url || chr(3), i, 5))) AS gram FROM urls
+), counts AS (
+  SELECT right(gram, n) AS gram, count(*) FILTER (WHERE allowed) AS allowed,
+    count(*) FILTER (WHERE NOT allowed) AS blocked
+  FROM grams, range(1, 6) r(n) WHERE allowed IS NOT NULL AND NOT kept_out GROUP BY ALL
+), contexts AS (
+  SELECT left(gram, length(gram) - 1) AS context, sum(allowed) AS allowed, sum(blocked) AS blocked
+  FROM counts GROUP BY ALL
+), gains AS (
+  SELECT g.gram, ln({chance("allowed")}) - ln({chance("blocked")}) AS gain
+  FROM (SELECT DISTINCT gram FROM grams) g
+  {joins}
+), scores AS (
+  SELECT url, any_value(allowed) AS allowed, any_value(kept_out) AS kept_out,
+    round(sum(gain) / count(*), 6) AS score
+  FROM grams JOIN gains USING (gram) GROUP BY url
+), bins AS (
+  SELECT round(score, 2) AS edge, count(*) FILTER (WHERE allowed) AS a,
+    count(*) FILTER (WHERE NOT allowed) AS b
+  FROM scores WHERE allowed IS NOT NULL AND kept_out GROUP BY 1
+), leads AS (
+  SELECT edge, lead(edge) OVER (ORDER BY edge DESC) AS lower, sum(a) OVER () AS all_a,
+    sum(b) OVER () AS all_b, sum(a) OVER w * sum(b) OVER () - sum(b) OVER w * sum(a) OVER () AS ahead
+  FROM bins WINDOW w AS (ORDER BY edge DESC ROWS UNBOUNDED PRECEDING)
+), limits AS (
+  SELECT coalesce((SELECT (edge + coalesce(lower, edge)) / 2 FROM leads WHERE all_a > 0 AND all_b > 0
+    ORDER BY ahead DESC, edge LIMIT 1), 0) AS least
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+  WHEN rule IS NOT NULL OR score < least THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled JOIN scores USING (url) CROSS JOIN limits
+"""
+
+
 # The prefix filter with the tokens in the order of their exact counts.
 OP9_LINE_DEDUP = r"""
 WITH docs AS (
@@ -102,5 +171,6 @@ FROM docs d LEFT JOIN results r USING (doc_id)
 ORACLES: dict[str, str] = {
     "op1_mixing": OP1_MIXING,
     "op2_top_k": OP2_TOP_K,
+    "op8_url_filter": _url_filter(),
     "op9_line_dedup": OP9_LINE_DEDUP,
 }

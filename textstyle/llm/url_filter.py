@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textstyle.llm.common import key_mod, settle
+from textstyle.llm.common import settle
 
 # Verdict, host, path of each rule.
 RULES = (
@@ -32,7 +32,7 @@ PARTS = r"://([^/?#]*)([^?#]*)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 START, END = "\x02", "\x03"
 RESULTS = ("host", "path", "rule", "verdict")
-# Examples whose crc32 modulo FOLDS is 0 calibrate the threshold.
+# Of the examples one part in FOLDS, by the digests of their urls, calibrates the threshold.
 FOLDS = 5
 
 
@@ -42,6 +42,11 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(whole, PARTS, 2)
 
 
+def kept_out(url: str = "url") -> Column:
+    digits = F.substring(F.md5(F.col(url).cast("binary")), 1, 7)
+    return F.conv(digits, 16, 10).cast("long") % FOLDS == 0
+
+
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     """(rule, verdict) of the longest rule that fits, else NULL; of equal ones, a block."""
     order = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[0] != "block", r))
@@ -120,7 +125,7 @@ def url_scores(urls: DataFrame, order: int = 4, pull: float = 2.0) -> DataFrame:
     Grams are counted before they are joined; only the last join has a row per character,
     and Spark splits its frequent grams. The models are written once and read twice.
     """
-    examples = urls.filter(F.col("verdict").isNotNull() & (key_mod("url", FOLDS) != 0))
+    examples = urls.filter(F.col("verdict").isNotNull() & ~kept_out())
     models = settle(_models(examples, order), "url-models")
     grams = _grams(urls.select("url"), order)
     gains = settle(
@@ -137,8 +142,8 @@ def threshold(scored: DataFrame) -> float:
 
     Two-digit scores bound the rows by the range of the scores, not by the examples.
     """
-    kept_out = scored.filter(F.col("verdict").isNotNull() & (key_mod("url", FOLDS) == 0))
-    bins = kept_out.groupBy(F.round("score", 2).alias("at")).agg(
+    calibrating = scored.filter(F.col("verdict").isNotNull() & kept_out())
+    bins = calibrating.groupBy(F.round("score", 2).alias("at")).agg(
         F.count(F.when(F.col("verdict") == "allow", 1)).alias("allowed"),
         F.count(F.when(F.col("verdict") == "block", 1)).alias("blocked"),
     )

@@ -13,7 +13,7 @@ which every partition trains on its own part of a fixed share of all training do
 the parameters are averaged, in a tree: what is learned from grows with the corpus.
 
 Scoring runs the documents of a batch in step, in windows that hand their state on, however
-long a document is. The most frequent ``KNOWN`` words are looked up in the task; the counts
+long a document is. The most frequent words, ``KNOWN`` at most, are looked up in the task; the counts
 of all other words come from a join with the whole vocabulary.
 
 Rows: NULL and empty texts are their end alone. Repeated rows and ids are scored each, and
@@ -44,6 +44,7 @@ from pyspark.sql.types import (
 from textstyle.llm.common import arrow_batches, fresh, key_mod, settle
 
 FOLDS, HELD_OUT = 7, 2
+# At most KNOWN words are held by every task.
 HEAD, HEAD_CLASSES, ENDINGS, KNOWN = 2000, 40, 100, 1 << 17
 UNITS = 24
 WARM_DOCS, WARM_EPOCHS = 1000, 2
@@ -143,9 +144,15 @@ class Lexicon:
 def lexicon(vocabulary: DataFrame) -> Lexicon:
     """Driver-side tables of fixed size: known words, endings, mass of the tail classes."""
     sums = vocabulary.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
-    top = vocabulary.orderBy(F.desc("count"), "word").limit(KNOWN).collect()
+    # Counts in steps of an eighth of an octave: a few hundred rows however large the corpus,
+    # and a limit above which at most KNOWN words lie, so that no task sends its own best ones.
+    step = F.floor(F.log2("count") * 8)
+    steps = sorted(vocabulary.groupBy(step.alias("step")).count().collect(), reverse=True)
+    fits = np.cumsum([r["count"] for r in steps]) <= KNOWN
+    least = min((r["step"] for r, fit in zip(steps, fits, strict=True) if fit), default=None)
+    listed = vocabulary.filter(step >= least if least is not None else F.length("word") == 0)
+    top = sorted(listed.collect(), key=lambda r: (-r["count"], bytes(r["word"])))
     words, counts = [bytes(r["word"]) for r in top], [r["count"] for r in top]
-    head = min(HEAD, len(words))
     if END in words:
         # The end is a symbol of its own whatever its count.
         at = words.index(END)
@@ -153,8 +160,8 @@ def lexicon(vocabulary: DataFrame) -> Lexicon:
         counts.insert(0, counts.pop(at))
     else:
         words.insert(0, END)
-        counts.insert(0, sums["n"] - sum(counts) if sums["v"] == 1 else vocabulary.filter(
-            F.length("word") == 0).first()["count"])
+        counts.insert(0, vocabulary.filter(F.length("word") == 0).first()["count"])
+    head = min(HEAD, len(words))
     listed = [F.lit(w) for w in words[:head]]
     tail = vocabulary.filter(~F.col("word").isin(listed)).groupBy(
         F.expr("substring(word, -2)").alias("ending")
@@ -209,10 +216,20 @@ class Model:
         u = self.units
         given = self.parts["inputs"][symbol]
         back = state @ self.parts["recurrent"]
-        gates = 0.5 + 0.5 * np.tanh(0.5 * (given[:, : 2 * u] + back[:, : 2 * u]))
+        # In place where nothing is needed afterwards: the arrays are small and many.
+        gates = given[:, : 2 * u] + back[:, : 2 * u]
+        gates *= 0.5
+        np.tanh(gates, out=gates)
+        gates += 1
+        gates *= 0.5
         update, reset = gates[:, :u], gates[:, u:]
-        candidate = np.tanh(given[:, 2 * u :] + reset * back[:, 2 * u :])
-        return candidate + update * (state - candidate), gates, candidate, back[:, 2 * u :]
+        candidate = reset * back[:, 2 * u :]
+        candidate += given[:, 2 * u :]
+        np.tanh(candidate, out=candidate)
+        following = state - candidate
+        following *= update
+        following += candidate
+        return following, gates, candidate, back[:, 2 * u :]
 
     def outputs(self, states: np.ndarray, target: np.ndarray, learn: bool = False):
         """Natural log-probability of each target symbol; with ``learn`` also the slopes."""
@@ -221,9 +238,10 @@ class Model:
         of_class = known.class_of[target]
         logits = states @ p["to_class"] + p["class_bias"]
         logits -= logits.max(axis=1, keepdims=True)
-        chance = np.exp(logits)
+        found = logits[rows, of_class]
+        chance = np.exp(logits, out=logits)
         total = chance.sum(axis=1)
-        found = logits[rows, of_class] - np.log(total)
+        found -= np.log(total)
         grads, back = {}, None
         if learn:
             chance /= total[:, None]
@@ -242,10 +260,11 @@ class Model:
                 continue
             words = states[own] @ p["to_word"][a:b].T + p["word_bias"][a:b]
             words -= words.max(axis=1, keepdims=True)
-            chance = np.exp(words)
-            total = chance.sum(axis=1)
             at = target[own] - a
-            found[own] += words[np.arange(len(own)), at] - np.log(total)
+            own_part = words[np.arange(len(own)), at]
+            chance = np.exp(words, out=words)
+            total = chance.sum(axis=1)
+            found[own] += own_part - np.log(total)
             if learn:
                 chance /= total[:, None]
                 chance[np.arange(len(own)), at] -= 1
@@ -465,7 +484,7 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Data
             LongType(), LongType(), DoubleType(), DoubleType(), DoubleType(),
             ArrayType(BinaryType())), strict=True)
     ]])
-    with arrow_batches(docs.sparkSession, 5000):
+    with arrow_batches(docs.sparkSession, 4000):
         scored = settle(
             own.withColumn(row, F.monotonically_increasing_id())
             .select(*[f.name for f in kept], row, "text").mapInArrow(run, schema),

@@ -25,7 +25,7 @@ from textstyle.llm import vectors
 
 PER_SHARD, PER_BLOCK, LEAF = 8192, 512, 128
 # Chosen by the recall measured against brute force, see the README.
-FACTOR = 0.2
+FACTOR = 0.3
 
 
 def build(points: np.ndarray, leaf: int = LEAF) -> tuple[np.ndarray, np.ndarray]:

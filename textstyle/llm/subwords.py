@@ -14,6 +14,8 @@ from textstyle.llm.common import key_mod, settle
 BUCKETS = 1 << 18
 # Lengths of the character n-grams, counted in bytes of the word between its brackets.
 SHORTEST, LONGEST = 3, 5
+# Parts in which the documents of a label are ranked.
+PARTS = 64
 # Words whose weights a worker keeps.
 CACHED = 400_000
 
@@ -94,7 +96,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     """(text, label) of at most ``per_class`` documents of each label, those with the least
     hashes of their ids, none of them held out.
 
-    Only ids and labels are ranked, and every task keeps its best before they are shuffled.
+    Only ids and labels are ranked, in ``PARTS`` parts first, so that a label with most of the
+    rows is not ranked by one task; every task keeps its best before they are shuffled.
     The labels of an id that has several are the larger one.
     """
     known = (
@@ -102,9 +105,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
                       & (key_mod("doc_id", folds) != held_out))
         .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     )
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    in_part = Window.partitionBy("label", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))).orderBy(*order)
+    best = known.withColumn("place", F.row_number().over(in_part)).filter(
+        F.col("place") <= per_class
+    )
+    overall = Window.partitionBy("label").orderBy(*order)
     chosen = settle(
-        known.withColumn("place", F.row_number().over(order))
+        best.withColumn("place", F.row_number().over(overall))
         .filter(F.col("place") <= per_class).select("doc_id", "label"),
         "labelled",
     )

@@ -127,3 +127,11 @@ def test_representatives_of_a_stored_table_do_not_sort_it(spark, no_broadcast):
     stored = spark.range(10).selectExpr("'a' AS author", "id", "id AS frequency")
     plan = plan_of(lexical.representative_documents(stored))
     assert "SortAggregate" not in plan and "partial_max" in plan
+
+
+def test_the_whole_job_tokenises_once(texts):
+    from textstyle.operators.dialogue import add_segmentation
+
+    profiled = lexical.with_ranked_words(windows.with_windows(annotate(texts)), 50)
+    plan = plan_of(add_segmentation(document_metrics(profiled)).drop("tokens", "sentences"))
+    assert plan.count("regexp_extract_all") == 1 and "Exchange" not in plan

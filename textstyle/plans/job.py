@@ -70,27 +70,20 @@ def run_analysis(
 ) -> dict[str, str]:
     """Write all six tables and return their paths.
 
-    Texts are read twice: once for the annotated table, once for windows and words
-    together, which are kept as arrays in a narrow intermediate table and expanded
-    from there. The author tables come from the stored annotated table. Nothing is
-    cached, so a lost executor costs its tasks only.
+    Texts are tokenised once: the annotated table also keeps each document's windows and
+    ranked words as arrays, and all other tables are read from the columns they need of it.
+    Nothing is cached, so a lost executor costs its tasks only.
     """
     spark = corpus.sparkSession
     paths = {"raw_corpus": tables.write_raw_corpus(corpus, folder)}
     raw = tables.read_parquet(spark, paths["raw_corpus"], corpus.schema)
 
-    measured = tables.light_corpus(add_segmentation(document_metrics(raw)))
+    profiled = with_ranked_words(with_windows(annotate(raw), configs), top_n)
+    measured = tables.light_corpus(add_segmentation(document_metrics(profiled)))
     paths["annotated_corpus"] = tables.write_annotated_corpus(measured, folder)
     stored = tables.read_parquet(spark, paths["annotated_corpus"], measured.schema)
     paths["stylometry"] = tables.write_author_stats(author_stats(stored), folder)
     paths["segmentation"] = tables.write_dialogue_stats(dialogue_stats(stored), folder)
-
-    profiled = with_ranked_words(with_windows(annotate(raw), configs), top_n).select(
-        "id", "author", "genre", "title", "windows", "ranked_words"
-    )
-    path = f"{folder}/parquet/profiles"
-    profiled.write.mode("overwrite").parquet(path)
-    profiles = tables.read_parquet(spark, path, profiled.schema)
-    paths["sliding_readability"] = tables.write_windows(expand_windows(profiles), folder)
-    paths["zipf"] = tables.write_zipf(expand_ranked_words(profiles), folder)
+    paths["sliding_readability"] = tables.write_windows(expand_windows(stored), folder)
+    paths["zipf"] = tables.write_zipf(expand_ranked_words(stored), folder)
     return paths

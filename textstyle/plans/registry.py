@@ -13,11 +13,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from textstyle.functions.web import author_of, hrefs, resolve_url, stored_name
-from textstyle.operators import annotate, corpus, dialogue, harvest, lexical, tagging, windows
+from textstyle.operators import (
+    annotate,
+    corpus,
+    dialogue,
+    harvest,
+    lexical,
+    readability,
+    tagging,
+    windows,
+)
 from textstyle.operators.readability import (
     add_up_blocks,
     author_stats,
-    book_projection,
     complexity_by_author,
     document_metrics,
 )
@@ -199,7 +207,7 @@ def readability_band_counts(spark, folder):
 
 
 def book_projection(spark, folder):
-    return rounded(book_projection(_metrics(spark, folder)))
+    return rounded(readability.book_projection(_metrics(spark, folder)))
 
 
 def author_stats_query(spark, folder):

@@ -225,12 +225,14 @@ def near_lines(firsts: DataFrame, docs: DataFrame) -> DataFrame:
         "doc", "line", "n", "marks", F.coalesce("open", F.lit(True)).alias("open"),
         F.posexplode("prefix").alias("at", "token"),
     )
-    # Both sides read one shuffle of the entries.
+    # Both sides read one shuffle of the entries: what is open is asked in a condition on both,
+    # since one on the second side alone would be moved below its shuffle and make it differ.
     a = entries.select("token", *[F.col(c).alias(f"a_{c}") for c in ENTRY],
                        F.col("open").alias("a_open"))
     b = entries.select("token", *[F.col(c).alias(f"b_{c}") for c in ENTRY],
                        F.col("open").alias("b_open"))
-    met = a.join(b, "token").filter(F.col("b_open") & _may_match("a", "b")).select(*PAIR)
+    still_open = F.col("b_open") | (F.col("a_n") < 0)
+    met = a.join(b, "token").filter(still_open & _may_match("a", "b")).select(*PAIR)
     return settled.union(_verified(met, docs))
 
 

@@ -326,6 +326,21 @@ def test_language_model_scores(spark, clashing):
     assert language_model.score(empty(spark)).count() == 0
 
 
+def test_every_training_document_reaches_the_network(spark, monkeypatch):
+    settle, learned = language_model.settle, []
+
+    def spy(frame, name):
+        written = settle(frame, name)
+        if name == "lm-models":
+            learned.append(written.agg(F.sum("seen")).first()[0] or 0)
+        return written
+
+    monkeypatch.setattr(language_model, "settle", spy)
+    rows = [(i, " ".join(f"v{(i + j) % 9}" for j in range(i % 20)), "s", "en", 1) for i in range(200)]
+    scored = language_model.score(spark.createDataFrame(rows, DOCS)).first()
+    assert sum(learned) == scored.train_tokens
+
+
 def lexicon_of(words, counts, head):
     known = language_model.Lexicon(words, np.array(counts, float), head, {b"ng": 0, b"ed": 1},
                                    np.array([7.0, 5.0, 4.0]), sum(counts), len(counts))

@@ -8,9 +8,9 @@ and share their class's probability by their counts plus one, one part of it goi
 was never seen. So every token has a probability, and the model starts as the unigram model.
 
 Training is truncated backpropagation in numpy. A bounded warm start in one task, over the
-``WARM_DOCS`` training documents with the least hashes of their ids, is followed by rounds in
-which every partition trains on its own part of a fixed share of all training documents and
-the parameters are averaged, in a tree: what is learned from grows with the corpus.
+``WARM_DOCS`` training documents with the least hashes of their ids, is followed by one pass
+over all training documents in ``SHARES`` rounds: in each, every partition trains on its own
+part of the round's share and the parameters are averaged, in a tree.
 
 Scoring runs the documents of a batch in step, in windows that hand their state on, however
 long a document is. The most frequent words, ``KNOWN`` at most, are looked up in the task; the counts
@@ -48,11 +48,13 @@ FOLDS, HELD_OUT = 7, 2
 HEAD, HEAD_CLASSES, ENDINGS, KNOWN = 2000, 40, 100, 1 << 17
 UNITS = 24
 WARM_DOCS, WARM_EPOCHS = 1000, 2
-# Of this many parts of the training documents one is read in each round.
-SHARES, ROUNDS = 16, 2
+# Rounds of the pass; each reads its own one of this many parts of the training documents.
+SHARES = 4
 STREAMS, WINDOW, RATE = 48, 20, 0.08
 # Documents that are scored in step, and rows of a window whose outputs are worked out at once.
 IN_STEP, ROWS = 256, 8192
+# Rows that are trained on at once, for the memory of a task.
+TRAINED = 1000
 # Distinct words that a task counts before it hands them on.
 COUNTED = 300_000
 END = b""
@@ -390,7 +392,7 @@ def likelihoods(model: Model, docs: list[np.ndarray]) -> np.ndarray:
 
 
 def train(docs: DataFrame, known: Lexicon) -> np.ndarray:
-    """The parameters, after the warm start and the rounds over shares of the documents."""
+    """The parameters, after the warm start and the rounds over all shares of the documents."""
     context = docs.sparkSession.sparkContext
     sent = context.broadcast(known)
     hashed = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -420,9 +422,10 @@ def train(docs: DataFrame, known: Lexicon) -> np.ndarray:
     schema = "model binary, seen long"
     rows = warm.repartition(1).mapInPandas(learner(None, WARM_EPOCHS, STREAMS), schema).collect()
     values = np.frombuffer(rows[0]["model"], np.float32)
-    for number in range(ROUNDS):
+    for number in range(SHARES):
         part = docs.filter(F.pmod(hashed, F.lit(SHARES)) == number).select("text")
-        models = settle(part.mapInPandas(learner(values, 1, STREAMS), schema), "lm-models")
+        with arrow_batches(docs.sparkSession, TRAINED):
+            models = settle(part.mapInPandas(learner(values, 1, STREAMS), schema), "lm-models")
         if not models.limit(1).count():
             continue
         summed = models.rdd.map(

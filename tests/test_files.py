@@ -1,5 +1,7 @@
 import zipfile
+from collections import Counter
 
+from textstyle.plans import registry
 from textstyle.plans.job import corpus_from_folders
 from textstyle.sources import files
 
@@ -97,3 +99,19 @@ def test_names_with_glob_characters(spark, tmp_path):
     for cap in (None, 5):
         rows = files.load_folder(spark, str(tmp_path), cap, None, RULES).collect()
         assert {(r.filename, r.text) for r in rows} == {(name, name) for name in names}
+
+
+def test_stored_books_of_any_language_and_author(spark, tmp_path):
+    rows = [(i, text, source, lang, 1) for i, (text, source, lang) in enumerate([
+        ("one\nmore", "src25", "it"), ("two", "Src25", "it"), ("three", "a/b", None), ("four", None, "de"),
+        *[(f"w{i}", "src1", "de") for i in range(2500)],
+    ])]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    lines = registry.folder_lines(spark, str(tmp_path)).collect()
+    assert Counter(map(tuple, lines)) == Counter(
+        (r[3], r[2], line) for r in rows for line in r[1].split("\n")
+    )
+    cut = {(r.genre, r.author): r.text for r in registry.folder_scan(spark, str(tmp_path)).collect()}
+    assert cut["de", "src1"] == "".join(f"w{i}\n" for i in range(2500))[:5000]
+    assert cut["it", "Src25"] == "two\n" and cut[None, "a/b"] == "three\n" and cut["de", None] == "four\n"

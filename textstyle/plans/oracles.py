@@ -414,6 +414,11 @@ SELECT title || '.txt' AS path, regexp_replace(text, '\\r\\n?', E'\\n', 'g') AS
     "folder_scan": """SELECT lang AS genre, source AS author, lang || '_' AS id,
   substr(string_agg(regexp_replace(text, '\\r\\n?', E'\\n', 'g') || E'\\n', '' ORDER BY doc_id), 1, 5000)
     AS text
+FROM documents GROUP BY lang, source""",
+    "folder_lines": """SELECT lang AS genre, source AS author,
+  unnest(string_split(regexp_replace(text, '\\r\\n?', E'\\n', 'g'), E'\\n')) AS line FROM documents""",
+    "folder_capped": """SELECT lang AS genre, source AS author,
+  regexp_replace(arg_min(text, doc_id), '\\r\\n?', E'\\n', 'g') AS text
 FROM documents GROUP BY lang, source""",
     "stored_sizes": """SELECT * FROM (VALUES ('parquet/raw_corpus', true),
   ('parquet/annotated_corpus', false), ('parquet/sliding_readability', false),

@@ -505,17 +505,53 @@ def epub_text(spark, folder):
     return files.epub_text(bound)
 
 
-def folder_scan(spark, folder):
-    """One file per language and author, written from its documents in order, read as books:
-    authors named from paths, one book each, texts cut."""
+# Fixed value: Spark's name for NULL in a path.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _books_on_disk(spark, folder, per_file, max_books=None, max_chars=None):
+    """Documents written in order of id to files of at most ``per_file``, below a folder for
+    language and author, and read again as books. Languages and rules come from the table;
+    folders carry digests, which need no escapes and keep names apart that differ in case."""
     written = tables.work_folder(spark)
-    texts = documents(spark, folder).select("id", "genre", "author", "text")
-    ordered = texts.repartition("genre", "author").sortWithinPartitions("genre", "author", "id")
-    ordered.drop("id").write.mode("overwrite").partitionBy("genre", "author").text(written)
-    rules = [(f"src{i}", (f"author=src{i}/",)) for i in range(20)]
-    folders = {genre: f"{written}/genre={genre}" for genre in ("de", "en", "es", "fr")}
-    books = corpus_from_folders(spark, folders, 1, 5_000, rules, attribute="url")
-    return books.select("genre", "author", "text", F.regexp_extract("id", "^[a-z]+_", 0).alias("id"))
+    named = {f"{c}_folder": F.coalesce(F.md5(c), F.lit(NO_VALUE)) for c in ("genre", "author")}
+    texts = documents(spark, folder).select("id", "genre", "author", "text").withColumns(named)
+    keys = ["genre_folder", "author_folder", "id"]
+    ordered = texts.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*keys[:2], "text")
+    ordered.write.option("maxRecordsPerFile", per_file).partitionBy(*keys[:2]).text(written)
+    authors = texts.select("author", "author_folder").distinct().collect()
+    rules = [(a, (f"author_folder={name.lower()}/",)) for a, name in authors]
+    genres = texts.select("genre", "genre_folder").distinct().collect()
+    folders = {NO_VALUE if g is None else g: f"{written}/genre_folder={name}" for g, name in genres}
+    books = corpus_from_folders(spark, folders, max_books, max_chars, rules, attribute="url")
+    genre = F.nullif("genre", F.lit(NO_VALUE))
+    return books.withColumns({
+        "genre": genre, "id": F.when(genre.isNotNull(), F.regexp_extract("id", "(?s)^.*_", 0)),
+    })
+
+
+def folder_scan(spark, folder):
+    """Files of each language and author, put together in order as far as the cut: every file
+    gives its own first characters, so that no long text is joined."""
+    books = _books_on_disk(spark, folder, 1_000, max_chars=5_000)
+    # The part, then the file of the part, whose number may grow in length.
+    place = F.struct(F.substring_index("title", "-", 2), F.length("title"), "title", "text")
+    joined = books.groupBy("genre", "author", "id").agg(F.sort_array(F.collect_list(place)).alias("files"))
+    text = F.substring(F.array_join("files.text", ""), 1, 5_000)
+    return joined.select("genre", "author", text.alias("text"), "id")
+
+
+def folder_lines(spark, folder):
+    """All lines of all files, with no cap and no cut."""
+    books = _books_on_disk(spark, folder, 1_000)
+    lines = F.split(F.regexp_replace("text", r"\n\z", ""), "\n", -1)
+    return books.select("genre", "author", F.inline(F.transform(lines, lambda x: F.struct(x.alias("line")))))
+
+
+def folder_capped(spark, folder):
+    """One document a file: the cap keeps the first book of an author in a language."""
+    books = _books_on_disk(spark, folder, 1, max_books=1)
+    return books.select("genre", "author", F.regexp_replace("text", r"\n\z", "").alias("text"))
 
 
 def stored_raw_corpus(spark, folder):
@@ -635,6 +671,8 @@ QUERIES: dict[str, Query] = {
     "file_text": file_text,
     "epub_text": epub_text,
     "folder_scan": folder_scan,
+    "folder_lines": folder_lines,
+    "folder_capped": folder_capped,
     "stored_raw_corpus": stored_raw_corpus,
     "stored_annotated_corpus": stored_annotated_corpus,
     "stored_windows": stored_windows,

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from conftest import plan_of
 from pyspark.errors import AnalysisException
@@ -65,6 +67,15 @@ def test_sizes(spark, make_corpus, tmp_path):
     assert {r.megabytes for r in empty.collect()} == {None}
 
 
+def test_sizes_are_those_of_the_files(spark, make_corpus, tmp_path):
+    path = tables.write_raw_corpus(make_corpus("un deux"), str(tmp_path))
+    (tmp_path / tables.ZIPF).mkdir()
+    (tmp_path / tables.ZIPF / "part-0.csv").write_bytes(b"x" * 1_234)
+    found = {r.table: r.bytes for r in tables.stored_sizes(spark, str(tmp_path)).collect()}
+    lengths = sum(p.stat().st_size for p in Path(path).rglob("part-*"))
+    assert found[tables.RAW_CORPUS] == lengths > 0 and found[tables.ZIPF] == 1_234
+
+
 def test_work_folder_lies_in_the_shared_one(spark):
     assert tables.work_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     assert tables.work_folder(spark) != tables.work_folder(spark)

@@ -600,7 +600,7 @@ def stored_sizes(spark, folder):
     tables.write_raw_corpus(documents(spark, folder), written)
     tables.write_author_stats(author_stats(_metrics(spark, folder)), written)
     return tables.stored_sizes(spark, written).select(
-        "table", (F.col("megabytes") >= 0).alias("stored")
+        "table", (F.col("bytes") > 0).alias("stored")
     ).na.fill(False)
 
 

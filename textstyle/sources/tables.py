@@ -152,7 +152,7 @@ def _if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
 
 
 def stored_sizes(spark: SparkSession, folder: str, tables=TABLES) -> DataFrame:
-    """Megabytes of each table, NULL for one that does not exist.
+    """Bytes and megabytes of each table, NULL for one that does not exist.
 
     Sizes come from file listings; no file is opened.
     """
@@ -164,8 +164,10 @@ def stored_sizes(spark: SparkSession, folder: str, tables=TABLES) -> DataFrame:
         if (files := _if_present(lambda: listing.load(f"{folder}/{name}"))) is not None
     ]
     if not listed:
-        return names.withColumn("megabytes", F.lit(None).cast("double"))
+        return names.withColumns({
+            "bytes": F.lit(None).cast("bigint"), "megabytes": F.lit(None).cast("double")
+        })
     sizes = union_corpora(*listed).groupBy("table").agg(
-        F.round(F.sum("length") / 1e6, 2).alias("megabytes")
+        F.sum("length").alias("bytes"), F.round(F.sum("length") / 1e6, 2).alias("megabytes")
     )
     return names.join(sizes, "table", "left")

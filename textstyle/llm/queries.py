@@ -15,9 +15,11 @@ from textstyle.llm import (
     near_dedup,
     neighbours,
     packing,
+    phrases,
     quality,
     topk,
     toxicity,
+    trie,
     url_filter,
 )
 
@@ -78,10 +80,18 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.classify(_table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.phrases(_table(spark, folder, "documents").select("lang", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_mixing, op2_top_k, op3_packing, op4_toxicity, op5_quality, op6_language_model,
-        op7_nearest, op8_url_filter, op9_line_dedup, op10_near_dedup,
+        op7_nearest, op8_url_filter, op9_line_dedup, op10_near_dedup, op11_prefix_trie, op13_phrases,
     )
 } | {"pipeline": corpus_pipeline.run}

@@ -10,16 +10,16 @@ higher up in its own, has a Jaccard similarity of ``SIMILAR`` or more. The join:
    of them has breaks at most three of theirs. Two similar sets therefore share one of the
    first pairs of each: the prefix filter, on pairs that hardly ever meet by chance.
 3. Each set is first compared with the earliest set that has the same rarest pair, which
-   settles groups of near copies. Those still open meet all earlier sets that share a prefix
-   pair, if the length and the positional filter let them pass, and for short sets a filter on
-   marks of their tokens.
-4. Pairs that pass are verified on the words themselves.
-
-Rows: documents are ordered by doc_id, NULL first. Lines without words stay. Texts that are
-NULL or empty stay as they are. Rows equal in id and text are one document and share their
-fate; of rows that share an id alone, lines at the same number do not remove each other
-unless their words are equal. Very long lines are sets like any other.
-Columns of the input pass through, those named like a result are replaced.
+   settles groups of near copies. Then all sets that share a prefix pair meet, unless both are
+   settled, if the length and the positional filter let them pass, and for short sets a filter
+   on marks of their tokens. Both sides of this join read one shuffle of narrow entries: the
+   pair, the set's number and one packed word.
+4. Pairs that pass are verified on the words themselves; the later one of a pair goes.
+
+Rows: documents are ordered by doc_id, NULL first, those that share an id (or have none) by the
+digest of their text. Lines without words stay. Texts that are NULL or empty stay as they are.
+Rows equal in id and text are one document and share their fate. Very long lines are sets like
+any other. Columns of the input pass through, those named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textstyle.llm.common import SPACES, settle
+from textstyle.llm.common import SPACES, fresh, settle
 
 # Similarity as a fraction: 4/5.
 OVER, UNDER = 4, 5
@@ -90,7 +90,7 @@ def _lines(docs: DataFrame, frequent: list[int]) -> DataFrame:
     smallest = F.floor((n * OVER + UNDER - 1) / UNDER)
     pairs = (n + 1 - F.ceil((n + smallest) / 3)).cast("int")
     parts = hashed.select(
-        F.struct("doc", "line", "tag").alias("place"), F.xxhash64("tokens").alias("set"), "n",
+        F.struct("doc", "tag", "line").alias("place"), F.xxhash64("tokens").alias("set"), "n",
         F.when(n < SMALLEST, 0).otherwise(pairs).alias("pairs"), rare.alias("rare"), "tokens",
     )
     ordered = F.when(F.size("rare") > F.col("pairs"), F.col("rare")).otherwise(
@@ -111,35 +111,48 @@ def _lines(docs: DataFrame, frequent: list[int]) -> DataFrame:
 
 
 def first_places(docs: DataFrame, frequent: list[int]) -> DataFrame:
-    """Distinct sets: first place, size, prefix and marks."""
-    return (
+    """Distinct sets, written with a row number: first place, size, prefix and marks."""
+    firsts = (
         _lines(docs, frequent)
         .groupBy("set")
         .agg(F.min(F.struct("place", "n", "prefix", "marks")).alias("first"))
         .select("first.place.*", "first.n", "first.prefix", "first.marks")
+        .withColumn("row", F.monotonically_increasing_id())
     )
+    return settle(firsts, "line-firsts")
+
 
+# A packed word holds marks, size and place in the prefix of a short set in 32, 8 and 8 bits;
+# of a longer one, all bits turned, size and place in 31 bits each.
+def _pack(n: Column, at: Column, marks: Column) -> Column:
+    n, at, marks = (c.cast("long") for c in (n, at, marks))
+    short = (
+        F.shiftleft(marks.bitwiseAND(F.lit(0xFFFFFFFF)), 16)
+        .bitwiseOR(F.shiftleft(n, 8)).bitwiseOR(at)
+    )
+    return F.when(n <= MARKED, short).otherwise(F.bitwise_not(F.shiftleft(n, 31).bitwiseOR(at)))
 
-ENTRY = ("doc", "line", "n", "at", "marks")
-PAIR = ("a_doc", "a_line", "b_doc", "b_line")
 
+def _unpack(packed: Column) -> tuple[Column, Column, Column]:
+    long = F.bitwise_not(packed)
+    n = F.when(packed >= 0, F.shiftright(packed, 8).bitwiseAND(F.lit(255))).otherwise(
+        F.shiftright(long, 31))
+    at = F.when(packed >= 0, packed.bitwiseAND(F.lit(255))).otherwise(
+        long.bitwiseAND(F.lit(0x7FFFFFFF)))
+    return n, at, F.when(packed >= 0, F.shiftright(packed, 16)).otherwise(0)
 
-def _may_match(a: str, b: str) -> Column:
-    """Whether set ``a`` stands before ``b`` and the two pass the length filter and, at the
-    places of their common pair, the positional filter."""
-    na, nb = F.col(f"{a}_n"), F.col(f"{b}_n")
+
+def _may_match(a: Column, b: Column) -> Column:
+    """Whether two sets, given by their packed words, pass the length filter and, at the places
+    of their common pair, the positional filter."""
+    (na, at_a, marks_a), (nb, at_b, marks_b) = _unpack(a), _unpack(b)
     need = 3 * least_overlap(na + nb) - na - nb - 1
-    left = F.least(na - F.col(f"{a}_at"), nb - F.col(f"{b}_at")) - 1
-    before = (F.col(f"{a}_doc") < F.col(f"{b}_doc")) | (
-        (F.col(f"{a}_doc") == F.col(f"{b}_doc")) & (F.col(f"{a}_line") < F.col(f"{b}_line"))
-    )
+    left = F.least(na - at_a, nb - at_b) - 1
     # A mark that only one set has stands for a token that only that set has.
-    # (Widened without its sign, which would be counted as 32 more.)
-    differ = F.col(f"{a}_marks").bitwiseXOR(F.col(f"{b}_marks")).cast("long")
-    apart = F.bit_count(differ.bitwiseAND(F.lit(0xFFFFFFFF)))
+    apart = F.bit_count(marks_a.bitwiseXOR(marks_b))
     marked = (na <= MARKED) & (nb <= MARKED)
     return (
-        before & (na * UNDER >= nb * OVER) & (nb * UNDER >= na * OVER) & (left >= need)
+        (na * UNDER >= nb * OVER) & (nb * UNDER >= na * OVER) & (left >= need)
         & (~marked | (apart <= na + nb - 2 * least_overlap(na + nb)))
     )
 
@@ -171,69 +184,79 @@ def _marked(texts: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc, line, tag) of the later lines of pairs that are similar in their words."""
+PLACE = ("doc", "tag", "line")
+
+
+def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
+    """The row numbers of the later sets of pairs (a, b) that are similar in their words."""
     pairs = settle(pairs.distinct(), "line-pairs")
-    needed = (
-        pairs.select(F.col("a_doc").alias("doc"), F.col("a_line").alias("line"))
-        .union(pairs.select("b_doc", "b_line"))
-        .groupBy("doc").agg(F.collect_set("line").alias("lines"))
+    ends = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
+    needed = firsts.select("row", *PLACE).join(ends, "row").groupBy("doc", "tag").agg(
+        F.collect_list(F.struct("line", "row")).alias("lines")
     )
     texts = docs.select(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("tag"), "text"
     )
+    # Rows equal in id and text are one document.
     contents = (
-        _marked(texts, needed).join(needed, "doc")
+        _marked(texts, needed).join(needed, ["doc", "tag"])
         .select("doc", "tag", "lines", F.split("text", "\n").alias("parts"))
-        .select("doc", "tag", F.explode("lines").alias("line"), "parts")
-        .select("doc", "tag", "line",
-                F.array_distinct(_tokens(F.get("parts", F.col("line")))).alias("tokens"))
+        .select("doc", "tag", F.inline("lines"), "parts")
+        .select(
+            "row", F.struct(*PLACE).alias("place"),
+            F.array_distinct(_tokens(F.get("parts", F.col("line")))).alias("tokens"),
+        ).dropDuplicates(["row"])
     )
     contents = settle(contents, "line-contents")
 
     def side(name: str) -> DataFrame:
-        return contents.select(
-            F.col("doc").alias(f"{name}_doc"), F.col("line").alias(f"{name}_line"),
-            F.col("tag").alias(f"{name}_tag"), F.col("tokens").alias(f"{name}_tokens"),
-        )
+        return contents.select(*[
+            F.col(c).alias(new) for c, new in
+            (("row", name), ("place", f"{name}_place"), ("tokens", f"{name}_tokens"))
+        ])
 
-    both = pairs.join(side("a"), ["a_doc", "a_line"]).join(side("b"), ["b_doc", "b_line"])
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("a_tokens", "b_tokens"))
     sizes = F.size("a_tokens") + F.size("b_tokens")
-    return both.filter(common >= least_overlap(sizes)).select(
-        F.col("b_doc").alias("doc"), F.col("b_line").alias("line"), F.col("b_tag").alias("tag")
-    ).distinct()
+    later = F.when(F.col("a_place") < F.col("b_place"), F.col("b")).otherwise(F.col("a"))
+    return both.filter(common >= least_overlap(sizes)).select(later.alias("row")).distinct()
 
 
 def near_lines(firsts: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc, line, tag) of the sets in ``firsts`` that resemble a set with an earlier place."""
+    """(row) of the sets in ``firsts`` that resemble a set with an earlier place."""
     able = firsts.filter(F.size("prefix") > 0)
     # The earliest set of each rarest pair: an aggregation, and a join back that may split.
-    keyed = able.select("doc", "line", "n", "marks", F.get("prefix", F.lit(0)).alias("token"))
-    heads = keyed.groupBy("token").agg(
-        F.min(F.struct("doc", "line", "n", "marks")).alias("head"), F.count("*").alias("sets")
-    ).filter("sets > 1").select("token", "head")
-    stepped = keyed.join(heads, "token").select(
-        F.col("head.doc").alias("a_doc"), F.col("head.line").alias("a_line"),
-        F.col("head.n").alias("a_n"), F.lit(0).alias("a_at"), F.col("head.marks").alias("a_marks"),
-        F.col("doc").alias("b_doc"), F.col("line").alias("b_line"), F.col("n").alias("b_n"),
-        F.lit(0).alias("b_at"), F.col("marks").alias("b_marks"),
-    ).filter(_may_match("a", "b")).select(*PAIR)
-    settled = settle(_verified(stepped, docs), "near-lines")
-    done = settled.select("doc", "line", "tag", F.lit(False).alias("open"))
-    entries = able.join(done, ["doc", "line", "tag"], "left").select(
-        "doc", "line", "n", "marks", F.coalesce("open", F.lit(True)).alias("open"),
-        F.posexplode("prefix").alias("at", "token"),
+    keyed = able.select(
+        "row", F.struct(*PLACE).alias("place"), _pack(F.col("n"), F.lit(0), F.col("marks")).alias("packed"),
+        F.get("prefix", F.lit(0)).alias("token"),
     )
-    # Both sides read one shuffle of the entries: what is open is asked in a condition on both,
-    # since one on the second side alone would be moved below its shuffle and make it differ.
-    a = entries.select("token", *[F.col(c).alias(f"a_{c}") for c in ENTRY],
-                       F.col("open").alias("a_open"))
-    b = entries.select("token", *[F.col(c).alias(f"b_{c}") for c in ENTRY],
-                       F.col("open").alias("b_open"))
-    still_open = F.col("b_open") | (F.col("a_n") < 0)
-    met = a.join(b, "token").filter(still_open & _may_match("a", "b")).select(*PAIR)
-    return settled.union(_verified(met, docs))
+    heads = keyed.groupBy("token").agg(
+        F.min(F.struct("place", "row", "packed")).alias("head"), F.count("*").alias("sets")
+    ).filter("sets > 1").select("token", "head.row", "head.packed")
+    heads = heads.toDF("token", "a", "a_packed")
+    stepped = keyed.join(heads, "token").filter(
+        (F.col("a") != F.col("row")) & _may_match(F.col("a_packed"), F.col("packed"))
+    ).select("a", F.col("row").alias("b"))
+    settled = settle(_verified(stepped, firsts, docs), "near-lines")
+    done = settled.select("row", F.lit(True).alias("done"))
+    # A settled set has its number turned, so that entries need no further column.
+    number = F.when(F.col("done"), F.bitwise_not("row")).otherwise(F.col("row"))
+    entries = able.join(done, "row", "left").select(
+        number.alias("row"), "n", "marks", F.posexplode("prefix").alias("at", "token"),
+    ).select("token", "row", _pack(F.col("n"), F.col("at"), F.col("marks")).alias("packed"))
+    # Both sides are the same but for the names, so they share one shuffle.
+    a, b = (entries.select("token", F.col("row").alias(r), F.col("packed").alias(p))
+            for r, p in (("a_row", "a_packed"), ("b_row", "b_packed")))
+
+    def own(name: str) -> Column:
+        return F.when(F.col(name) < 0, F.bitwise_not(name)).otherwise(F.col(name))
+
+    still_open = (F.col("a_row") >= 0) | (F.col("b_row") >= 0)
+    met = a.join(b, "token").filter(
+        still_open & (own("a_row") < own("b_row"))
+        & _may_match(F.col("a_packed"), F.col("b_packed"))
+    ).select(own("a_row").alias("a"), own("b_row").alias("b"))
+    return settled.union(_verified(met, firsts, docs)).distinct()
 
 
 def dedup_lines(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
@@ -242,34 +265,34 @@ def dedup_lines(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     The text of a document whose lines all go is empty.
     """
     own = docs.drop(*RESULTS)
-    firsts = settle(first_places(own, frequent_tokens(own, frequent)), "line-firsts")
+    firsts = first_places(own, frequent_tokens(own, frequent))
     near = near_lines(firsts, own)
+    doc, tag, places, parts, signs, left = fresh(
+        own, "doc", "tag", "places", "parts", "signs", "left"
+    )
     kept = (
-        firsts.select("doc", "line", "tag")
-        .join(near, ["doc", "line", "tag"], "left_anti")
-        .groupBy("doc", "tag")
-        .agg(F.array_sort(F.collect_list("line")).alias("kept_lines"))
+        firsts.select("row", *PLACE)
+        .join(near, "row", "left_anti")
+        .groupBy(F.col("doc").alias(doc), F.col("tag").alias(tag))
+        .agg(F.array_sort(F.collect_list("line")).alias(places))
     )
-    parts = F.split("text", "\n")
     # One sign per line up to the last kept one, so that each line is looked up in one step.
-    gaps = F.transform("kept_lines", lambda line, i: F.concat(
-        F.repeat(F.lit("0"), line - F.when(i > 0, F.get("kept_lines", i - 1)).otherwise(-1) - 1),
+    gaps = F.transform(places, lambda line, i: F.concat(
+        F.repeat(F.lit("0"), line - F.when(i > 0, F.get(places, i - 1)).otherwise(-1) - 1),
         F.lit("1"),
     ))
-    signs = F.split(F.array_join(gaps, ""), "")
-    lines = F.filter("parts", lambda line, i: (F.get("signs", i) == "1") | ~line.rlike("[^\\x20\\x09-\\x0D]"))
+    lines = F.filter(parts, lambda line, i: (F.get(signs, i) == "1") | ~line.rlike("[^\\x20\\x09-\\x0D]"))
     joined = (
-        own.withColumn("_doc", F.coalesce("doc_id", F.lit(NO_ID)))
-        .withColumn("_tag", F.xxhash64("text"))
-        .join(kept.withColumnRenamed("doc", "_doc").withColumnRenamed("tag", "_tag"),
-              ["_doc", "_tag"], "left")
-        .withColumn("parts", parts).withColumn("signs", signs)
-        .withColumn("left_lines", lines)
+        own.withColumn(doc, F.coalesce("doc_id", F.lit(NO_ID)))
+        .withColumn(tag, F.xxhash64("text"))
+        .join(kept, [doc, tag], "left")
+        .withColumn(parts, F.split("text", "\n"))
+        .withColumn(signs, F.split(F.array_join(gaps, ""), ""))
+        .withColumn(left, lines)
     )
     columns = [
-        F.array_join("left_lines", "\n").alias("text") if c == "text" else F.col(c)
+        F.array_join(left, "\n").alias("text") if c == "text" else F.col(c)
         for c in own.columns
     ]
     count = lambda c: F.when(F.col("text").isNull(), 0).otherwise(F.size(c))
-    return joined.select(*columns, count("parts").alias("n_lines"),
-                         count("left_lines").alias("n_kept"))
+    return joined.select(*columns, count(parts).alias("n_lines"), count(left).alias("n_kept"))

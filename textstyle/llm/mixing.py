@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textstyle.llm.common import WORD, settle
+from textstyle.llm.common import WORD, fresh, settle
 
 RESULTS = ("size", "source_size", "target", "rate", "copies", "taken")
 # 52 bits of a digest, so that the quotient is exact in a double.
@@ -87,14 +87,15 @@ def mix(docs: DataFrame, seed: str = "mix", **settings) -> DataFrame:
     The targets are written before the join: their true size decides whether the join
     broadcasts them, and a hot source is never grouped or sorted for it.
     """
-    targets = settle(source_targets(docs, **settings), "targets").withColumnRenamed(
-        "source", "target_source"
-    )
-    own = docs.drop(*RESULTS, "target_source")
-    joined = own.join(targets, F.col("source").eqNullSafe(F.col("target_source")), "left")
+    own = docs.drop(*RESULTS)
+    (of,) = fresh(own, "of")
+    targets = settle(source_targets(docs, **settings), "targets").withColumnRenamed("source", of)
+    joined = own.join(targets, F.col("source").eqNullSafe(F.col(of)), "left")
     sized = joined.withColumn("size", word_count(F.col("text")))
     whole = F.floor("rate")
-    extra = (draw(F.col("doc_id"), seed) < F.col("rate") - whole).cast("long")
+    # Documents without an id are told apart by their texts.
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("|"), F.md5(F.col("text").cast("binary"))))
+    extra = (draw(key, seed) < F.col("rate") - whole).cast("long")
     return (
         sized.withColumn("copies", whole + extra)
         .withColumn("taken", F.col("size") * F.col("copies"))

@@ -19,7 +19,8 @@ union.
 Rows: equal texts are one class. Texts of one to four words have one shingle, all their
 words. Texts without words, NULL among them, are a class each by themselves. Rows with one
 id and different texts are told apart; repeated rows share their class. Ids that are NULL
-name no class unless there is no other id. Texts may be of any length.
+name no class unless there is no other id; their texts are linked like all others. Texts may be
+of any length.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textstyle.llm.common import arrow_batches, settle
+from textstyle.llm.common import arrow_batches, fresh, settle
 from textstyle.llm.components import components
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -181,15 +182,20 @@ def _signatures(docs: DataFrame) -> DataFrame:
 
 
 def _contents(wanted: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
-    """(text, content) of the wanted texts, from one row of each that ``texts`` names."""
+    """(text, content) of the wanted texts: from one row of each that ``texts`` names; those
+    without any id by their digests, from all rows without an id."""
     named = wanted.join(texts, "text")
-    found = (
-        docs.select(F.col("doc_id").alias("first"), F.col("text").alias("content"))
-        .join(named, "first")
-        .filter(text_id(F.col("content")) == F.col("text"))
+    rows = docs.select(F.col("doc_id").alias("first"), F.col("text").alias("content"))
+    digest = text_id(F.col("content"))
+    by_id = (
+        rows.join(named, "first").filter(digest == F.col("text"))
         .dropDuplicates(["text"]).select("text", "content")
     )
-    return settle(found, "near-contents")
+    unnamed = named.filter("first IS NULL").select("text")
+    without_id = (
+        rows.filter("first IS NULL").select(digest.alias("text"), "content").dropDuplicates(["text"])
+    )
+    return settle(by_id.union(without_id.join(unnamed, "text")), "near-contents")
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFrame:
@@ -337,7 +343,8 @@ def _block_links(opened: DataFrame, texts: DataFrame, docs: DataFrame) -> DataFr
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """(text, class_id): for every text, the least doc_id of its class."""
+    """(text, first, label, class_id): for every text its least doc_id, the component it lies
+    in, and the least doc_id of its class."""
     own = docs.select("doc_id", "text")
     texts = settle(
         own.filter(F.col("text").isNotNull())
@@ -345,14 +352,15 @@ def near_classes(docs: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("copies"), F.min("doc_id").alias("first")),
         "near-texts",
     )
-    # A text known by NULL ids alone is found by none: it links with no other.
-    links = settle(text_links(own, texts.filter("first is not null")), "near-links")
+    links = settle(text_links(own, texts), "near-links")
     labels = components(links)
     placed = texts.join(labels.withColumnRenamed("id", "text"), "text", "left").withColumn(
         "label", F.coalesce("label", "text")
     )
     ids = placed.groupBy("label").agg(F.min("first").alias("class_id"))
-    return settle(placed.join(ids, "label").select("text", "first", "class_id"), "near-classes")
+    return settle(
+        placed.join(ids, "label").select("text", "first", "label", "class_id"), "near-classes"
+    )
 
 
 def _has_words(text: Column) -> Column:
@@ -374,22 +382,26 @@ def drop_near(docs: DataFrame) -> DataFrame:
 
     Of rows repeated with that id and text one stays; only ids that are repeated are grouped.
     """
-    classes = near_classes(docs).filter(F.col("first").eqNullSafe(F.col("class_id")))
-    keep = classes.select(F.col("first").alias("kept_id"), F.col("text").alias("kept_text"))
-    rows = docs.select(F.col("doc_id").alias("kept_id"), text_id(F.col("text")).alias("kept_text"))
+    kept_id, kept_text, kept_rows = fresh(docs, "kept_id", "kept_text", "kept_rows")
+    named = near_classes(docs).filter(F.col("first").eqNullSafe(F.col("class_id")))
+    # Where no text of a class has an id, or several have the least one, the least digest stays.
+    keep = named.groupBy("label").agg(
+        F.min("first").alias(kept_id), F.min("text").alias(kept_text)
+    ).select(kept_id, kept_text)
+    rows = docs.select(F.col("doc_id").alias(kept_id), text_id(F.col("text")).alias(kept_text))
     keep = settle(
-        rows.join(keep, rows["kept_id"].eqNullSafe(keep["kept_id"])
-                  & (rows["kept_text"] == keep["kept_text"]), "left_semi")
-        .groupBy("kept_id", "kept_text").agg(F.count("*").alias("kept_rows")),
+        rows.join(keep, rows[kept_id].eqNullSafe(keep[kept_id])
+                  & (rows[kept_text] == keep[kept_text]), "left_semi")
+        .groupBy(kept_id, kept_text).agg(F.count("*").alias(kept_rows)),
         "near-keep",
     )
     worded = docs.filter(_has_words(F.col("text")))
     chosen = worded.join(
-        keep, worded["doc_id"].eqNullSafe(keep["kept_id"])
-        & (text_id(worded["text"]) == keep["kept_text"]),
+        keep, worded["doc_id"].eqNullSafe(keep[kept_id])
+        & (text_id(worded["text"]) == keep[kept_text]),
     )
-    once = chosen.filter("kept_rows = 1").select(*docs.columns)
-    repeated = chosen.filter("kept_rows > 1").dropDuplicates(["kept_id", "kept_text"]).select(
+    once = chosen.filter(F.col(kept_rows) == 1).select(*docs.columns)
+    repeated = chosen.filter(F.col(kept_rows) > 1).dropDuplicates([kept_id, kept_text]).select(
         *docs.columns
     )
     return once.union(repeated).union(docs.filter(~_has_words(F.col("text"))))

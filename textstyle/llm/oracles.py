@@ -168,9 +168,114 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_kept, 0) AS n_kept,
 FROM docs d LEFT JOIN results r USING (doc_id)
 """
 
+OP11_PREFIX_TRIE = r"""
+WITH turns AS (
+    SELECT conv_id AS c, list({'role': coalesce(role, ''), 'said': coalesce(text, '')}
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), taken AS (
+    -- The checksum bit by bit: a character is mixed in, then eight steps.
+    SELECT c, t, xor(4294967295, list_reduce(
+        [4294967295] || flatten(list_transform(string_split(c::VARCHAR, ''),
+            lambda s: [ascii(s)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+        lambda crc, step: CASE WHEN step >= 0 THEN xor(crc, step)
+            ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END)) % 9 AS h
+    FROM turns
+), whole AS (
+    SELECT own.c, coalesce(first.t, [])[1:own.h] || own.t[own.h + 1:] AS t
+    FROM taken own LEFT JOIN turns first ON first.c = own.c - own.c % 5
+), nodes AS MATERIALIZED (
+    SELECT d, p, min(c) AS conv_id, count(*) AS n,
+        array_to_string(list(c ORDER BY c) FILTER (size = d), ',') AS ended
+    FROM (SELECT c, size, d, t[1:d] AS p
+          FROM (SELECT c, t, len(t) AS size, unnest(range(0, len(t) + 1)) AS d FROM whole))
+    GROUP BY d, p
+), children AS (
+    SELECT p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+), weighed AS (
+    SELECT nodes.d, nodes.p, children.p IS NULL AS leaf,
+        CASE WHEN d > 0 THEN (nodes.n - 1) * strlen(nodes.p[d].said) ELSE 0 END AS saved
+    FROM nodes LEFT JOIN children ON children.p = nodes.p
+), sums AS (
+    SELECT p[1:k] AS p, sum(saved) AS saved, count(*) FILTER (leaf) AS leaves
+    FROM (SELECT p, saved, leaf, unnest(range(0, d + 1)) AS k FROM weighed) GROUP BY 1
+)
+SELECT nodes.conv_id, nodes.d AS depth, above.conv_id AS parent_conv_id, nodes.n AS n_convs,
+    coalesce(children.n, 0) AS n_children, sums.leaves AS n_leaves,
+    sums.saved::BIGINT AS saved_tokens, sha256(coalesce(nodes.ended, '')) AS ends_sha256
+FROM nodes JOIN sums ON sums.p = nodes.p
+LEFT JOIN children ON children.p = nodes.p
+LEFT JOIN nodes above ON nodes.d > 0 AND above.p = nodes.p[1:nodes.d - 1]
+"""
+
+OP12_SUFFIX_DEDUP = r"""
+WITH texts AS (
+    SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h
+    FROM documents
+), windows AS (
+    SELECT doc_id, start, substr(h, 2 * start + 1, 200) AS content
+    FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS start FROM texts)
+), later AS (
+    SELECT doc_id, start FROM windows
+    QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, start) > 1
+), opened AS (
+    SELECT doc_id, start, start > coalesce(lag(start) OVER place, -101) + 100 AS opens
+    FROM later WINDOW place AS (PARTITION BY doc_id ORDER BY start)
+), spans AS (
+    SELECT doc_id, min(start) AS low, max(start) + 100 AS high
+    FROM (SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY start) AS span FROM opened)
+    GROUP BY doc_id, span
+), before AS (
+    SELECT *, lag(high, 1, 0) OVER (PARTITION BY doc_id ORDER BY low) AS since FROM spans
+), cut AS (
+    SELECT doc_id, sum(high - low) AS removed, count(*) AS spans, max(high) AS after,
+        string_agg(substr(h, 2 * since + 1, 2 * (low - since)), '' ORDER BY low) AS kept
+    FROM before JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed,
+    coalesce(spans, 0) AS n_spans,
+    sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(after, 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+"""
+
+OP13_PHRASES = r"""
+WITH words AS MATERIALIZED (
+    SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS w
+    FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), totals AS (
+    SELECT lang, sum(len(w))::HUGEINT AS n FROM words GROUP BY lang
+), grams AS MATERIALIZED (
+    SELECT lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase, count(*)::HUGEINT AS a
+    FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words, (SELECT unnest([1, 2, 3, 4, 5]) AS size))
+    GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+    SELECT lang, size, phrase, a, unnest(range(1, size)) AS k, string_split(phrase, ' ') AS w FROM grams WHERE size > 1
+), scored AS (
+    SELECT c.lang, c.size, c.phrase, c.a, c.k, x.a AS l, y.a AS r, t.n, (1000 * c.a * t.n) // (x.a * y.a) AS score
+    FROM cuts c JOIN totals t USING (lang)
+    JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+    JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')
+), weakest AS (
+    SELECT lang, size, phrase, a, n, min({'score': score, 'k': k, 'l': l, 'r': r}) AS cut FROM scored GROUP BY ALL
+), inner_phrases AS (
+    SELECT DISTINCT lang, array_to_string(list_slice(string_split(phrase, ' '), i, i + s - 1), ' ') AS phrase, a
+    FROM (SELECT lang, size, phrase, a, s, unnest(range(1, size - s + 2)) AS i
+          FROM (SELECT lang, size, phrase, a, unnest(range(2, size)) AS s FROM grams WHERE size > 2))
+), ranked AS (
+    SELECT lang, phrase, a, cut.l AS l, cut.r AS r, n, cut.score AS score,
+           row_number() OVER (PARTITION BY lang ORDER BY cut.score DESC, a DESC, phrase) AS rank
+    FROM weakest ANTI JOIN inner_phrases USING (lang, phrase, a)
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op1_mixing": OP1_MIXING,
     "op2_top_k": OP2_TOP_K,
     "op8_url_filter": _url_filter(),
     "op9_line_dedup": OP9_LINE_DEDUP,
+    "op11_prefix_trie": OP11_PREFIX_TRIE,
+    "op12_suffix_dedup": OP12_SUFFIX_DEDUP,
+    "op13_phrases": OP13_PHRASES,
 }

@@ -42,6 +42,8 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 # White space followed by a space that a word does not take: a match may cross it.
 CROSSING = re.compile(r"\s \s|\s \Z")
+# A chunk that may stand before and after others of its kind.
+PLAIN = re.compile(r" \S+")
 
 
 class Encoder:
@@ -49,8 +51,10 @@ class Encoder:
 
     A text is split before each space; no token crosses such a place unless white space
     stands around it, so each chunk has the same ids in every text and is encoded once.
-    ``ranks`` are the same vocabulary for the faster library. Texts with special strings or
-    with runs of white space around spaces go through the tokenizer as a whole.
+    The new chunks of many texts are encoded together: laid end to end, they are cut apart
+    again by the lengths of their tokens. ``ranks`` are the same vocabulary for the faster
+    library. Texts with special strings or with runs of white space around spaces go through
+    the tokenizer as a whole.
     """
 
     def __init__(self, tokenizer: str = TOKENIZER, ranks: str = RANKS):
@@ -70,24 +74,43 @@ class Encoder:
         self.parts = tiktoken.Encoding(
             "parts", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={}
         )
+        self.lengths = np.zeros(max(merges.values()) + 1, dtype=np.int64)
+        for token, rank in merges.items():
+            self.lengths[rank] = len(token)
         self.known: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        if self.special.search(text) or CROSSING.search(text):
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-            return np.asarray(ids, dtype="<u2").tobytes()
-        chunks = text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            if len(known) > CACHED:
-                known.clear()
-            for chunk in chunks:
-                if chunk not in known:
-                    ids = self.parts.encode_ordinary(chunk)
-                    known[chunk] = np.asarray(ids, dtype="<u2").tobytes()
-            return b"".join(map(known.__getitem__, chunks))
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [None if self.special.search(text) or CROSSING.search(text) else
+                 [text] if "\0" in text else text.replace(" ", "\0 ").split("\0")
+                 for text in texts]
+        needed = set().union(*[chunks for chunks in split if chunks])
+        self.learn(list(needed - self.known.keys()))
+        if len(self.known) > CACHED:
+            # What these texts hold is kept, and with it all that is frequent.
+            self.known = {chunk: self.known[chunk] for chunk in needed}
+        find = self.known.__getitem__
+        return [
+            self.pack(self.whole.encode(text, add_special_tokens=False).ids)
+            if chunks is None else b"".join(map(find, chunks))
+            for text, chunks in zip(texts, split, strict=True)
+        ]
+
+    def learn(self, chunks: list[str]) -> None:
+        """Encode chunks that are not known."""
+        plain = [chunk for chunk in chunks if PLAIN.fullmatch(chunk)]
+        ids = np.asarray(self.parts.encode_ordinary("".join(plain)), dtype=np.int64)
+        ends = np.cumsum([len(chunk.encode()) for chunk in plain])
+        cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends, "left") + 1 if plain else []
+        data, low = self.pack(ids), 0
+        for chunk, high in zip(plain, (2 * np.asarray(cuts, np.int64)).tolist(), strict=True):
+            self.known[chunk] = data[low:high]
+            low = high
+        for chunk in set(chunks).difference(plain):
+            self.known[chunk] = self.pack(self.parts.encode_ordinary(chunk))
+
+    @staticmethod
+    def pack(ids) -> bytes:
+        return np.asarray(ids, dtype="<u2").tobytes()
 
 
 @cache
@@ -151,7 +174,7 @@ def tokenised(docs: DataFrame, tokenizer: str = TOKENIZER, ranks: str = RANKS) -
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(tokenizer, ranks)
         for batch in batches:
-            ids = [encoder.encode(text or "") + end for text in batch["text"]]
+            ids = [data + end for data in encoder.encode([text or "" for text in batch["text"]])]
             vectors = np.array([document_vector(np.frombuffer(i, "<u2")) for i in ids])
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"],

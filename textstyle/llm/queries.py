@@ -17,6 +17,7 @@ from textstyle.llm import (
     packing,
     phrases,
     quality,
+    suffix_dedup,
     topk,
     toxicity,
     trie,
@@ -84,6 +85,18 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.prefix_trie(_table(spark, folder, "conversations"))
 
 
+def op12_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    spans = F.transform("removed", lambda span: span["stop"] - span["start"])
+    return suffix_dedup.without_repeats(docs).select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.aggregate(spans, F.lit(0).cast("long"), lambda sum_, one: sum_ + one).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.phrases(_table(spark, folder, "documents").select("lang", "text"))
 
@@ -92,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_mixing, op2_top_k, op3_packing, op4_toxicity, op5_quality, op6_language_model,
-        op7_nearest, op8_url_filter, op9_line_dedup, op10_near_dedup, op11_prefix_trie, op13_phrases,
+        op7_nearest, op8_url_filter, op9_line_dedup, op10_near_dedup, op11_prefix_trie,
+        op12_suffix_dedup, op13_phrases,
     )
 } | {"pipeline": corpus_pipeline.run}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from zlib import crc32
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textstyle.llm.common import key_mod, settle
@@ -98,24 +98,29 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
 
     Only ids and labels are ranked, in ``PARTS`` parts first, so that a label with most of the
     rows is not ranked by one task; every task keeps its best before they are shuffled.
-    The labels of an id that has several are the larger one.
+    The labels of an id that has several are the larger one. An id may have any number of
+    texts: of the chosen ids' texts, different ones, the first ``per_class`` are taken in the
+    same way.
     """
     known = (
         labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()
                       & (key_mod("doc_id", folds) != held_out))
         .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     )
+    def first(rows: DataFrame, *order: Column) -> DataFrame:
+        part = F.pmod(F.xxhash64(*order), F.lit(PARTS))
+        in_part = Window.partitionBy("label", part).orderBy(*order)
+        overall = Window.partitionBy("label").orderBy(*order)
+        for window in (in_part, overall):
+            rows = rows.withColumn("place", F.row_number().over(window)).filter(
+                F.col("place") <= per_class
+            )
+        return rows.drop("place")
+
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    in_part = Window.partitionBy("label", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))).orderBy(*order)
-    best = known.withColumn("place", F.row_number().over(in_part)).filter(
-        F.col("place") <= per_class
-    )
-    overall = Window.partitionBy("label").orderBy(*order)
-    chosen = settle(
-        best.withColumn("place", F.row_number().over(overall))
-        .filter(F.col("place") <= per_class).select("doc_id", "label"),
-        "labelled",
-    )
-    return docs.select("doc_id", "text").join(chosen, "doc_id").select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), "label"
-    )
+    chosen = settle(first(known, *order), "labelled")
+    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = own.select("doc_id", F.xxhash64("text").alias("tag")).join(chosen, "doc_id").distinct()
+    rows = settle(first(texts, *order, F.col("tag")), "labelled-rows")
+    sample = own.withColumn("tag", F.xxhash64("text")).join(rows, ["doc_id", "tag"])
+    return sample.dropDuplicates(["doc_id", "tag"]).select("doc_id", "text", "label")

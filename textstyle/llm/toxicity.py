@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textstyle.llm.common import key_mod
+from textstyle.llm.common import fresh, key_mod
 from textstyle.llm.subwords import (
     BUCKETS,
     Words,
@@ -183,6 +183,7 @@ def score(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, **settings)
     weights, bias = fit(docs, labels, **settings)
     sent = docs.sparkSession.sparkContext.broadcast(weights)
     own = docs.drop(*RESULTS)
+    (found_here,) = fresh(own, "found_here")
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(sent.value, bias, limit)
@@ -196,10 +197,10 @@ def score(docs: DataFrame, labels: DataFrame, limit: float = LIMIT, **settings)
     held = key_mod("doc_id", settings.get("folds", FOLDS)) == settings.get("held_out", HELD_OUT)
     return (
         own.withColumn("held_out", held)
-        .withColumn("toxicity_found", scored)
+        .withColumn(found_here, scored)
         .select(
-            *own.columns, "held_out", F.col("toxicity_found.score").alias("score"),
-            (F.col("toxicity_found.score") >= limit).cast("int").alias("predicted"),
-            F.col("toxicity_found.offending").alias("offending"),
+            *own.columns, "held_out", F.col(found_here)["score"].alias("score"),
+            (F.col(found_here)["score"] >= limit).cast("int").alias("predicted"),
+            F.col(found_here)["offending"].alias("offending"),
         )
     )

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textstyle.llm.common import settle
+from textstyle.llm.common import fresh, settle
 
 # Verdict, host, path of each rule.
 RULES = (
@@ -181,15 +181,16 @@ def judge(pages: DataFrame, rules=RULES, order: int = 4, pull: float = 2.0) -> D
         url_scores(urls, order, pull).join(urls, "url"), "url-scores"
     )
     limit = threshold(scored)
-    scores = scored.select(F.col("url").alias("scored_url"), "score")
+    scored_url, ruled = fresh(own, "scored_url", "ruled")
+    scores = scored.select(F.col("url").alias(scored_url), "score")
     return (
         own.withColumn("host", host).withColumn("path", path)
-        .withColumn("found", found)
-        .join(scores, F.coalesce("url", F.lit("")) == F.col("scored_url"), "left")
+        .withColumn(ruled, found)
+        .join(scores, F.coalesce("url", F.lit("")) == F.col(scored_url), "left")
         .select(
-            *own.columns, "host", "path", F.col("found.rule").alias("rule"),
+            *own.columns, "host", "path", F.col(ruled)["rule"].alias("rule"),
             F.coalesce(
-                F.col("found.verdict"),
+                F.col(ruled)["verdict"],
                 F.when(F.col("score") >= limit, "allow").otherwise("block"),
             ).alias("verdict"),
             "score",

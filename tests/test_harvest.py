@@ -81,6 +81,29 @@ def test_two_hops(spark):
     ]
 
 
+def test_rows_as_a_parser_sees_them(spark):
+    label = "<td>Plain Text UTF-8</td>"
+    page = (
+        f"<!-- <tr>{label}<a href='/comment'>x</a></tr> --><script>'<tr>{label}"
+        "<a href=\"/script\">x</a></tr>'</script>"
+        # An outer row holds the inner one's text and its first link.
+        f"<table><tr><td><a href='/outer'>o</a><table><tr>{label}<td><a href='/inner'>i</a></td>"
+        "</tr></table></td></tr></table>"
+        # Without an end tag a row ends with its table; the next one stands for itself.
+        f"<table><tr>{label}<br><a href='/first'>f</a></table><p><a href='/after'>a</a></p>"
+        f"<TABLE><TR CLASS='>'>{label}</TR><tr><td><a href='/other'>x</a></td></tr></TABLE>"
+        f"</table></tr><tr>{label}<img src=x><a href='/last'>l</a>"
+    )
+    rows = spark.createDataFrame([(page,), (None,), ("",), ("<tr>",)], "html string").select(
+        web.table_rows("html").alias("rows")).collect()
+    assert [None if r.rows is None else len(r.rows) for r in rows] == [6, None, None, 1]
+    catalogue = pages(spark, (BASE, "<a href='/ebooks/1'>x</a>"))
+    books = pages(spark, ("http://h.example:81/ebooks/1", page))
+    links = harvest.catalogue_links(catalogue, books).collect()
+    assert sorted(r.url.removeprefix("http://h.example:81") for r in links) == [
+        "/first", "/inner", "/last", "/outer"]
+
+
 @pytest.mark.parametrize(
     "url, author",
     [("https://x/sand/dumas.epub", "dumas"), ("https://www.gutenberg.org/1", "balzac"),

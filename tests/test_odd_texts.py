@@ -16,7 +16,8 @@ MANY = 200_000
     ("quotes", "«" * MANY, lambda c: dialogue.is_dialogue(F.concat(F.lit("x"), c)), False),
     ("scripts", "<script>" * 20_000, lambda c: F.length(web.html_to_text(c)), 0),
     ("comments", "<!-- " * 20_000, lambda c: F.length(web.html_to_text(c)), 0),
-    ("rows", "<tr>" * 20_000, lambda c: F.size(F.regexp_extract_all(c, F.lit(web.TABLE_ROW), F.lit(0))), 1),
+    ("rows", "<tr><td>x</td></tr>" * 5_000, lambda c: F.size(web.table_rows(c)), 5_000),
+    ("open rows", "<tr>" * 1_000, lambda c: F.size(web.table_rows(c)), 1_000),
     ("cells", "<tr>" + "<td></td>" * 100_000 + "</tr>", lambda c: web.row_text(c), ""),
     ("brackets", "<a " * 20_000, lambda c: F.size(web.hrefs(c)), 0),
 ])

@@ -1,4 +1,4 @@
-from textstyle.operators.tagging import apply_lexicon, train_lexicon
+from textstyle.operators.tagging import apply_lexicon, tag_documents, train_lexicon
 
 
 def test_word_then_ending_then_default(spark):
@@ -15,3 +15,23 @@ def test_word_then_ending_then_default(spark):
     assert sorted((r.word, r.tag) for r in rows) == [
         ("CHANTE", "V"), ("le", "D"), ("le", "D"), ("tante", "N"), ("zzz", "?")
     ]
+
+
+def test_documents_are_tagged_in_token_order(spark, make_corpus):
+    tagged = spark.createDataFrame(
+        [("le", "D"), ("chat", "N"), (",", "P"), ("dort", "V")], "word string, tag string"
+    )
+    lexicon, endings = train_lexicon(tagged)
+    corpus = make_corpus("Le chat, le chat dort", "", "xyz , LE", None)
+    twice = corpus.union(corpus.filter("id = 'd2'"))
+    found = sorted((r.id, r.pos) for r in tag_documents(twice, lexicon, endings, "?").collect())
+    assert found == [("d0", ["D", "N", "P", "D", "N", "V"]), ("d2", ["?", "P", "D"]),
+                     ("d2", ["?", "P", "D"])]
+
+
+def test_words_travel_once_per_document(spark, make_corpus):
+    lexicon, endings = train_lexicon(spark.createDataFrame([("a", "X")], "word string, tag string"))
+    plan = tag_documents(make_corpus("a a a a"), lexicon, endings)
+    shuffled = plan._jdf.queryExecution().executedPlan().toString()
+    # One exchange for each join side that is not broadcast, and one to gather documents.
+    assert shuffled.count("Generate ") == 1 and "posexplode" not in shuffled

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import html.entities
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -18,9 +18,14 @@ TAG_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+>"""
 TAG = r"(?s)<[A-Za-z/!?]" + TAG_REST
 ANCHOR = r"(?is)<a(?=[\s/])" + TAG_REST
 ATTRIBUTE = r"""(?s)[^\s=>/"']++\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]++)"""
-TABLE_ROW = r"(?is)<tr\b.*?(?:</tr>|\z)"
+TABLE_TAG = r"(?is)</?+(tr|table)(?=[\s/>])" + TAG_REST
 UNSEEN = (r"(?is)<(script|style)\b.*?(?:</\1\s*+>|\z)", r"(?s)<!--.*?(?:-->|\z)")
 
+# Closed rows of a page that are kept in one list.
+KEPT_TOGETHER = 100
+# Stands between pieces of a page while it is taken apart; a page's own read as spaces.
+MARK = "\x01"
+
 # Generic URI splitting pattern published in RFC 3986, appendix B.
 URI = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?"
 
@@ -36,6 +41,11 @@ AUTHOR_RULES = (
 UNKNOWN_AUTHOR = "unknown"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``, with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _by_code(code: Column) -> Column:
     """Character of a code point; the ones that HTML replaces are replaced."""
     # Numbers from 128 to 159 name characters of code page 1252, as browsers read them.
@@ -55,9 +65,9 @@ def _by_code(code: Column) -> Column:
 def unescape_entities(text: Column | str) -> Column:
     """Decode numeric and HTML 5 named character references.
 
-    The string is cut at references and only those pieces are decoded; texts
-    without ``&`` skip the work. Names of the older standard need no semicolon.
-    Unknown references stay as they are.
+    The string is cut at references; each distinct one is decoded once and the pieces look
+    it up among those. Texts without ``&`` skip the work. Names of the older standard need no
+    semicolon. Unknown references stay as they are.
     """
     text = _col(text)
     known = {name[:-1]: found for name, found in html.entities.html5.items() if name[-1] == ";"}
@@ -85,10 +95,16 @@ def unescape_entities(text: Column | str) -> Column:
         )
         return F.when(is_number, by_number).otherwise(F.coalesce(by_name, by_older, piece))
 
-    return F.when(
-        text.contains("&"),
-        F.array_join(F.transform(pieces, lambda p: F.when(p.startswith("&"), decode(p)).otherwise(p)), ""),
-    ).otherwise(text)
+    def replaced(parts: Column) -> Column:
+        references = F.array_distinct(F.filter(parts, lambda p: p.startswith("&")))
+        return _let(references, lambda found: _let(
+            F.map_from_arrays(found, F.transform(found, decode)),
+            lambda decoded: F.array_join(F.transform(
+                parts, lambda p: F.when(p.startswith("&"), decoded[p]).otherwise(p)
+            ), ""),
+        ))
+
+    return F.when(text.contains("&"), _let(pieces, replaced)).otherwise(text)
 
 
 def without_unseen(markup: Column | str) -> Column:
@@ -117,6 +133,76 @@ def row_text(markup: Column | str) -> Column:
     return F.lower(F.trim(unescape_entities(F.array_join(F.filter(nodes, lambda node: node != ""), " "))))
 
 
+def table_rows(
+    markup: Column | str, of: Callable[[Column], Column] = lambda row: row
+) -> Column:
+    """Array of what ``of`` makes of the markup of each table row, in the order in which rows
+    open; the rows themselves by default.
+
+    The tags of rows and tables are folded over the stack of those that are open. An end tag
+    closes the element of its name that was opened last and all that were opened in it; one
+    that closes nothing is skipped. So a row holds the rows of tables inside it, a row without
+    an end tag goes on to the end of its table or of the page, and tables left open end with
+    the page. Other elements are taken to end in the row they begin in. Closed rows are kept
+    in lists of bounded length, since a list is copied when it grows.
+    """
+    text = without_unseen(F.translate(_col(markup), MARK, " "))
+    # All tags are matched, so that none inside a quoted value is taken for one.
+    marked = F.regexp_replace(text, f"({TABLE_TAG})|({TAG})", f"{MARK}$1{MARK}$3")
+    none = F.array().cast("array<struct<name:string,at:int>>")
+    no_rows = F.array().cast("array<struct<at:int,stop:int>>")
+    no_lists = F.array().cast("array<array<struct<at:int,stop:int>>>")
+
+    def tag(piece: Column, at: Column) -> Column:
+        name = F.lower(F.regexp_extract(piece, "^" + TABLE_TAG, 1))
+        return F.when(name != "", F.struct(
+            name.alias("name"), piece.startswith("</").alias("closes"), at.alias("at")))
+
+    def ended(popped: Column, stop: Column) -> Column:
+        return F.transform(
+            F.filter(popped, lambda one: one["name"] == "tr"),
+            lambda one: F.struct(one["at"].alias("at"), stop.cast("int").alias("stop")),
+        )
+
+    def step(state: Column, tag: Column) -> Column:
+        open_ = state["open"]
+        size = F.size(open_)
+        names = F.transform(open_, lambda one: one["name"])
+        # Mostly the element that was opened last.
+        inner = F.when(F.get(open_, size - 1)["name"] == tag["name"], 1).otherwise(
+            F.array_position(F.reverse(names), tag["name"]).cast("int"))
+        rows = F.concat(state["rows"], ended(F.slice(open_, size - inner + 1, inner), tag["at"]))
+        full = F.size(state["rows"]) >= KEPT_TOGETHER
+        return (
+            F.when(~tag["closes"], F.struct(
+                F.concat(open_, F.array(F.struct(tag["name"], tag["at"]))).alias("open"),
+                state["rows"].alias("rows"), state["lists"].alias("lists"),
+            ))
+            .when(inner > 0, F.struct(
+                F.slice(open_, F.lit(1), size - inner).alias("open"),
+                F.when(full, no_rows).otherwise(rows).alias("rows"),
+                F.when(full, F.concat(state["lists"], F.array(rows)))
+                .otherwise(state["lists"]).alias("lists"),
+            ))
+            .otherwise(state)
+        )
+
+    def cut(parts: Column) -> Column:
+        tags = F.filter(F.transform(parts, tag), lambda one: one.isNotNull())
+        found = F.aggregate(
+            tags, F.struct(none.alias("open"), no_rows.alias("rows"), no_lists.alias("lists")),
+            step,
+            lambda state: F.array_sort(F.concat(
+                F.flatten(state["lists"]), state["rows"], ended(state["open"], F.size(parts))
+            )),
+        )
+        return F.transform(found, lambda row: of(F.array_join(
+            F.slice(parts, row["at"] + 1, row["stop"] - row["at"]), ""
+        )))
+
+    return F.when(_col(markup).rlike("(?i)<tr"), _let(F.split(marked, MARK), cut))
+
+
 def hrefs(markup: Column | str) -> Column:
     """``array<string>``: link targets of all anchors seen on the page, in its order."""
     anchors = F.regexp_extract_all(without_unseen(markup), F.lit(ANCHOR), F.lit(0))

@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textstyle.functions.web import (
-    TABLE_ROW,
     first_href,
     hrefs,
     html_to_text,
     resolve_url,
     row_text,
+    table_rows,
 )
 
 # Link extensions of texts, and the label of a catalogue's text row.
@@ -70,7 +70,6 @@ def catalogue_links(
     pages: DataFrame,
     path: str = CATALOGUE_PATH,
     label: str = TEXT_ROW_LABEL,
-    row_pattern: str = TABLE_ROW,
 ) -> DataFrame:
     """Both hops: first link of each labelled table row on the catalogue's book pages.
 
@@ -78,9 +77,10 @@ def catalogue_links(
     is shuffled. Entries are distinct, so the inner join repeats nothing; a semi
     join would be pushed below the reduction and move whole pages.
     """
-    rows = F.regexp_extract_all("html", F.lit(row_pattern), F.lit(0))
-    labelled = F.filter(rows, lambda row: row_text(row).contains(label))
-    found = F.filter(F.transform(labelled, first_href), lambda href: href != "")
+    rows = table_rows(
+        "html", lambda row: F.when(row_text(row).contains(label), first_href(row))
+    )
+    found = F.filter(rows, lambda href: href != "")
     absolute = F.transform(found, lambda href: resolve_url("url", href))
     offered = pages.select(F.col("url").alias("book_url"), F.explode(absolute).alias("url"))
     entries = catalogue_entries(catalogue, path).withColumnRenamed("url", "book_url")

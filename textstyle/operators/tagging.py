@@ -1,8 +1,8 @@
 """Token tags learned from a table of tagged tokens.
 
 A lexicon tagger: the most frequent tag of a word, else of its three-letter
-ending, else a default. It stands in for a pretrained perceptron and does not
-reach its accuracy.
+ending, else a default. A word has the same tag everywhere; tags that depend on the
+neighbours are the perceptron's (``perceptron.py``).
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textstyle.operators.annotate import annotated
+
 ENDING = 3
 
 
@@ -64,14 +66,38 @@ def apply_lexicon(
 
 
 def tag_documents(
-    positions: DataFrame, lexicon: DataFrame, endings: DataFrame, default: str = "X"
+    corpus: DataFrame, lexicon: DataFrame, endings: DataFrame, default: str = "X"
 ) -> DataFrame:
-    """(id, pos): one tag per token of a document, in token order.
+    """(id, pos): one tag per token of a document, in token order; one row per document that
+    has tokens.
 
-    ``positions`` has a row per token (id, pos, word). Distinct words are tagged, then joined
-    to their places; Spark splits frequent words. A document's tags are gathered in its row.
+    Inside its row a document is reduced to its distinct words, each with its places. Only
+    these pairs of document and word are joined to the lexicons and gathered again, so that a
+    frequent word travels once per document.
     """
-    tags = apply_lexicon(positions.select("word").distinct(), lexicon, endings, default)
-    placed = positions.select("id", "pos", "word").join(tags, "word")
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "tag")))
-    return placed.groupBy("id").agg(F.transform(ordered, lambda one: one["tag"]).alias("pos"))
+    placed = annotated(corpus).select(
+        "id", F.monotonically_increasing_id().alias("_row"),
+        F.sort_array(F.transform(
+            "tokens", lambda t, i: F.struct(F.lower(t).alias("word"), i.alias("at"))
+        )).alias("_placed"),
+    )
+    last_of_run = F.transform(
+        "_placed", lambda p, i: F.when(
+            ~p["word"].eqNullSafe(F.get("_placed", i + 1)["word"]), i)
+    )
+    ended = placed.withColumn("_ends", F.filter(last_of_run, lambda i: i.isNotNull()))
+
+    def run(end: Column, k: Column) -> Column:
+        before = F.coalesce(F.get("_ends", k - 1), F.lit(-1))
+        places = F.transform(F.slice("_placed", before + 2, end - before), lambda p: p["at"])
+        return F.struct(F.get("_placed", end)["word"].alias("word"), places.alias("places"))
+
+    words = ended.select("id", "_row", F.inline(F.transform("_ends", run)))
+    tagged = apply_lexicon(words, lexicon, endings, default)
+    gathered = tagged.groupBy("_row", "id").agg(
+        F.collect_list(F.struct("tag", "places")).alias("words")
+    )
+    in_order = F.sort_array(F.flatten(F.transform("words", lambda w: F.transform(
+        w["places"], lambda at: F.struct(at.alias("at"), w["tag"].alias("tag"))
+    ))))
+    return gathered.select("id", F.transform(in_order, lambda one: one["tag"]).alias("pos"))

@@ -186,6 +186,25 @@ def _plain(markup: str) -> str:
     return text
 
 
+_STOPPED = r"[\p{L}\p{M}\p{N}]+(?:[.''’\-]+[\p{L}\p{M}\p{N}]+)*"
+_ABBREVIATIONS = rf"""found AS (
+  SELECT unnest(list_transform(regexp_extract_all(text, '{_STOPPED}\.*'), lambda w: lower(w))) AS f
+  FROM documents),
+split AS (
+  SELECT regexp_replace(f, '\.+$', '') AS word, length(f) - length(word) = 1 AS stopped, count(*) AS n
+  FROM found GROUP BY ALL),
+counts AS (
+  SELECT word, coalesce(sum(n) FILTER (stopped), 0)::DOUBLE AS w,
+    coalesce(sum(n) FILTER (NOT stopped), 0)::DOUBLE AS o
+  FROM split WHERE regexp_matches(word, '\p{{L}}') GROUP BY word),
+totals AS (SELECT sum(w) / sum(w + o) AS p FROM counts),
+scored AS (
+  SELECT word, w, o, length(replace(word, '.', '')) + 1 AS letters,
+    -2 * (w * ln(p) + CASE WHEN o = 0 THEN 0 ELSE o * ln(1 - p) END
+      - w * ln(0.99::DOUBLE) - CASE WHEN o = 0 THEN 0 ELSE o * ln(1 - 0.99::DOUBLE) END)
+      * exp(-letters) * (length(word) + 2 - letters) * pow(letters, -o) AS score
+  FROM counts, totals WHERE w > 0)"""
+
 _LINKED = """linked AS (
   SELECT page_id, url, regexp_replace(html, 'href="/([^"]*)"', 'href="' || CASE page_id % 4
     WHEN 0 THEN '/blob/\\1.TXT' WHEN 1 THEN '../\\1.txt'
@@ -435,6 +454,30 @@ SELECT id, string_agg(tag, ' ' ORDER BY place) AS pos FROM tagged GROUP BY id"""
 metrics AS (""")}
 SELECT id, author, genre, word_count, sentence_count, syllable_count,
   round(flesch_score, 6) AS flesch_score, round(km_score, 6) AS km_score FROM metrics""",
+    "abbreviation_scores": f"""WITH {_ABBREVIATIONS}
+SELECT word, w::BIGINT AS with_stop, o::BIGINT AS without_stop,
+  round(score, 6) + 0.0::DOUBLE AS score FROM scored""",
+    "abbreviation_sentences": f"""WITH {_ABBREVIATIONS},
+learned AS (
+  SELECT list(word) AS words FROM (
+    SELECT word FROM scored WHERE score >= 0.3 ORDER BY score DESC, word LIMIT 5000)),
+parts AS (
+  SELECT doc_id AS id, unnest(string_split(
+    regexp_replace(text, '{_SENTENCE_END}', '\\0' || chr(1), 'g'), chr(1))) AS part,
+    generate_subscripts(string_split(
+    regexp_replace(text, '{_SENTENCE_END}', '\\0' || chr(1), 'g'), chr(1)), 1) AS place
+  FROM documents),
+closed AS (
+  SELECT id, place, CASE WHEN list_contains(words,
+      lower(regexp_extract(part, '({_STOPPED})\\.[ \\n\\r\\t]*$', 1))) THEN part
+    ELSE regexp_replace(part, '[.!?…]+[ \\n\\r\\t]*$', chr(1)) END AS part
+  FROM parts, learned),
+joined AS (
+  SELECT id, list_filter(string_split(string_agg(part, '' ORDER BY place), chr(1)),
+    lambda x: length(trim(x)) > 0) AS found FROM closed GROUP BY id)
+SELECT id, (unnest(range(len(found))))::INTEGER AS number,
+  length(unnest(found))::INTEGER AS length, md5(unnest(found)) AS sentence_md5
+FROM joined""",
     "conversation_windows": f"""WITH corpus AS (
   SELECT conv_id AS id, turn, text FROM conversations),
 {_tokens()},

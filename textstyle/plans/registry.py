@@ -14,11 +14,13 @@ from pyspark.sql.types import BinaryType
 
 from textstyle.functions.web import author_of, hrefs, resolve_url, stored_name
 from textstyle.operators import (
+    abbreviations,
     annotate,
     corpus,
     dialogue,
     harvest,
     lexical,
+    perceptron,
     readability,
     tagging,
     windows,
@@ -464,10 +466,66 @@ def document_tags(spark, folder):
     rows = lexical.token_frequencies(documents(spark, folder))
     counted = rows.groupBy("genre", "word").agg(F.sum("frequency").alias("n"))
     lexicon, endings = tagging.train_lexicon(counted.withColumnRenamed("genre", "tag"), "n")
-    tagged = tagging.tag_documents(annotate.token_table(documents(spark, folder)), lexicon, endings)
+    tagged = tagging.tag_documents(documents(spark, folder), lexicon, endings)
     return tagged.select("id", F.array_join("pos", " ").alias("pos"))
 
 
+def abbreviation_scores(spark, folder):
+    """How likely each word that is met with a full stop is an abbreviation."""
+    counts = abbreviations.stop_counts(documents(spark, folder))
+    scored = rounded(abbreviations.abbreviation_scores(counts))
+    # No negative zero.
+    return scored.withColumn("score", F.col("score") + F.lit(0.0))
+
+
+def abbreviation_sentences(spark, folder):
+    """Sentences of every document, where none ends with an abbreviation of the corpus."""
+    texts = documents(spark, folder)
+    learned = abbreviations.learn_abbreviations(texts)
+    found = texts.withColumn("found", abbreviations.sentences_but("text", learned))
+    return found.select("id", F.inline(F.transform("found", lambda sentence, i: F.struct(
+        i.alias("number"), F.length(sentence).alias("length"),
+        F.md5(sentence.cast("binary")).alias("sentence_md5")))))
+
+
+def _tagged_by_language(spark, folder):
+    """Token arrays whose every tag is the document's language, and whether it is held out."""
+    return annotate.annotate(documents(spark, folder)).select(
+        "id", "tokens", F.transform("tokens", lambda t: F.col("genre")).alias("tags"),
+        (F.crc32(F.col("id").cast("string").cast("binary")) % 5 == 0).alias("held_out"),
+    )
+
+
+def perceptron_tags(spark, folder):
+    """Tags of every document by the perceptron, which learns from a sample of those that are
+    not held out."""
+    tagged = _tagged_by_language(spark, folder)
+    tagger = perceptron.train(tagged.filter("NOT held_out"))
+    found = perceptron.tag(tagged.drop("tags"), tagger)
+    return found.select("id", F.array_join("pos", " ").alias("pos"))
+
+
+def tagger_accuracy(spark, folder):
+    """Tokens of the held-out documents that each tagger gets right."""
+    tagged = _tagged_by_language(spark, folder)
+    known, unseen = tagged.filter("NOT held_out"), tagged.filter("held_out")
+    pairs = F.transform("tokens", lambda t, i: F.struct(
+        t.alias("word"), F.get("tags", i).alias("tag")))
+    lexicon, endings = tagging.train_lexicon(known.select(F.inline(pairs)))
+    right = F.transform("tokens", lambda t, i: F.get("tags", i) == F.get("pos", i))
+
+    def scored(name, found):
+        counted = found.select(
+            F.size("tokens").alias("n"), F.size(F.filter(right, lambda hit: hit)).alias("hits"))
+        return counted.agg(
+            F.sum("n").alias("tokens"), F.sum("hits").alias("right")
+        ).select(F.lit(name).alias("tagger"), "tokens", "right")
+
+    by_lexicon = tagging.tag_documents(unseen.select("id", "tokens"), lexicon, endings)
+    by_context = perceptron.tag(unseen, perceptron.train(known))
+    return scored("lexicon", unseen.join(by_lexicon, "id")).union(scored("perceptron", by_context))
+
+
 def _ordered_blocks(spark, folder):
     turns = spark.read.parquet(f"{folder}/conversations.parquet")
     return turns.select(
@@ -666,6 +724,10 @@ QUERIES: dict[str, Query] = {
     "lexicon_tags": lexicon_tags,
     "unseen_word_tags": unseen_word_tags,
     "document_tags": document_tags,
+    "abbreviation_scores": abbreviation_scores,
+    "abbreviation_sentences": abbreviation_sentences,
+    "perceptron_tags": perceptron_tags,
+    "tagger_accuracy": tagger_accuracy,
     "conversation_readability": conversation_readability,
     "conversation_windows": conversation_windows,
     "file_text": file_text,

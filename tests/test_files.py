@@ -1,6 +1,10 @@
 import zipfile
 from collections import Counter
 
+from pyspark.sql import functions as F
+
+from textstyle.operators.readability import add_up_blocks, document_metrics
+from textstyle.operators.windows import block_windows, readability_windows
 from textstyle.plans import registry
 from textstyle.plans.job import corpus_from_folders
 from textstyle.sources import files
@@ -115,3 +119,35 @@ def test_stored_books_of_any_language_and_author(spark, tmp_path):
     cut = {(r.genre, r.author): r.text for r in registry.folder_scan(spark, str(tmp_path)).collect()}
     assert cut["de", "src1"] == "".join(f"w{i}\n" for i in range(2500))[:5000]
     assert cut["it", "Src25"] == "two\n" and cut[None, "a/b"] == "three\n" and cut["de", None] == "four\n"
+
+
+def test_chapters_equal_whole_books(spark, tmp_path):
+    folder = make_folder(tmp_path)
+    long = "".join(f"<p>Une peut-être maison {i}.</p>" for i in range(300))
+    write_epub(tmp_path / "sand_9.epub", [(f"<body>{long}</body>", "")] * 3 + [("<p>Fin</p>", "")])
+    write_epub(tmp_path / "empty.epub", [])
+    books = spark.read.format("binaryFile").load(folder).filter(files.is_epub())
+    whole = files.epub_text(books)
+    chapters = files.epub_chapters(books)
+    names = {r.path.rsplit("/", 1)[1]: r for r in files.joined_chapters(chapters).collect()}
+    assert {name: (r.text, r.error) for name, r in names.items()} == {
+        r.path.rsplit("/", 1)[1]: (r.text, r.error) for r in whole.collect()}
+    assert names["zola_2.epub"].error and not names["empty.epub"].error
+    longest = chapters.agg(F.max(F.length("text"))).first()[0]
+    assert longest < whole.agg(F.max(F.length("text"))).first()[0] / 2
+
+    def corpus(table):
+        return table.selectExpr(
+            "path AS id", "'a' AS author", "'g' AS genre", "'t' AS title", "*").drop("path", "error")
+
+    configs = [(500, 250), (40, 40)]
+    by_chapter = block_windows(corpus(chapters), "number", configs)
+    of_whole = readability_windows(corpus(whole), configs)
+    columns = sorted(of_whole.columns)
+    assert sorted(by_chapter.select(*columns).collect()) == sorted(of_whole.select(*columns).collect())
+    assert by_chapter.count() > 20
+    counts = ["id", "word_count", "syllable_count"]
+    added = add_up_blocks(corpus(chapters)).select(*counts)
+    measured = document_metrics(corpus(whole)).selectExpr(
+        "id", "CAST(word_count AS BIGINT)", "CAST(syllable_count AS BIGINT)")
+    assert sorted(added.collect()) == sorted(measured.collect())

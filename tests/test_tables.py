@@ -5,10 +5,12 @@ from conftest import plan_of
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from textstyle.operators import dialogue
 from textstyle.operators.dialogue import add_segmentation
 from textstyle.operators.lexical import zipf_table
 from textstyle.operators.readability import author_stats, document_metrics
 from textstyle.operators.windows import readability_windows
+from textstyle.plans import chartdata
 from textstyle.plans.job import run_analysis
 from textstyle.sources import tables
 
@@ -112,3 +114,17 @@ def test_whole_analysis(spark, make_corpus, tmp_path):
     same(windows, tables.read_parquet(spark, paths["sliding_readability"], windows.schema))
     zipf = zipf_table(corpus)
     same(zipf, tables.read_csv(spark, paths["zipf"], zipf.schema))
+
+
+def test_dialogue_table_falls_back_on_the_corpus(spark, make_corpus, tmp_path):
+    folder = str(tmp_path)
+    assert chartdata.stored_dialogue(spark, folder) is None
+    segmented = dialogue.add_segmentation(make_corpus("- a\nb", "c\nd", "- e"))
+    tables.write_annotated_corpus(segmented, folder)
+    row = chartdata.stored_dialogue(spark, folder).first()
+    assert (row.dialog_lines, row.dialog_ratio) == (2 / 3, 0.5)
+    tables.write_dialogue_stats(dialogue.dialogue_stats(segmented), folder)
+    assert chartdata.stored_dialogue(spark, folder).first().nb_texts == 3
+    bare = str(tmp_path / "bare")
+    tables.write_annotated_corpus(make_corpus("a"), bare)
+    assert chartdata.stored_dialogue(spark, bare) is None

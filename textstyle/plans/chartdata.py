@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textstyle.functions.scores import readability_band
 from textstyle.operators.corpus import only_documents, summary_columns
-from textstyle.operators.dialogue import dialogue_stats
+from textstyle.operators.dialogue import column_means, dialogue_stats
 from textstyle.operators.lexical import (
     representative_documents,
     representative_words,
@@ -18,6 +18,7 @@ from textstyle.operators.readability import (
     with_band,
 )
 from textstyle.operators.windows import first_document_windows
+from textstyle.sources import tables
 
 # Display names of the author summary.
 SUMMARY_NAMES = {
@@ -84,5 +85,17 @@ def corpus_characteristic_words(corpus: DataFrame, head: int = 50) -> DataFrame:
     return words.orderBy(F.desc("frequency"), "author", "word")
 
 
+def stored_dialogue(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The dialogue table below ``folder``: the stored CSV if there is one, else the means of
+    all columns of the stored annotated corpus that tell of dialogue, None without any."""
+    stored = tables.read_csv(spark, f"{folder}/{tables.SEGMENTATION}", tables.SEGMENTATION_SCHEMA)
+    if stored is not None:
+        return stored
+    corpus = tables.if_present(lambda: spark.read.parquet(f"{folder}/{tables.ANNOTATED_CORPUS}"))
+    if corpus is None or not any("dialog" in name for name in corpus.columns):
+        return None
+    return column_means(corpus)
+
+
 def dialogue_bars(counted: DataFrame) -> DataFrame:
     return dialogue_stats(counted).select("author", "genre", "avg_dialog_ratio")

@@ -122,6 +122,28 @@ _WINDOW_ROWS = """SELECT id, author, genre, title, window_index, word_count, syl
   window_size, step FROM windows"""
 
 
+def _block_windows(corpus: str, order: str, keys: str) -> str:
+    """Windows of documents in several rows: their tokens numbered one by one."""
+    return f"""WITH {corpus},
+{_tokens()},
+spoken AS (
+  SELECT id, {keys}, {order}, unnest(range(len(syllables))) AS place, unnest(syllables) AS syl
+  FROM counted),
+placed AS (
+  SELECT id, {keys}, syl, row_number() OVER (PARTITION BY id ORDER BY {order}, place) - 1 AS pos
+  FROM spoken),
+sized AS (
+  SELECT id, {keys}, (pos // step)::INTEGER AS window_index, count(*) AS word_count,
+    sum(syl)::BIGINT AS syllable_count, size AS window_size, step
+  FROM placed, (VALUES (100, 50), (40, 40)) c(size, step)
+  WHERE pos % step < size GROUP BY ALL HAVING count(*) >= size * 0.5),
+windows AS (
+  SELECT *, word_count / 20.0::DOUBLE AS sentence_count,
+    {_scored("word_count", "(word_count / 20.0::DOUBLE)", "syllable_count", "flesch", "km")}
+  FROM sized)
+{_WINDOW_ROWS}"""
+
+
 def _zipf(top_n: int, corpus: str = _CORPUS) -> str:
     return f"""{corpus},
 words AS (
@@ -271,6 +293,11 @@ _PAGE_TEXT = f"trim(regexp_replace({_plain('html')}, '[ \\n\\r\\t\\x{{A0}}]+', '
 
 # The body element, which some pages never close.
 _BODY = "regexp_extract(html, '(?is)<body\\b[^>]*>(.*?)(?:</body\\s*>|\\z)', 1)"
+_CHAPTERS = f"""bodies AS (SELECT *, {_plain(_BODY)} AS body FROM pages),
+corpus AS (
+  SELECT url || '/book.EPUB' AS id, 'someone' AS author, 'web' AS genre, 'book' AS title,
+    unnest([0, 1, 2]) AS number,
+    unnest([body, 'contents', ' ' || replace(url, '&amp;', '&') || ' ']) AS text FROM bodies)"""
 
 _NUMBERED = f"""{_CORPUS}
 SELECT genre || '_' || (row_number() OVER (PARTITION BY genre
@@ -439,7 +466,10 @@ FROM documents GROUP BY lang, source""",
     "folder_capped": """SELECT lang AS genre, source AS author,
   regexp_replace(arg_min(text, doc_id), '\\r\\n?', E'\\n', 'g') AS text
 FROM documents GROUP BY lang, source""",
-    "stored_sizes": """SELECT * FROM (VALUES ('parquet/raw_corpus', true),
+    "stored_sizes": """WITH texts AS (SELECT sum(strlen(text))::BIGINT AS n FROM documents)
+SELECT "table", stored, CASE WHEN "table" = 'parquet/raw_corpus' THEN n END AS text_bytes,
+  CASE WHEN "table" = 'parquet/raw_corpus' THEN n > 0 END AS plausible
+FROM texts, (VALUES ('parquet/raw_corpus', true),
   ('parquet/annotated_corpus', false), ('parquet/sliding_readability', false),
   ('orc/stylometry', true), ('zipf.csv', false), ('segmentation.csv', false)) t("table", stored)""",
     "document_tags": f"""WITH {_CORPUS},
@@ -478,25 +508,17 @@ joined AS (
 SELECT id, (unnest(range(len(found))))::INTEGER AS number,
   length(unnest(found))::INTEGER AS length, md5(unnest(found)) AS sentence_md5
 FROM joined""",
-    "conversation_windows": f"""WITH corpus AS (
-  SELECT conv_id AS id, turn, text FROM conversations),
-{_tokens()},
-spoken AS (
-  SELECT id, turn, unnest(range(len(syllables))) AS place, unnest(syllables) AS syl FROM counted),
-placed AS (
-  SELECT id, syl, row_number() OVER (PARTITION BY id ORDER BY turn, place) - 1 AS pos FROM spoken),
-sized AS (
-  SELECT id, (pos // step)::INTEGER AS window_index, count(*) AS word_count,
-    sum(syl)::BIGINT AS syllable_count, size AS window_size, step
-  FROM placed, (VALUES (100, 50), (40, 40)) c(size, step)
-  WHERE pos % step < size GROUP BY ALL HAVING count(*) >= size * 0.5),
-windows AS (
-  SELECT *, word_count / 20.0::DOUBLE AS sentence_count,
-    {_scored("word_count", "(word_count / 20.0::DOUBLE)", "syllable_count", "flesch", "km")}
-  FROM sized)
-SELECT id, 'someone' AS author, 'talk' AS genre, 'conversation' AS title, window_index, word_count,
-  syllable_count, round(sentence_count, 6) AS sentence_count, round(flesch, 6) AS flesch,
-  round(km, 6) AS km, window_size, step FROM windows""",
+    "chapter_readability": f"""WITH {_metrics("count", _CHAPTERS).replace("FROM counts", "FROM summed").replace("metrics AS (", """summed AS (
+  SELECT id, author, genre, sum(word_count)::BIGINT AS word_count,
+    sum(sentence_count)::BIGINT AS sentence_count, sum(syllable_count)::BIGINT AS syllable_count
+  FROM counts GROUP BY ALL),
+metrics AS (""")}
+SELECT id, author, genre, word_count, sentence_count, syllable_count,
+  round(flesch_score, 6) AS flesch_score, round(km_score, 6) AS km_score FROM metrics""",
+    "chapter_windows": _block_windows(_CHAPTERS, "number", "author, genre, title"),
+    "conversation_windows": _block_windows("""corpus AS (
+  SELECT conv_id AS id, 'someone' AS author, 'talk' AS genre, 'conversation' AS title, turn, text
+  FROM conversations)""", "turn", "author, genre, title"),
     "stored_raw_corpus": f"WITH {_CORPUS} {_RAW_ROWS}",
     "stored_annotated_corpus": f"""WITH {_metrics()},
 {_dialogue(_CORPUS).removeprefix(_CORPUS + ',')}
@@ -534,3 +556,11 @@ UNION ALL SELECT 'zipf', count(*), round(sum(id + frequency + rank + log_rank +
 
 ORACLES["stored_sliding_curves"] = ORACLES["sliding_curve_sample"]
 ORACLES["stored_characteristic_words"] = ORACLES["zipf_representative_words"]
+# Tables that books are added to are those of one run over all books.
+for _updated, _whole in (
+    ("stored_dialogue_means", "dialogue_column_means"),
+    ("updated_author_stats", "stored_author_stats"),
+    ("updated_dialogue_stats", "stored_dialogue_stats"),
+    ("updated_stability", "window_stability"),
+):
+    ORACLES[_updated] = ORACLES[_whole]

@@ -33,6 +33,7 @@ from textstyle.operators.readability import (
 )
 from textstyle.plans import chartdata
 from textstyle.plans.job import books_to_fetch, corpus_from_folders, run_analysis
+from textstyle.plans.updates import add_books
 from textstyle.sources import files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -337,6 +338,14 @@ def dialogue_column_means(spark, folder):
     return rounded(dialogue.column_means(tables.light_corpus(segmented)))
 
 
+def stored_dialogue_means(spark, folder):
+    """The dialogue table of a folder that holds the annotated corpus alone."""
+    segmented = dialogue.add_segmentation(spoken_documents(spark, folder))
+    written = tables.work_folder(spark)
+    tables.write_annotated_corpus(segmented.drop("text"), written)
+    return rounded(chartdata.stored_dialogue(spark, written))
+
+
 def conversation_dialogue(spark, folder):
     return rounded(dialogue.add_up_blocks(conversation_blocks(spark, folder)))
 
@@ -563,6 +572,30 @@ def epub_text(spark, folder):
     return files.epub_text(bound)
 
 
+def _chapters_of_pages(spark, folder):
+    """Pages bound as EPUB archives, unpacked to one row per chapter."""
+    bound = pages(spark, folder).select(
+        F.concat("url", F.lit("/book.EPUB")).alias("path"),
+        _bind_book("html", "url").alias("content"),
+    )
+    chapters = files.epub_chapters(bound)
+    return chapters.select(
+        F.col("path").alias("id"), F.lit("someone").alias("author"), F.lit("web").alias("genre"),
+        F.lit("book").alias("title"), "number", "text",
+    )
+
+
+def chapter_readability(spark, folder):
+    """From archives to readability, chapter by chapter."""
+    return rounded(add_up_blocks(_chapters_of_pages(spark, folder)))
+
+
+def chapter_windows(spark, folder):
+    """From archives to windows across chapters, no book in one row."""
+    chapters = _chapters_of_pages(spark, folder)
+    return rounded(windows.block_windows(chapters, "number", [(100, 50), (40, 40)]))
+
+
 # Fixed value: Spark's name for NULL in a path.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -654,12 +687,20 @@ def stored_dialogue_stats(spark, folder):
 
 
 def stored_sizes(spark, folder):
+    """Which tables are stored, and whether the corpus takes a plausible share of the bytes of
+    its texts: at most what they have and a margin, at least a twentieth."""
     written = tables.work_folder(spark)
-    tables.write_raw_corpus(documents(spark, folder), written)
+    texts = documents(spark, folder)
+    tables.write_raw_corpus(texts, written)
     tables.write_author_stats(author_stats(_metrics(spark, folder)), written)
-    return tables.stored_sizes(spark, written).select(
-        "table", (F.col("bytes") > 0).alias("stored")
-    ).na.fill(False)
+    length = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).scalar()
+    sized = tables.stored_sizes(spark, written).withColumn(
+        "text_bytes", F.when(F.col("table") == tables.RAW_CORPUS, length))
+    plausible = F.col("bytes").between(F.col("text_bytes") / 20, F.col("text_bytes") + 1_000_000)
+    return sized.select(
+        "table", F.coalesce(F.col("bytes") > 0, F.lit(False)).alias("stored"), "text_bytes",
+        plausible.alias("plausible"),
+    )
 
 
 def analysis_tables(spark, folder):
@@ -677,6 +718,28 @@ def analysis_tables(spark, folder):
     return corpus.union_corpora(*counts)
 
 
+def _in_two_batches(texts):
+    """Tables that a first batch of the texts wrote and all texts were added to."""
+    folder = tables.work_folder(texts.sparkSession)
+    add_books(texts.filter(F.crc32(F.col("title").cast("binary")) % 3 == 0), folder, "first")
+    return add_books(texts, folder, "second")
+
+
+def updated_author_stats(spark, folder):
+    paths = _in_two_batches(documents(spark, folder))
+    return rounded(spark.read.orc(paths["stylometry"]))
+
+
+def updated_dialogue_stats(spark, folder):
+    paths = _in_two_batches(spoken_documents(spark, folder))
+    return rounded(tables.read_csv(spark, paths["segmentation"], tables.SEGMENTATION_SCHEMA))
+
+
+def updated_stability(spark, folder):
+    paths = _in_two_batches(documents(spark, folder))
+    return rounded(spark.read.parquet(paths["stability"]))
+
+
 QUERIES: dict[str, Query] = {
     "doc_readability": doc_readability,
     "doc_readability_pure": doc_readability_pure,
@@ -705,6 +768,7 @@ QUERIES: dict[str, Query] = {
     "dialogue_stats": dialogue_stats,
     "dialogue_bars": dialogue_bars,
     "dialogue_column_means": dialogue_column_means,
+    "stored_dialogue_means": stored_dialogue_means,
     "conversation_dialogue": conversation_dialogue,
     "conversation_dialogue_stats": conversation_dialogue_stats,
     "html_text": html_text,
@@ -732,6 +796,8 @@ QUERIES: dict[str, Query] = {
     "conversation_windows": conversation_windows,
     "file_text": file_text,
     "epub_text": epub_text,
+    "chapter_readability": chapter_readability,
+    "chapter_windows": chapter_windows,
     "folder_scan": folder_scan,
     "folder_lines": folder_lines,
     "folder_capped": folder_capped,
@@ -745,4 +811,7 @@ QUERIES: dict[str, Query] = {
     "stored_dialogue_stats": stored_dialogue_stats,
     "stored_sizes": stored_sizes,
     "analysis_tables": analysis_tables,
+    "updated_author_stats": updated_author_stats,
+    "updated_dialogue_stats": updated_dialogue_stats,
+    "updated_stability": updated_stability,
 }

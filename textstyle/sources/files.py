@@ -112,6 +112,46 @@ def epub_text(files: DataFrame, collapse: bool = False, navigation: bool = True)
     )
 
 
+def epub_chapters(
+    files: DataFrame, collapse: bool = False, navigation: bool = True
+) -> DataFrame:
+    """(path, number, text, error): the chapters of EPUB archives, a row each, from 0 on.
+
+    For books that should not stand in one row: what counts blocks (``add_up_blocks``,
+    ``block_windows``, ``zipf_table_of_blocks``) takes chapters as they are, and
+    ``joined_chapters`` gives whole texts. A damaged archive, or one without chapters, is one
+    row with an empty text, number 0 and its error, if any.
+    """
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                chapters, error = [], None
+                try:
+                    chapters = list(_chapters(content, navigation)) if content is not None else []
+                except Exception as problem:
+                    error = f"{type(problem).__name__}: {problem}"
+                for number, markup in enumerate(chapters or [""]):
+                    yield pd.DataFrame({
+                        "path": [path], "number": [number], "markup": [markup], "error": [error]
+                    })
+
+    rows = files.select("path", "content").mapInPandas(
+        unpack, "path string, number int, markup string, error string"
+    )
+    return rows.select(
+        "path", "number", html_to_text(_body(F.col("markup")), collapse).alias("text"), "error"
+    )
+
+
+def joined_chapters(chapters: DataFrame) -> DataFrame:
+    """(path, text, error): the chapters of each book put together, as ``epub_text`` has them."""
+    ordered = F.sort_array(F.collect_list(F.struct("number", "text")))
+    return chapters.groupBy("path").agg(
+        F.array_join(F.transform(ordered, lambda one: one["text"]), "\n").alias("text"),
+        F.max("error").alias("error"),
+    )
+
+
 def file_text(files: DataFrame, collapse: bool = False, navigation: bool = True) -> DataFrame:
     """(path, text, error) of binaryFile rows, archives and plain texts each in their way."""
     plain = plain_text(files.filter(~is_epub()))

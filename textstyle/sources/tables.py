@@ -27,6 +27,11 @@ ZIPF = "zipf.csv"
 SEGMENTATION = "segmentation.csv"
 TABLES = (RAW_CORPUS, ANNOTATED_CORPUS, SLIDING_READABILITY, STYLOMETRY, ZIPF, SEGMENTATION)
 
+SEGMENTATION_SCHEMA = (
+    "author string, genre string, avg_dialog_ratio double, avg_dialog_lines double, "
+    "avg_narration_lines double, nb_texts bigint"
+)
+
 # The quote is its own escape, as other CSV readers expect; values keep their outer spaces.
 CSV_OPTIONS = {
     "header": True,
@@ -126,7 +131,7 @@ def read_orc(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType, multi_line: bool = False
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False
 ) -> DataFrame | None:
     """A CSV table with header, or None when it was never written.
 
@@ -135,14 +140,14 @@ def read_csv(
     """
     reader = spark.read.schema(schema).options(multiLine=multi_line, **CSV_OPTIONS)
     if not multi_line:
-        stored = _if_present(lambda: reader.csv(path))
+        stored = if_present(lambda: reader.csv(path))
         # The doubled backslash steps aside while the others are read.
         back = [("\\\\", "\0"), ("\\n", "\n"), ("\\r", "\r"), ("\0", "\\")]
         return None if stored is None else _map_texts(stored, back)
-    return _if_present(lambda: reader.csv(path))
+    return if_present(lambda: reader.csv(path))
 
 
-def _if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
     try:
         return read()
     except AnalysisException as problem:
@@ -161,7 +166,7 @@ def stored_sizes(spark: SparkSession, folder: str, tables=TABLES) -> DataFrame:
     listed = [
         files.select(F.lit(name).alias("table"), "length")
         for name in tables
-        if (files := _if_present(lambda: listing.load(f"{folder}/{name}"))) is not None
+        if (files := if_present(lambda: listing.load(f"{folder}/{name}"))) is not None
     ]
     if not listed:
         return names.withColumns({

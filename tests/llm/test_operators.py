@@ -203,9 +203,16 @@ def test_encoder_agrees_with_the_tokenizer(spark):
     texts += ["", " ", "  ", "a  b", "a   b", " a", "a ", "a \n b", "a\n b", "\n \n", "x\t y",
               "<|endoftext|> a", "a<|endoftext|>", "é  x", "　 y", "it's  don't", "a\0b c",
               "\r\n  z", "  lead", "a   b", "1 2  3"]
-    for text in texts:
-        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == tokenizer.encode(
-            text, add_special_tokens=False).ids
+    expected = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    for _ in range(2):
+        found = encoder.encode(texts)
+        assert [np.frombuffer(ids, "<u2").tolist() for ids in found] == expected
+    # One by one, and with room for few chunks only.
+    encoder, packing.CACHED, before = packing.Encoder(), 20, packing.CACHED
+    for text, ids in zip(texts, expected, strict=True):
+        assert np.frombuffer(encoder.encode([text])[0], "<u2").tolist() == ids
+    packing.CACHED = before
+    assert encoder.encode([]) == []
 
 
 def test_packing_covers_every_id_once(spark, clashing):

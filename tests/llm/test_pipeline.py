@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from check import normal
-from textstyle.llm import mixing, url_filter
+from textstyle.llm import common, line_dedup, mixing, url_filter
 from textstyle.llm.oracles import ORACLES
 from textstyle.llm.queries import QUERIES
 
@@ -64,15 +64,87 @@ def test_every_operator_has_its_query():
     assert sorted(QUERIES, key=lambda n: (n == "pipeline", len(n.split("_")[0]), n)) == [
         "op1_mixing", "op2_top_k", "op3_packing", "op4_toxicity", "op5_quality",
         "op6_language_model", "op7_nearest", "op8_url_filter", "op9_line_dedup",
-        "op10_near_dedup", "pipeline"]
+        "op10_near_dedup", "op11_prefix_trie", "op12_suffix_dedup", "op13_phrases", "pipeline"]
 
 
-def test_native_plans_hold_no_python(spark):
-    from textstyle.llm import line_dedup
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
 
+
+def test_native_plans_hold_no_python(spark, monkeypatch):
+    """Neither the last frame's plan nor that of any frame written on the way."""
+    plans = []
+
+    def spy(frame, name):
+        plans.append((name, plan_of(frame)))
+        return common.settle(frame, name)
+
+    for module in (mixing, url_filter, line_dedup):
+        monkeypatch.setattr(module, "settle", spy)
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     for frame in (mixing.mix(docs), url_filter.judge(pages), line_dedup.dedup_lines(docs)):
-        plan = frame._jdf.queryExecution().executedPlan().toString()
-        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
-        assert "Cartesian" not in plan and "BroadcastNestedLoop" not in plan
+        plans.append(("result", plan_of(frame)))
+    assert {"targets", "url-scores", "line-firsts", "line-pairs"} <= {name for name, _ in plans}
+    for name, plan in plans:
+        assert not any(word in plan for word in ("Python", "Arrow", "Pandas")), name
+        assert "Cartesian" not in plan and "BroadcastNestedLoop" not in plan, name
+
+
+def test_both_sides_of_the_line_join_read_one_shuffle(spark, monkeypatch):
+    ran = {}
+
+    def spy(frame, name):
+        written = common.settle(frame, name)
+        # Planned again with what is known now, and run.
+        again = frame.select("*")
+        again.write.format("noop").mode("overwrite").save()
+        ran.setdefault(name, []).append(plan_of(frame))
+        return written
+
+    monkeypatch.setattr(line_dedup, "settle", spy)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    line_dedup.dedup_lines(docs).count()
+    spark.conf.set(threshold, before)
+    # The second join of pairs is that of all entries.
+    assert len(ran["line-pairs"]) == 2
+    assert "ReusedExchange" in ran["line-pairs"][1]
+
+
+STAGE_NAMES = [name for name, _ in corpus_pipeline.STAGES]
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES, ids=STAGE_NAMES)
+def test_stages_take_odd_rows_and_no_rows(spark, name, stage):
+    """NULLs in every column, empty texts, repeated rows, names that clash; an empty table."""
+    text = "one two three four five six seven eight nine"
+    rows = [(1, text, "en", "s", 9), (1, text, "en", "s", 9), (None, text + " ten", None, None, None),
+            (None, text + " ten", None, None, None), (2, None, "en", "s", 0), (3, "", "en", "s", 0),
+            (4, "short", "fr", "t", 5)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long")
+    extra = ("parts", "signs", "kept_id", "target_source", "found", "row", "key", "place", "doc", "tag")
+    docs = docs.select("*", *[F.lit("mine").alias(c) for c in extra])
+    found = stage(spark, docs, DATA)
+    none = stage(spark, docs.limit(0), DATA)
+    assert none.count() == 0 and stage.__doc__
+    if name == "packing":
+        assert found.filter("doc_id IS NULL").count() > 0
+        return
+    assert found.columns == none.columns == docs.columns
+    left = found.collect()
+    assert all(r[c] == "mine" for r in left for c in extra)
+    ids = [r.doc_id for r in left]
+    if name == "line_dedup":
+        # The first in the order of ids, NULL first, stays, with rows equal to it.
+        assert sorted(ids, key=str) == [2, 3, 4, None, None]
+    if name == "near_dedup":
+        assert sorted(ids, key=str) == [1, 2, 3, 4]
+
+
+def test_stages_without_lengths(spark):
+    docs = spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string")
+    assert corpus_pipeline.drop_repeated_lines(spark, docs, DATA).columns == ["doc_id", "text"]

@@ -414,11 +414,14 @@ def train(docs: DataFrame, known: Lexicon) -> np.ndarray:
 
         return learn
 
+    # Rows, not ids: an id, or none, may stand at any number of texts.
+    tagged = docs.withColumn("tag", F.xxhash64("text"))
     chosen = settle(
-        docs.select("doc_id", hashed.alias("h")).orderBy("h", "doc_id").limit(WARM_DOCS)
-        .select("doc_id").distinct(), "lm-warm",
+        tagged.select(hashed.alias("h"), F.col("doc_id").alias("id"), F.col("tag").alias("of"))
+        .orderBy("h", "id", "of").limit(WARM_DOCS).select("id", "of").distinct(), "lm-warm",
     )
-    warm = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi").select("text")
+    here = tagged["doc_id"].eqNullSafe(chosen["id"]) & (tagged["tag"] == chosen["of"])
+    warm = tagged.join(chosen, here, "left_semi").dropDuplicates(["doc_id", "tag"]).select("text")
     schema = "model binary, seen long"
     rows = warm.repartition(1).mapInPandas(learner(None, WARM_EPOCHS, STREAMS), schema).collect()
     values = np.frombuffer(rows[0]["model"], np.float32)
@@ -479,7 +482,9 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Data
             yield pa.RecordBatch.from_arrays(kept.columns + found, kept.schema.names + made)
 
     # Names of the working columns: none that the table has.
-    row, *made = fresh(own, "row", "n_tokens", "n_found", "counts", "shares", "model", "rare")
+    row, of_row, looked, *made = fresh(
+        own, "row", "of_row", "looked", "n_tokens", "n_found", "counts", "shares", "model", "rare"
+    )
     n_tokens, n_found, counts, shares, model_part, rare = made
     kept = [f for f in own.schema if f.name != "text"]
     schema = StructType([*kept, StructField(row, LongType()), *[
@@ -498,11 +503,11 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> Data
         scored.select(F.col(row).alias("of_row"), F.explode(rare).alias("word"))
         .join(vocabulary, "word").groupBy("of_row")
         .agg(F.count("*").alias("found"), F.sum(F.log10(F.col("count") + 1)).alias("logs"))
-        .select(F.col("of_row").alias("of_row"), F.struct("found", "logs").alias("looked_up"))
+        .select(F.col("of_row").alias(of_row), F.struct("found", "logs").alias(looked))
     )
-    joined = scored.join(looked_up, scored[row] == looked_up["of_row"], "left")
-    more = F.coalesce("looked_up.found", F.lit(0))
-    logs = F.coalesce("looked_up.logs", F.lit(0.0))
+    joined = scored.join(looked_up, scored[row] == looked_up[of_row], "left")
+    more = F.coalesce(F.col(looked)["found"], F.lit(0))
+    logs = F.coalesce(F.col(looked)["logs"], F.lit(0.0))
     return joined.select(
         *[scored[f.name] for f in kept],
         held.alias("held_out"),

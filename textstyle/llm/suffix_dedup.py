@@ -4,7 +4,7 @@ A window is a string of LENGTH bytes of a document's UTF-8 text. Each byte that
 window which also starts earlier (in a document with a smaller id, or further up in its own)
 is removed.
 
-1. Equal windows must meet in one shard. Each window has an anchor: the 24 bytes in it whose
+1. Equal windows must meet in one shard. Each window has an anchor: the 40 bytes in it whose
    digest is least, the leftmost of equal ones. Equal windows have equal anchors in the same
    place, so the windows of one anchor, which follow each other, form a piece, and only
    pieces with the same anchor have windows in common. A piece is a digest of its anchor, one
@@ -35,19 +35,19 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textstyle.llm.common import arrow_batches, fresh, settle
 from textstyle.llm.induced import common_prefixes, suffix_array
 
-LENGTH, GRAM = 100, 24
+LENGTH, GRAM = 100, 40
 # Bytes of text that are looked at together, of a shard, and of the sample for wide anchors.
-BLOCK, SHARD, SAMPLE = 2 << 20, 1 << 20, 16 << 20
+BLOCK, SHARD, SAMPLE = 1 << 20, 1 << 20, 16 << 20
 # Different pieces in the sample that make an anchor a wide one.
 WIDE = 32
 # Pieces that a bucket sorts, about.
-BUCKET = 1_000_000
+BUCKET = 500_000
 NO_ID = -(2**63)
 RESULTS = ("kept", "removed")
 # Symbols of shards: 0 at the end, 1 between pieces, bytes from 2 on.
@@ -242,7 +242,7 @@ def repeated_pieces(docs: DataFrame, buckets: int, wide: np.ndarray) -> DataFram
         "to", F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("h"), F.lit(buckets)))
         .otherwise(F.col("bucket")),
     )
-    with arrow_batches(docs.sparkSession, 2000):
+    with arrow_batches(docs.sparkSession, 1000):
         return settle(blobs.groupBy("to").applyInPandas(meet, FOUND), "suffix-pieces")
 
 
@@ -292,20 +292,38 @@ def repeated_windows(group: pd.DataFrame) -> pd.DataFrame:
     })
 
 
+def _spans() -> Column:
+    """Start and size in one number, which goes to Python as it is."""
+    return F.shiftleft("start", 32).bitwiseOR(F.col("size").cast("long"))
+
+
+def _edges(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    start = spans >> 32
+    return start, start + (spans & 0xFFFFFFFF)
+
+
 def _contents(pieces: DataFrame, docs: DataFrame) -> DataFrame:
     """The pieces with their bytes."""
-    wanted = pieces.groupBy("doc", "tag").agg(
-        F.collect_list(F.struct("h", "start", "size")).alias("pieces"))
+    wanted = pieces.select("doc", "tag", "h", _spans().alias("span")).groupBy("doc", "tag").agg(
+        F.sort_array(F.collect_list(F.struct("span", "h"))).alias("pieces")
+    ).select("doc", "tag", F.col("pieces.span").alias("spans"), F.col("pieces.h").alias("hs"))
 
     def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.itertuples():
-                data = row.text.encode()
-                yield pd.DataFrame({
-                    "doc": row.doc, "tag": row.tag, "h": [p["h"] for p in row.pieces],
-                    "start": [p["start"] for p in row.pieces],
-                    "content": [data[p["start"] : p["start"] + p["size"]] for p in row.pieces],
-                })
+            contents: list[bytes] = []
+            starts = []
+            for text, spans in zip(batch["text"], batch["spans"], strict=True):
+                data = text.encode()
+                start, stop = _edges(spans)
+                starts.append(start)
+                contents += [data[a:b] for a, b in zip(start.tolist(), stop.tolist(), strict=True)]
+            counts = [len(s) for s in starts]
+            yield pd.DataFrame({
+                "doc": np.repeat(batch["doc"].to_numpy(), counts),
+                "tag": np.repeat(batch["tag"].to_numpy(), counts),
+                "h": np.concatenate([np.empty(0, np.int64), *batch["hs"]]),
+                "start": np.concatenate([np.empty(0, np.int64), *starts]), "content": contents,
+            })
 
     # Rows equal in id and text are one document.
     texts = _texts(docs).join(wanted, ["doc", "tag"])
@@ -323,8 +341,12 @@ def marks(docs: DataFrame, shard: int = SHARD, sample: int = SAMPLE) -> DataFram
     with arrow_batches(docs.sparkSession, 200):
         contents = settle(_contents(shared, docs).dropDuplicates(["doc", "tag", "h", "start"]),
                           "suffix-contents")
-    dealt = contents.withColumn("shard", F.pmod(F.hash("h"), F.lit(volume // shard + 1)))
-    repeated = dealt.groupBy("shard").applyInPandas(repeated_windows, MARK)
+    shards = volume // shard + 1
+    dealt = contents.withColumn("shard", F.pmod(F.hash("h"), F.lit(shards)))
+    # Sorting suffixes costs more than the bytes tell: few shards are not put into one task.
+    spread = min(shards, 16 * docs.sparkSession.sparkContext.defaultParallelism)
+    repeated = dealt.repartition(spread, "shard").groupBy("shard").applyInPandas(
+        repeated_windows, MARK)
     return found.filter("h IS NULL").select("doc", "tag", "start", "size").union(repeated)
 
 
@@ -340,10 +362,8 @@ def cut_out(text: pd.Series, parts: pd.Series) -> pd.DataFrame:
             kept.append(data)
             removed.append([])
             continue
-        start = np.array([s["start"] for s in spans], dtype=np.int64)
-        stop = start + np.array([s["size"] for s in spans], dtype=np.int64)
-        order = np.argsort(start, kind="stable")
-        start, stop = start[order], np.maximum.accumulate(stop[order])
+        start, stop = _edges(np.sort(spans))
+        stop = np.maximum.accumulate(stop)
         first = np.flatnonzero(np.r_[True, start[1:] > stop[:-1]])
         low, high = start[first], np.r_[stop[first[1:] - 1], stop[-1]]
         edges = zip(np.r_[0, high], np.r_[low, len(data)], strict=True)
@@ -361,7 +381,7 @@ def without_repeats(docs: DataFrame, shard: int = SHARD, sample: int = SAMPLE) -
     repeats = marks(own.select("doc_id", "text"), shard, sample)
     gathered = settle(repeats, "suffix-marks").groupBy(
         F.col("doc").alias(doc), F.col("tag").alias(tag)
-    ).agg(F.collect_list(F.struct("start", "size")).alias(parts))
+    ).agg(F.collect_list(_spans()).alias(parts))
     joined = own.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(
         tag, F.xxhash64("text")).join(gathered, [doc, tag], "left")
     return joined.withColumn(cut, F.pandas_udf(cut_out, CUT)("text", parts)).select(*own.columns, f"{cut}.*")

@@ -1,5 +1,6 @@
 import html
 import itertools
+import random
 from urllib.parse import urljoin
 
 import pytest
@@ -168,3 +169,29 @@ def test_books_to_fetch(spark):
     assert {(r.filename, r.already_stored) for r in rows} == {("zola_0.txt", False),
                                                              ("zola_1.txt", True)}
     assert len(rows) == 2
+
+
+def test_rules_from_a_table_equal_the_conditions(spark):
+    pick = random.Random(6)
+
+    def word(n):
+        return "".join(pick.choice("abc") for _ in range(n))
+
+    rules = [(f"author{i}", tuple(word(pick.randrange(2, 6)) for _ in range(pick.randrange(1, 4))))
+             for i in range(60)]
+    urls = [(f"https://X/{word(pick.randrange(0, 12)).upper()}.txt",) for _ in range(300)]
+    links = spark.createDataFrame([*urls, (None,), ("",)], "url string")
+    table = spark.createDataFrame(
+        [(i, author, keyword) for i, (author, keywords) in enumerate(rules) for keyword in keywords],
+        "place int, author string, keyword string")
+    expected = corpus.attribute_author(links, rules=rules).collect()
+    found = corpus.attribute_author_by_table(links, table).collect()
+    assert found == expected and len({r.author for r in found}) > 20
+    # One pass whatever the number of rules.
+    many = spark.range(10_000).selectExpr("id + 100 AS place", "'many' AS author", "'no' || id AS keyword")
+    assert corpus.attribute_author_by_table(links, table.union(many)).collect() == expected
+    none = corpus.attribute_author_by_table(links, table.limit(0)).collect()
+    assert {r.author for r in none} == {"unknown"}
+    every = spark.createDataFrame([(5, "all", "")], table.schema)
+    assert [r.author for r in corpus.attribute_author_by_table(links, every).collect()] == [
+        "unknown" if r.url is None else "all" for r in links.collect()]

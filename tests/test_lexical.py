@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 from textstyle.functions.text import STOPWORDS
+from textstyle.operators import lexical
 from textstyle.operators.corpus import only_documents
 from textstyle.operators.lexical import (
     representative_documents,
@@ -69,3 +70,15 @@ def test_curve_and_representative_words(spark, make_corpus):
     assert [(r.word, r.frequency) for r in words] == [("chien", 3)]
     curve = {r["rank"]: r.log_freq for r in zipf_curve(zipf, "genre").collect()}
     assert set(curve) == {1, 2} and curve[2] == 0.0
+
+
+def test_a_stop_list_as_a_table_equals_the_literal_one(spark, make_corpus):
+    corpus = make_corpus("Le chat et le chien, le Chat!", "le la les", "", None, "été Été peut-être")
+    stoplist = spark.createDataFrame([(w.upper(),) for w in STOPWORDS] * 2, "word string")
+    found = lexical.zipf_table_without(corpus, stoplist, 2)
+    expected = lexical.zipf_table(corpus, 2)
+    assert found.columns == expected.columns
+    assert sorted(found.collect()) == sorted(expected.collect())
+    long = spark.range(100_000).selectExpr("translate(CAST(id AS STRING), '0123456789', 'abcdefghij') AS word")
+    assert lexical.zipf_table_without(corpus, long).count() == lexical.zipf_table(corpus, 200, ()).count()
+    assert lexical.zipf_table_without(corpus, stoplist.limit(0)).count() == 9

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,6 +86,50 @@ def attribute_author(
     return links.withColumn("author", author_of(url, rules))
 
 
+# Rules that tasks hold as one automaton.
+MOST_RULES = 1_000_000
+
+
+def attribute_author_by_table(links: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
+    """``attribute_author`` with rules from a table (place, author, keyword), however many.
+
+    The rule with the least place one of whose keywords is in the lower-cased url names the
+    author; keywords are compared in lower case. All keywords are sought in one pass over a
+    url, by an automaton that every task builds from the same bounded list.
+    """
+    listed = rules.select(
+        F.col("place").cast("long").alias("place"), "author",
+        F.lower(F.coalesce("keyword", F.lit(""))).alias("keyword"),
+    ).groupBy("keyword").agg(F.min(F.struct("place", "author")).alias("rule"))
+    found = listed.limit(MOST_RULES + 1).collect()
+    if len(found) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} keywords")
+    always = min((tuple(r["rule"]) for r in found if r["keyword"] == ""), default=None)
+    keywords = [(r["keyword"], *r["rule"]) for r in found if r["keyword"]]
+    shared = links.sparkSession.sparkContext.broadcast(keywords)
+
+    @F.pandas_udf("string")
+    def author(urls: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for keyword, *rule in shared.value:
+            automaton.add_word(keyword, tuple(rule))
+        automaton.make_automaton()
+        fallback = [always] if always else []
+
+        def first(value: str | None) -> str:
+            hits = automaton.iter(value.lower()) if value and len(automaton) else ()
+            best = min([*(rule for _, rule in hits), *(fallback if value is not None else [])],
+                       default=None)
+            return best[1] if best else UNKNOWN_AUTHOR
+
+        for batch in urls:
+            yield batch.map(first, na_action=None)
+
+    return links.withColumn("author", author(url))
+
+
 def drop_unknown_authors(links: DataFrame) -> DataFrame:
     return links.filter(F.col("author") != UNKNOWN_AUTHOR)
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textstyle.functions.text import STOPWORDS, normalised_words
+from textstyle.functions.text import STOPWORDS, normalise_word, normalised_words
 from textstyle.operators.annotate import annotated
 
 KEYS = ["id", "author", "genre", "title"]
@@ -91,6 +91,21 @@ def zipf_table_of_blocks(
     return _with_logs(_ranked_across_rows(blocks, top_n, stopwords))
 
 
+def zipf_table_without(
+    corpus: DataFrame, stoplist: DataFrame, top_n: int = 200
+) -> DataFrame:
+    """``zipf_table`` with a stop list of any length: a table with a column ``word``.
+
+    Words are counted inside the rows; the counts are joined to the list, and what is left is
+    ranked, a window per document. Entries of the list are normalised like words.
+    """
+    unwanted = stoplist.select(normalise_word("word").alias("word")).distinct()
+    counts = word_frequencies(corpus, ()).join(unwanted, "word", "left_anti")
+    by_frequency = Window.partitionBy("id").orderBy(F.desc("frequency"))
+    ranked = counts.withColumn("rank", F.rank().over(by_frequency)).filter(F.col("rank") <= top_n)
+    return _with_logs(ranked.select(*KEYS, "word", "frequency", "rank"))
+
+
 def with_ranked_words(
     corpus: DataFrame, top_n: int = 200, stopwords: Iterable[str] = STOPWORDS
 ) -> DataFrame:

@@ -519,6 +519,19 @@ SELECT id, author, genre, word_count, sentence_count, syllable_count,
     "conversation_windows": _block_windows("""corpus AS (
   SELECT conv_id AS id, 'someone' AS author, 'talk' AS genre, 'conversation' AS title, turn, text
   FROM conversations)""", "turn", "author, genre, title"),
+    "zipf_without_benchmark": "WITH unwanted AS (SELECT lower(regexp_replace(w, '[^a-zA-ZÀ-ÿ]', "
+    f"'', 'g')) AS word FROM (SELECT unnest(regexp_extract_all(text, '{_TOKEN}')) AS w "
+    "FROM benchmark)), "
+    + _zipf(200).replace(f"NOT IN ({_STOPWORDS})", "NOT IN (SELECT word FROM unwanted)")
+    + _ZIPF_ROWS,
+    "attribute_author_by_table": """WITH names AS (
+  SELECT source AS author, row_number() OVER (ORDER BY length(source) DESC, source) AS place
+  FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL)),
+links AS (
+  SELECT doc_id AS id, 'https://EXAMPLE.org/' || upper(coalesce(source, 'none')) || '/doc_' || doc_id
+    || '.txt' AS url FROM documents)
+SELECT id, url, coalesce((SELECT arg_min(author, place) FROM names
+  WHERE contains(lower(url), lower(author))), 'unknown') AS author FROM links""",
     "stored_raw_corpus": f"WITH {_CORPUS} {_RAW_ROWS}",
     "stored_annotated_corpus": f"""WITH {_metrics()},
 {_dialogue(_CORPUS).removeprefix(_CORPUS + ',')}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
@@ -645,6 +645,29 @@ def folder_capped(spark, folder):
     return books.select("genre", "author", F.regexp_replace("text", r"\n\z", "").alias("text"))
 
 
+def zipf_without_benchmark(spark, folder):
+    """Top words of every document that no benchmark text holds."""
+    texts = spark.read.parquet(f"{folder}/benchmark.parquet").select(
+        F.explode(annotate.tokens("text")).alias("word"))
+    return rounded(lexical.zipf_table_without(documents(spark, folder), texts))
+
+
+def attribute_author_by_table(spark, folder):
+    """The sources of documents found in the urls that their texts' first words make.
+
+    Rules come from the table of documents, one per source, the longest names first.
+    """
+    texts = documents(spark, folder)
+    names = texts.select("author").distinct().filter("author IS NOT NULL")
+    order = Window.orderBy(F.desc(F.length("author")), "author")
+    rules = names.select(
+        F.row_number().over(order).alias("place"), "author", F.col("author").alias("keyword"))
+    links = texts.select("id", F.concat(
+        F.lit("https://EXAMPLE.org/"), F.upper(F.coalesce("author", F.lit("none"))), F.lit("/"),
+        "title", F.lit(".txt")).alias("url"))
+    return corpus.attribute_author_by_table(links, rules)
+
+
 def stored_raw_corpus(spark, folder):
     texts = documents(spark, folder)
     path = tables.write_raw_corpus(texts, tables.work_folder(spark))
@@ -801,6 +824,8 @@ QUERIES: dict[str, Query] = {
     "folder_scan": folder_scan,
     "folder_lines": folder_lines,
     "folder_capped": folder_capped,
+    "zipf_without_benchmark": zipf_without_benchmark,
+    "attribute_author_by_table": attribute_author_by_table,
     "stored_raw_corpus": stored_raw_corpus,
     "stored_annotated_corpus": stored_annotated_corpus,
     "stored_windows": stored_windows,

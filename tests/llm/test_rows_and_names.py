@@ -20,7 +20,7 @@ from textstyle.llm import (
 )
 
 DOCS = "doc_id long, text string, lang string, source string"
-WORDS = " ".join(f"word{i}" for i in range(31))
+WORDS = " ".join(f"word{i}" for i in range(80))
 
 
 def three_near(ids):

@@ -189,7 +189,8 @@ def test_repeats_odd_rows(spark):
     pick = random.Random(1)
     long = "".join(pick.choice("abcdefgh ") for _ in range(300))
     rows = [(1, long), (1, long), (1, long[50:]), (None, long), (None, long), (2, None), (3, "")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # All rows in one task.
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     names = ("doc", "tag", "parts", "cut", "start", "size", "h", "_doc", "KEPT", "removed")
     clashing = docs.select("*", *[F.lit("mine").alias(n) for n in names])
     result = suffix_dedup.without_repeats(clashing)

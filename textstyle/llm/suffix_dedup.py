@@ -200,7 +200,12 @@ def repeated_pieces(docs: DataFrame, buckets: int, wide: np.ndarray) -> DataFram
                 row, start, size = row[order], start[order], size[order]
                 first = np.ones(len(h), dtype=bool)
                 first[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-                # The same row twice is no repeat, but is kept apart by the bucket.
+                begin = np.maximum.accumulate(np.where(first, np.arange(len(h)), 0))
+                # Rows equal in id and text are one document, not repeats of each other.
+                again = ~first & (docs[row] == docs[row[begin]]) & (
+                    tags[row] == tags[row[begin]]) & (start == start[begin])
+                h, d, row, start, size, first = (
+                    x[~again] for x in (h, d, row, start, size, first))
                 bucket = np.where(first, (mix(h) % np.uint64(buckets)).astype(np.int64), -1)
                 inner = np.argsort(bucket, kind="stable")
                 edges = np.flatnonzero(np.r_[True, np.diff(bucket[inner]) != 0, True]) \

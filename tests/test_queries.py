@@ -21,7 +21,30 @@ def database():
     return connection
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+# What no SQL states; checked below and in test_perceptron.py.
+TRAINED = ("perceptron_tags", "tagger_accuracy")
+
+
+def test_what_has_no_sql():
+    assert tuple(name for name in QUERIES if name not in oracle_sql()) == TRAINED
+
+
+def test_perceptron_beats_the_lexicon_on_held_out_documents(spark):
+    rows = {r.tagger: r for r in queries()["tagger_accuracy"](spark, DATA).collect()}
+    print(rows)
+    assert rows["perceptron"].tokens == rows["lexicon"].tokens > 0
+    assert rows["perceptron"].right > rows["lexicon"].right
+
+
+def test_perceptron_tags_every_token(spark):
+    found = {r.id: len(r.pos.split(" ")) for r in
+             queries()["perceptron_tags"](spark, DATA).filter("pos <> ''").collect()}
+    words = {r.id: len(r.pos.split(" ")) for r in
+             queries()["document_tags"](spark, DATA).collect()}
+    assert found == words
+
+
+@pytest.mark.parametrize("name", [name for name in QUERIES if name not in TRAINED])
 def test_query(spark, database, name):
     got = normal(queries()[name](spark, DATA).toPandas())
     expected = normal(database.execute(oracle_sql()[name]).df())

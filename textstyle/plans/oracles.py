@@ -467,8 +467,8 @@ FROM documents GROUP BY lang, source""",
   regexp_replace(arg_min(text, doc_id), '\\r\\n?', E'\\n', 'g') AS text
 FROM documents GROUP BY lang, source""",
     "stored_sizes": """WITH texts AS (SELECT sum(strlen(text))::BIGINT AS n FROM documents)
-SELECT "table", stored, CASE WHEN "table" = 'parquet/raw_corpus' THEN n END AS text_bytes,
-  CASE WHEN "table" = 'parquet/raw_corpus' THEN n > 0 END AS plausible
+SELECT "table", stored, CASE WHEN "table" = 'parquet/raw_corpus' THEN n ELSE 0 END AS text_bytes,
+  "table" = 'parquet/raw_corpus' AND n > 0 AS plausible
 FROM texts, (VALUES ('parquet/raw_corpus', true),
   ('parquet/annotated_corpus', false), ('parquet/sliding_readability', false),
   ('orc/stylometry', true), ('zipf.csv', false), ('segmentation.csv', false)) t("table", stored)""",

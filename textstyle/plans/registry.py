@@ -718,11 +718,11 @@ def stored_sizes(spark, folder):
     tables.write_author_stats(author_stats(_metrics(spark, folder)), written)
     length = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).scalar()
     sized = tables.stored_sizes(spark, written).withColumn(
-        "text_bytes", F.when(F.col("table") == tables.RAW_CORPUS, length))
+        "text_bytes", F.when(F.col("table") == tables.RAW_CORPUS, length).otherwise(0))
     plausible = F.col("bytes").between(F.col("text_bytes") / 20, F.col("text_bytes") + 1_000_000)
     return sized.select(
         "table", F.coalesce(F.col("bytes") > 0, F.lit(False)).alias("stored"), "text_bytes",
-        plausible.alias("plausible"),
+        F.coalesce(plausible & (F.col("text_bytes") > 0), F.lit(False)).alias("plausible"),
     )
 
 

@@ -1,5 +1,6 @@
 import zipfile
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -121,6 +122,20 @@ def test_stored_books_of_any_language_and_author(spark, tmp_path):
     assert cut["it", "Src25"] == "two\n" and cut[None, "a/b"] == "three\n" and cut["de", None] == "four\n"
 
 
+def test_the_capped_folder_has_few_files(spark, tmp_path, monkeypatch):
+    odd = ["\\n\\\\\n\\\\n\r\nend\\", "a\0b\rc\n", None, "", "\n\n", "\\"]
+    rows = [(i, text, f"s{i}", "fr", 1) for i, text in enumerate(odd)]
+    rows += [(i, f"later {i}", f"s{i % len(odd)}", "fr", 1) for i in range(len(odd), 1200)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    written = f"{tmp_path}/written"
+    monkeypatch.setattr(registry.tables, "work_folder", lambda spark: written)
+    got = {r.author: r.text for r in registry.folder_capped(spark, str(tmp_path)).collect()}
+    plain = [(text or "").replace("\r\n", "\n").replace("\r", "\n") for text in odd]
+    assert got == {f"s{i}": text for i, text in enumerate(plain)}
+    assert len(list(Path(written).rglob("*.txt"))) < 100
+
+
 def test_chapters_equal_whole_books(spark, tmp_path):
     folder = make_folder(tmp_path)
     long = "".join(f"<p>Une peut-être maison {i}.</p>" for i in range(300))

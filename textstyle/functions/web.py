@@ -284,11 +284,12 @@ def author_of(
 ) -> Column:
     """Author whose rule matches the URL first, else ``unknown``."""
     lowered = F.lower(_col(url))
-    result = F.lit(UNKNOWN_AUTHOR)
-    for author, keywords in reversed(list(rules)):
+    # One flat expression: rules inside one another make plans that take minutes to optimise.
+    result = F
+    for author, keywords in rules:
         matched = reduce(lambda a, b: a | b, [lowered.contains(word) for word in keywords])
-        result = F.when(matched, author).otherwise(result)
-    return result
+        result = result.when(matched, author)
+    return F.lit(UNKNOWN_AUTHOR) if result is F else result.otherwise(UNKNOWN_AUTHOR)
 
 
 def stored_name(author: Column | str, url: Column | str) -> Column:

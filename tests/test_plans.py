@@ -135,3 +135,10 @@ def test_the_whole_job_tokenises_once(texts):
     profiled = lexical.with_ranked_words(windows.with_windows(annotate(texts)), 50)
     plan = plan_of(add_segmentation(document_metrics(profiled)).drop("tokens", "sentences"))
     assert plan.count("regexp_extract_all") == 1 and "Exchange" not in plan
+
+
+def test_the_whole_job_counts_syllables_once(texts):
+    profiled = document_metrics(windows.with_windows(annotate(texts)))
+    assert plan_of(profiled).count("[^aeiou") == plan_of(windows.with_windows(annotate(texts))).count("[^aeiou")
+    counted = profiled.select("id", "syllable_count").collect()
+    assert sorted(counted) == sorted(document_metrics(texts).select("id", "syllable_count").collect())

@@ -16,14 +16,19 @@ from textstyle.operators.annotate import annotated
 
 
 def document_metrics(corpus: DataFrame, hyphens: str = "count") -> DataFrame:
-    """Add word, sentence and syllable counts and both scores; annotations are dropped."""
+    """Add word, sentence and syllable counts and both scores; annotations are dropped.
+
+    Syllables that ``with_windows`` has counted on the way are taken from there.
+    """
+    known = f"_syllables_{hyphens}"
     counted = annotated(corpus).withColumns(
         {
             "word_count": F.size("tokens"),
             "sentence_count": F.size("sentences"),
-            "syllable_count": text_syllables("tokens", hyphens),
+            "syllable_count": F.col(known) if known in corpus.columns
+            else text_syllables("tokens", hyphens),
         }
-    )
+    ).drop(known)
     counts = ("word_count", "sentence_count", "syllable_count")
     return counted.drop("tokens", "sentences").withColumns(
         {"flesch_score": flesch(*counts), "km_score": kandel_moles(*counts)}

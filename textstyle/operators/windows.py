@@ -112,13 +112,15 @@ def _check(mode: str) -> None:
 
 def _with_windows(
     corpus: DataFrame, name: str, configs: Sequence[tuple[int, int]], mode: str,
-    min_fill: float, hyphens: str,
+    min_fill: float, hyphens: str, keep_total: bool = False,
 ) -> DataFrame:
     _check(mode)
     if not configs:
         raise ValueError("no window size is given")
     rows = F.concat(*[_windows(size, step, mode, min_fill) for size, step in configs])
     counted = _with_sums(corpus, configs, mode, hyphens).withColumn(name, rows)
+    if keep_total:
+        counted = counted.withColumn(f"_syllables_{hyphens}", F.element_at("_sums", -1).cast("int"))
     return counted.drop("_tokens", "_sums", "_grain")
 
 
@@ -160,8 +162,9 @@ def with_windows(
     min_fill: float = 0.5,
     hyphens: str = "count",
 ) -> DataFrame:
-    """Add ``windows``: the rows of ``readability_windows`` as an array, without scores."""
-    return _with_windows(corpus, "windows", configs, mode, min_fill, hyphens)
+    """Add ``windows``: the rows of ``readability_windows`` as an array, without scores; and
+    the syllables of the whole text, which ``document_metrics`` then need not count."""
+    return _with_windows(corpus, "windows", configs, mode, min_fill, hyphens, keep_total=True)
 
 
 def expand_windows(profiles: DataFrame, words_per_sentence: float = 20.0) -> DataFrame:

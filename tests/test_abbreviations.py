@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from textstyle.functions.text import sentences
@@ -14,6 +15,7 @@ from textstyle.operators.abbreviations import (
     learn_abbreviations,
     sentences_but,
     stop_counts,
+    stored_counts,
 )
 
 
@@ -80,3 +82,22 @@ def test_without_abbreviations_nothing_changes(make_corpus, texts):
     corpus = make_corpus(*texts, "Un! Deux?? Trois… quatre.cinq\nsix. ", "?!", "a.\n\nb")
     same = corpus.select(sentences("text").alias("a"), sentences_but("text", []).alias("b"))
     assert same.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+
+
+def test_texts_are_counted_once(make_corpus, texts):
+    counts = stop_counts(make_corpus(*texts))
+    # No sorting of words inside the rows: tasks add up what they find.
+    assert "sort_array" not in plan_of(counts) and "partial_count" in plan_of(counts)
+    stored = stored_counts(make_corpus(*texts))
+    assert sorted(stored.collect()) == sorted(counts.collect())
+    # The scores read the written counts, for their sums and for their rows.
+    assert "regexp_extract_all" not in plan_of(abbreviation_scores(stored))
+
+
+def test_last_words_behind_odd_spaces(spark):
+    table = spark.createDataFrame(
+        [("a\u00a0M. B. c",), ("x\nM.\t\nB",), ("(etc.) M.\r\n",), ("d'etc. B. l-m. C",),
+         (" M. ",)], "text string")
+    rows = table.select(sentences_but("text", ["m", "etc", "d'etc"]).alias("s")).collect()
+    assert [r.s for r in rows] == [
+        ["a\u00a0M. B", "c"], ["x\nM.\t\nB"], ["(etc.) M.\r\n"], ["d'etc. B", "l-m", "C"], [" M. "]]

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textstyle.functions.text import SENTENCE_END
+from textstyle.sources.tables import work_folder
 
 # Fixed values of the method: the chance of a full stop after an abbreviation, and the least
 # score of one.
@@ -31,23 +32,17 @@ def stop_counts(corpus: DataFrame) -> DataFrame:
     """(word, with_stop, without_stop): lower-cased words of all texts, with exactly one full
     stop behind them and otherwise. Words without a letter are left out.
 
-    Counted in the row first, so that a frequent word travels once per document.
+    Occurrences are counted as they are written, each task its own before the shuffle; those
+    few rows are then taken apart into word and full stops.
     """
     found = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(STOPPED_WORD), F.lit(0))
-    words = corpus.select(F.sort_array(F.transform(found, lambda w: F.lower(w))).alias("_words"))
-    last_of_run = F.transform(
-        "_words", lambda w, i: F.when(~w.eqNullSafe(F.get("_words", i + 1)), i)
-    )
-    ended = words.withColumn("_ends", F.filter(last_of_run, lambda i: i.isNotNull()))
-    counts = F.transform("_ends", lambda end, k: F.struct(
-        F.get("_words", end).alias("found"),
-        (end - F.coalesce(F.get("_ends", k - 1), F.lit(-1))).cast("bigint").alias("n"),
-    ))
+    rows = F.transform(found, lambda w: F.struct(F.lower(w).alias("found")))
+    counts = corpus.select(F.inline(rows)).groupBy("found").agg(F.count("*").alias("n"))
     word = F.regexp_replace("found", r"\.++\z", "")
     stopped = F.length("found") - F.length(word) == 1
     return (
-        ended.select(F.inline(counts))
-        .select(word.alias("word"), stopped.alias("stopped"), "n").filter(word.rlike(r"\p{L}"))
+        counts.select(word.alias("word"), stopped.alias("stopped"), "n")
+        .filter(F.col("word").rlike(r"\p{L}"))
         .groupBy("word").agg(
             F.sum(F.when(F.col("stopped"), F.col("n")).otherwise(0)).alias("with_stop"),
             F.sum(F.when(F.col("stopped"), 0).otherwise(F.col("n"))).alias("without_stop"),
@@ -55,6 +50,14 @@ def stop_counts(corpus: DataFrame) -> DataFrame:
     )
 
 
+def stored_counts(corpus: DataFrame) -> DataFrame:
+    """``stop_counts``, written once: the scores read it twice, for its sums and its rows."""
+    counts = stop_counts(corpus)
+    path = f"{work_folder(corpus.sparkSession)}/stop_counts"
+    counts.write.parquet(path)
+    return corpus.sparkSession.read.schema(counts.schema).parquet(path)
+
+
 def abbreviation_scores(counts: DataFrame) -> DataFrame:
     """Add ``score`` to words that are met with a full stop.
 
@@ -88,7 +91,7 @@ def learn_abbreviations(
     corpus: DataFrame, least: float = LEAST_SCORE, most: int = MOST
 ) -> list[str]:
     """The corpus's abbreviations, lower-cased and without their last full stop."""
-    scored = abbreviation_scores(stop_counts(corpus)).filter(F.col("score") >= least)
+    scored = abbreviation_scores(stored_counts(corpus)).filter(F.col("score") >= least)
     best = scored.orderBy(F.desc("score"), "word").limit(most)
     return sorted(row["word"] for row in best.select("word").collect())
 
@@ -106,7 +109,9 @@ def sentences_but(text: Column | str, abbreviations: Sequence[str]) -> Column:
 
     def closed(part: Column) -> Column:
         ended = F.regexp_replace(part, rf"(?:{SENTENCE_END})\z", MARK)
-        last = F.lower(F.regexp_extract(part, LAST_WORD, 1))
+        # No word holds a space, so only what follows the last one is searched.
+        end = F.substring_index(F.rtrim(part, F.lit(" \n\r\t")), " ", -1)
+        last = F.lower(F.regexp_extract(end, LAST_WORD, 1))
         return F.when(last.isin(list(abbreviations)), part).otherwise(ended)
 
     marked = F.transform(parts, closed) if abbreviations else F.transform(

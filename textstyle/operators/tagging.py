@@ -75,29 +75,37 @@ def tag_documents(
     these pairs of document and word are joined to the lexicons and gathered again, so that a
     frequent word travels once per document.
     """
-    placed = annotated(corpus).select(
+    lowered = annotated(corpus).select(
         "id", F.monotonically_increasing_id().alias("_row"),
-        F.sort_array(F.transform(
-            "tokens", lambda t, i: F.struct(F.lower(t).alias("word"), i.alias("at"))
-        )).alias("_placed"),
-    )
-    last_of_run = F.transform(
-        "_placed", lambda p, i: F.when(
-            ~p["word"].eqNullSafe(F.get("_placed", i + 1)["word"]), i)
+        F.transform("tokens", lambda t: F.lower(F.coalesce(t, F.lit("")))).alias("_words"),
     )
+    # Places sorted by their word's hash: 33 bits of it above 31 of the place, as plain numbers
+    # sort much faster than words. Words that share those bits may come in several runs.
+    packed = F.sort_array(F.transform("_words", lambda word, i: F.shiftleft(
+        F.xxhash64(word), 31).bitwiseOR(i.cast("long"))))
+    placed = lowered.withColumn("_at", F.transform(
+        packed, lambda p: p.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")))
+    last_of_run = F.transform("_at", lambda at, i: F.when(
+        ~F.get("_words", at).eqNullSafe(F.get("_words", F.get("_at", i + 1))), i))
     ended = placed.withColumn("_ends", F.filter(last_of_run, lambda i: i.isNotNull()))
 
     def run(end: Column, k: Column) -> Column:
         before = F.coalesce(F.get("_ends", k - 1), F.lit(-1))
-        places = F.transform(F.slice("_placed", before + 2, end - before), lambda p: p["at"])
-        return F.struct(F.get("_placed", end)["word"].alias("word"), places.alias("places"))
+        return F.struct(
+            F.get("_words", F.get("_at", end)).alias("word"),
+            F.slice("_at", before + 2, end - before).alias("places"),
+        )
 
     words = ended.select("id", "_row", F.inline(F.transform("_ends", run)))
     tagged = apply_lexicon(words, lexicon, endings, default)
+    # Two lists in one order. The tags are read for every token, so they are a list of their own
+    # and no expression that would be worked out as often.
     gathered = tagged.groupBy("_row", "id").agg(
-        F.collect_list(F.struct("tag", "places")).alias("words")
+        F.collect_list("tag").alias("_tags"), F.collect_list("places").alias("_places")
     )
-    in_order = F.sort_array(F.flatten(F.transform("words", lambda w: F.transform(
-        w["places"], lambda at: F.struct(at.alias("at"), w["tag"].alias("tag"))
+    # Again as plain numbers: the place above the number of its word.
+    in_order = F.sort_array(F.flatten(F.transform("_places", lambda places, k: F.transform(
+        places, lambda at: F.shiftleft(at.cast("long"), 32).bitwiseOR(k.cast("long"))
     ))))
-    return gathered.select("id", F.transform(in_order, lambda one: one["tag"]).alias("pos"))
+    return gathered.select("id", F.transform(in_order, lambda one: F.get(
+        "_tags", one.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))).alias("pos"))

@@ -1,9 +1,11 @@
 """The pipeline's stages, the registered queries against SQL, and their plans."""
 
 import os
+import time
 
 import duckdb
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -114,6 +116,40 @@ def test_both_sides_of_the_line_join_read_one_shuffle(spark, monkeypatch):
     assert "ReusedExchange" in ran["line-pairs"][1]
 
 
+def test_candidate_lines_travel_as_strings(spark, monkeypatch):
+    kinds = []
+
+    def spy(frame, name):
+        if name == "line-contents":
+            kinds.append(dict(frame.dtypes)["words"])
+        return common.settle(frame, name)
+
+    monkeypatch.setattr(line_dedup, "settle", spy)
+    line_dedup.dedup_lines(spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string"))
+    assert kinds == ["string", "string"]
+
+
+def test_settled_frames_leave_no_shuffle_files(spark):
+    """A frame's shuffles are gone once it is written, also in the middle of an operator."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+
+    def files():
+        return {name for folder in manager.diskBlockManager().localDirsString()
+                for _, _, names in os.walk(folder) for name in names if "shuffle_" in name}
+
+    before, setting = files(), spark.conf.get(common.CLEANUP)
+    written = common.settle(spark.range(2000).groupBy(F.col("id") % 700).count(), "no-files")
+    for _ in range(50):
+        # They are removed beside the next query.
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and written.count() == 700
+    with pytest.raises(SparkRuntimeException):
+        common.settle(spark.range(1).select(F.raise_error(F.lit("no")).cast("int")), "none")
+    assert spark.conf.get(common.CLEANUP) == setting
+
+
 STAGE_NAMES = [name for name, _ in corpus_pipeline.STAGES]
 
 

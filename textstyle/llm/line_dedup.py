@@ -205,19 +205,24 @@ def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame
         .select(
             "row", F.struct(*PLACE).alias("place"),
             F.array_distinct(_tokens(F.get("parts", F.col("line")))).alias("tokens"),
-        ).dropDuplicates(["row"])
+        )
+        # Words travel as one string, which is much narrower than an array of them.
+        .select("row", "place", F.size("tokens").alias("n"),
+                F.array_join("tokens", " ").alias("words"))
+        .dropDuplicates(["row"])
     )
     contents = settle(contents, "line-contents")
 
     def side(name: str) -> DataFrame:
         return contents.select(*[
             F.col(c).alias(new) for c, new in
-            (("row", name), ("place", f"{name}_place"), ("tokens", f"{name}_tokens"))
+            (("row", name), ("place", f"{name}_place"), ("n", f"{name}_n"),
+             ("words", f"{name}_words"))
         ])
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    common = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    sizes = F.size("a_tokens") + F.size("b_tokens")
+    common = F.size(F.array_intersect(F.split("a_words", " "), F.split("b_words", " ")))
+    sizes = F.col("a_n") + F.col("b_n")
     later = F.when(F.col("a_place") < F.col("b_place"), F.col("b")).otherwise(F.col("a"))
     return both.filter(common >= least_overlap(sizes)).select(later.alias("row")).distinct()
 

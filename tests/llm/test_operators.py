@@ -525,6 +525,27 @@ def test_a_large_group_of_near_lines(spark):
     assert [r.doc_id for r in found.filter("n_kept > 0").collect()] == [0]
 
 
+def test_a_large_group_of_lines_that_are_not_near(spark, monkeypatch):
+    """Variants of a long line, each too far from the others: few become pairs, all stay."""
+    base = [f"common{i}" for i in range(40)]
+    rows = []
+    for i in range(300):
+        own = {(i * 7 + 5 * k) % 40: f"own{i}x{k}" for k in range(8)}
+        rows.append((i, " ".join(own.get(at, word) for at, word in enumerate(base))))
+    pairs, settle = [], line_dedup.settle
+
+    def counted(frame, name):
+        written = settle(frame, name)
+        if name == "line-pairs":
+            pairs.append(written.count())
+        return written
+
+    monkeypatch.setattr(line_dedup, "settle", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert line_dedup.dedup_lines(docs).filter("n_kept = 1").count() == 300
+    assert sum(pairs) < 10 * len(rows)
+
+
 # --- 10 near duplicates -------------------------------------------------------------------
 
 

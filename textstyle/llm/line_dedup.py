@@ -3,17 +3,18 @@
 A line is its set of words. It is removed when a line before it, in an earlier document or
 higher up in its own, has a Jaccard similarity of ``SIMILAR`` or more. The join:
 
-1. Equal sets become one row with the first place of the set.
-2. Tokens are ordered from rare to frequent, told apart by a count over the corpus, and each
-   token is taken together with the one that follows it in that order. Sets with o common
-   tokens have at least 3 o - m - n - 1 such pairs in common, since each token that only one
-   of them has breaks at most three of theirs. Two similar sets therefore share one of the
-   first pairs of each: the prefix filter, on pairs that hardly ever meet by chance.
-3. Each set is first compared with the earliest set that has the same rarest pair, which
-   settles groups of near copies. Then all sets that share a prefix pair meet, unless both are
-   settled, if the length and the positional filter let them pass, and for short sets a filter
-   on marks of their tokens. Both sides of this join read one shuffle of narrow entries: the
-   pair, the set's number and one packed word.
+1. Equal sets become one row with the first place of the set, numbered in the order of places.
+2. Tokens are ordered from long to short, those in slots of the hash that a count over the
+   corpus found frequent at the end, and each token is taken together with the one that follows
+   it in that order. Sets with o common tokens have at least 3 o - m - n - 1 such pairs in
+   common, since each token that only one of them has breaks at most three of theirs. Two
+   similar sets therefore share one of the first pairs of each: the prefix filter, on pairs that
+   hardly ever meet by chance. Any order gives the same result; this one makes few sets meet.
+3. Entries of a pair, a set's number, its size and the place in it are shuffled once. Most pairs belong to
+   one set only and go there. Each other set is first compared with one earlier set, the one that
+   comes first in most of its pairs; a group of near copies is settled so, in proportion to its
+   size. Only sets that are still open then meet all earlier ones that share a prefix pair, if
+   the length and the positional filter let them pass and a filter on 128 marks of their tokens.
 4. Pairs that pass are verified on the words themselves; the later one of a pair goes.
 
 Rows: documents are ordered by doc_id, NULL first, those that share an id (or have none) by the
@@ -32,14 +33,15 @@ from textstyle.llm.common import SPACES, fresh, settle
 
 # Similarity as a fraction: 4/5.
 OVER, UNDER = 4, 5
-# Frequent tokens that are told from others; a documented size, not a cut of the data.
-FREQUENT = 20_000
+# Slots of the tokens' hash that are counted, and those of them that are told from others; a
+# documented size of the order's table, not a cut of the data.
+SLOTS, FREQUENT = 1 << 16, 2000
 # The smallest set that can resemble a different one: four words of five.
 SMALLEST = 4
-# Sets up to this size carry marks: 32 bits, one set by each token.
-MARKED = 32
 NO_ID = -(2**63)
 RESULTS = ("n_lines", "n_kept")
+PLACE = ("doc", "tag", "line")
+MARKS = ("marks0", "marks1")
 
 
 def least_overlap(sizes: Column) -> Column:
@@ -51,125 +53,110 @@ def _tokens(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACES), "")
 
 
-def frequent_tokens(docs: DataFrame, number: int = FREQUENT) -> list[int]:
-    """Hashes of about the ``number`` most frequent tokens, the most frequent first, from a
-    sketch of fixed size."""
-    tokens = docs.select(F.explode(F.split("text", SPACES)).alias("token"))
-    top = tokens.select(F.xxhash64("token").alias("token")).agg(
-        F.expr(f"approx_top_k(token, {number}, {4 * number})").alias("top")
-    ).first()["top"]
-    return [row["item"] for row in top or []]
+def frequent_slots(docs: DataFrame, number: int = FREQUENT) -> list[int]:
+    """The ``number`` slots of the hash that hold the most words, counted over all words."""
+    words_ = docs.select(F.explode(F.split("text", SPACES)).alias("word"))
+    slots = words_.groupBy(F.xxhash64("word").bitwiseAND(F.lit(SLOTS - 1)).alias("slot")).count()
+    return [row["slot"] for row in slots.orderBy(F.desc("count"), "slot").limit(number).collect()]
+
+
+# A token stands as a long that sorts long tokens first: one bit for the frequent, six for the
+# length, the others from its hash.
+HASH_BITS, LONGEST = 56, 63
+DEMOTED = 1 << (HASH_BITS + 6)
+
+
+def _key(token: Column) -> Column:
+    length = F.least(F.octet_length(token), F.lit(LONGEST))
+    return F.shiftleft((F.lit(LONGEST) - length).cast("long"), HASH_BITS).bitwiseOR(
+        F.xxhash64(token).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+    )
 
 
 def _lines(docs: DataFrame, frequent: list[int]) -> DataFrame:
-    """A row per line with words: place, set, number of distinct tokens, prefix.
+    """A row per line with words: place, set, number of distinct tokens, prefix, marks.
 
-    Tokens stand as their hashes; those outside ``frequent`` come first, each part by hash.
     The pairs of the prefix are hashed to four bytes: they may meet too often, never less.
     """
+    # Told by the text of the line: a filter on its tokens would make them twice.
     line = docs.select(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"),
         F.xxhash64("text").alias("tag"),
         F.posexplode(F.split("text", "\n")).alias("line", "content"),
-    )
-    hashed = line.select(
-        "doc", "tag", "line",
-        F.sort_array(F.array_distinct(F.transform(
-            F.array_remove(F.split("content", SPACES), ""), lambda token: F.xxhash64(token)
-        ))).alias("tokens"),
-    ).filter(F.size("tokens") > 0).withColumn("n", F.size("tokens"))
-    # Frequent tokens in steps of ten, the most frequent last.
-    steps = [frequent[: len(frequent) // 100], frequent[len(frequent) // 100 : len(frequent) // 10],
-             frequent[len(frequent) // 10 :]]
-    listed = [", ".join(f"{h}L" for h in step) or "NULL" for step in steps]
-    top, high, middle = (F.expr(f"filter(tokens, h -> coalesce(h IN ({part}), false))")
-                         for part in listed)
-    rare = F.expr(f"filter(tokens, h -> NOT coalesce(h IN ({', '.join(listed)}), false))")
+    ).filter(F.col("content").rlike(r"[^\x20\x09-\x0D]"))
+    keys = F.array_distinct(F.transform(_tokens(F.col("content")), _key))
+    if frequent:
+        keys = F.transform(keys, lambda key: F.when(
+            key.bitwiseAND(F.lit(SLOTS - 1)).isin(frequent), key.bitwiseOR(F.lit(DEMOTED))
+        ).otherwise(key))
+    place = F.struct("doc", "tag", "line").alias("place")
+    hashed = line.select(place, F.sort_array(keys).alias("tokens")).withColumn("n", F.size("tokens"))
     n = F.col("n")
     # n + 1 less the pairs that the smallest similar set must share.
     smallest = F.floor((n * OVER + UNDER - 1) / UNDER)
-    pairs = (n + 1 - F.ceil((n + smallest) / 3)).cast("int")
-    parts = hashed.select(
-        F.struct("doc", "tag", "line").alias("place"), F.xxhash64("tokens").alias("set"), "n",
-        F.when(n < SMALLEST, 0).otherwise(pairs).alias("pairs"), rare.alias("rare"), "tokens",
-    )
-    ordered = F.when(F.size("rare") > F.col("pairs"), F.col("rare")).otherwise(
-        F.concat("rare", middle, high, top)
-    )
-    return parts.select("place", "set", "n", "pairs", ordered.alias("ordered"), "tokens").select(
-        "place", "set", "n",
-        F.transform(
-            F.slice("ordered", F.lit(1), F.col("pairs")),
-            lambda token, i: F.hash(token, F.get("ordered", i + 1)),
+    pairs = F.when(n < SMALLEST, 0).otherwise((n + 1 - F.ceil((n + smallest) / 3)).cast("int"))
+    counted = hashed.withColumn("pairs", pairs)
+    return counted.select(
+        "place", F.xxhash64("tokens").alias("set"), "n",
+        F.zip_with(
+            F.slice("tokens", F.lit(1), F.col("pairs")), F.slice("tokens", F.lit(2), F.col("pairs")),
+            lambda token, following: F.hash(token, following),
         ).alias("prefix"),
-        # In short sets frequent pairs do meet by chance; the marks of their tokens differ.
-        F.when(n > MARKED, 0).otherwise(F.aggregate(
-            "tokens", F.lit(0), lambda seen, token: seen.bitwiseOR(F.call_function(
-                "shiftleft", F.lit(1), token.bitwiseAND(31).cast("int")))
-        )).alias("marks"),
+        *[_marks(half).alias(f"marks{half}") for half in (0, 1)],
     )
 
 
+def _marks(half: int) -> Column:
+    """64 of a set's 128 marks: whether the number of its tokens with this mark is odd."""
+    def turn(seen: Column, token: Column) -> Column:
+        own = F.shiftright(token, 6).bitwiseAND(F.lit(1).cast("long")).bitwiseXOR(F.lit(half).cast("long"))
+        place = token.bitwiseAND(F.lit(63)).cast("int")
+        return seen.bitwiseXOR(F.call_function("shiftleft", own, place))
+
+    return F.aggregate("tokens", F.lit(0).cast("long"), turn)
+
+
 def first_places(docs: DataFrame, frequent: list[int]) -> DataFrame:
-    """Distinct sets, written with a row number: first place, size, prefix and marks."""
+    """Distinct sets, written with a row number that follows their first places: place, size,
+    prefix and marks."""
     firsts = (
         _lines(docs, frequent)
         .groupBy("set")
-        .agg(F.min(F.struct("place", "n", "prefix", "marks")).alias("first"))
-        .select("first.place.*", "first.n", "first.prefix", "first.marks")
+        .agg(F.min(F.struct("place", "n", "prefix", "marks0", "marks1")).alias("first"))
+        .select("first.place.*", "first.n", "first.prefix", "first.marks0", "first.marks1")
+        .orderBy(*PLACE)
         .withColumn("row", F.monotonically_increasing_id())
     )
     return settle(firsts, "line-firsts")
 
 
-# A packed word holds marks, size and place in the prefix of a short set in 32, 8 and 8 bits;
-# of a longer one, all bits turned, size and place in 31 bits each.
-def _pack(n: Column, at: Column, marks: Column) -> Column:
-    n, at, marks = (c.cast("long") for c in (n, at, marks))
-    short = (
-        F.shiftleft(marks.bitwiseAND(F.lit(0xFFFFFFFF)), 16)
-        .bitwiseOR(F.shiftleft(n, 8)).bitwiseOR(at)
-    )
-    return F.when(n <= MARKED, short).otherwise(F.bitwise_not(F.shiftleft(n, 31).bitwiseOR(at)))
-
-
-def _unpack(packed: Column) -> tuple[Column, Column, Column]:
-    long = F.bitwise_not(packed)
-    n = F.when(packed >= 0, F.shiftright(packed, 8).bitwiseAND(F.lit(255))).otherwise(
-        F.shiftright(long, 31))
-    at = F.when(packed >= 0, packed.bitwiseAND(F.lit(255))).otherwise(
-        long.bitwiseAND(F.lit(0x7FFFFFFF)))
-    return n, at, F.when(packed >= 0, F.shiftright(packed, 16)).otherwise(0)
-
-
-def _may_match(a: Column, b: Column) -> Column:
-    """Whether two sets, given by their packed words, pass the length filter and, at the places
-    of their common pair, the positional filter."""
-    (na, at_a, marks_a), (nb, at_b, marks_b) = _unpack(a), _unpack(b)
+def _may_match(a: str, b: str) -> Column:
+    """Whether two sets pass the length filter and, at the places of their common pair, the
+    positional filter."""
+    na, at_a, nb, at_b = (F.col(f"{side}_{c}") for side in (a, b) for c in ("n", "at"))
     need = 3 * least_overlap(na + nb) - na - nb - 1
     left = F.least(na - at_a, nb - at_b) - 1
-    # A mark that only one set has stands for a token that only that set has.
-    apart = F.bit_count(marks_a.bitwiseXOR(marks_b))
-    marked = (na <= MARKED) & (nb <= MARKED)
-    return (
-        (na * UNDER >= nb * OVER) & (nb * UNDER >= na * OVER) & (left >= need)
-        & (~marked | (apart <= na + nb - 2 * least_overlap(na + nb)))
-    )
+    return (na * UNDER >= nb * OVER) & (nb * UNDER >= na * OVER) & (left >= need)
 
 
-# Documents with candidate lines are marked in a bitmap of this many bits, a filter of
-# fixed size ahead of the join that finds them.
-BITS, BUCKET_BITS = 1 << 22, 1 << 15
+def _marks_match(a: str, b: str) -> Column:
+    """Whether the marks of two sets let them be similar: tokens in both leave a mark as it is,
+    so every mark that differs stands for a token that only one of them has."""
+    apart = sum((F.bit_count(F.col(f"{a}_marks{half}").bitwiseXOR(F.col(f"{b}_marks{half}")))
+                 for half in (0, 1)), F.lit(0))
+    sizes = F.col(f"{a}_n") + F.col(f"{b}_n")
+    return apart <= sizes - 2 * least_overlap(sizes)
 
 
-def _bit(doc: Column) -> Column:
-    return F.pmod(F.xxhash64(doc), F.lit(BITS)) + 1
+# Candidate lines are marked in a bitmap of this many bits, a filter of fixed size ahead of
+# the join that finds them.
+BITS, BUCKET_BITS = 1 << 24, 1 << 15
 
 
-def _marked(texts: DataFrame, docs: DataFrame) -> DataFrame:
-    """The ``texts`` whose document is in ``docs``, and few others."""
-    bit = _bit(F.col("doc"))
-    bitmaps = docs.select(
+def _marked(lines: DataFrame, needed: DataFrame) -> DataFrame:
+    """The ``lines`` whose place is in ``needed``, and few others."""
+    bit = F.pmod(F.xxhash64(*PLACE), F.lit(BITS)) + 1
+    bitmaps = needed.select(
         F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("position")
     ).groupBy("bucket").agg(F.bitmap_construct_agg("position").alias("bitmap"))
     position = F.bitmap_bit_position(bit)
@@ -177,90 +164,70 @@ def _marked(texts: DataFrame, docs: DataFrame) -> DataFrame:
         "substring", F.col("bitmap"), (F.floor(position / 8) + 1).cast("int"), F.lit(1)
     )), 16, 10).cast("int")
     hit = F.call_function("shiftright", byte, (position % 8).cast("int")).bitwiseAND(1) == 1
-    # At most BITS / BUCKET_BITS rows of 4 KB: 512 KB.
+    # At most BITS / BUCKET_BITS rows of 4 KB: 2 MB.
     return (
-        texts.withColumn("bucket", F.bitmap_bucket_number(bit))
-        .join(F.broadcast(bitmaps), "bucket").filter(hit).select(*texts.columns)
+        lines.withColumn("bucket", F.bitmap_bucket_number(bit))
+        .join(F.broadcast(bitmaps), "bucket").filter(hit).select(*lines.columns)
     )
 
 
-PLACE = ("doc", "tag", "line")
-
-
 def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
-    """The row numbers of the later sets of pairs (a, b) that are similar in their words."""
+    """The row numbers b of pairs (a, b), a before b, that are similar in their words."""
     pairs = settle(pairs.distinct(), "line-pairs")
     ends = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-    needed = firsts.select("row", *PLACE).join(ends, "row").groupBy("doc", "tag").agg(
-        F.collect_list(F.struct("line", "row")).alias("lines")
-    )
-    texts = docs.select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("tag"), "text"
+    needed = settle(firsts.select("row", *PLACE).join(ends, "row"), "line-needed")
+    lines = docs.select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("tag"),
+        F.posexplode(F.split("text", "\n")).alias("line", "content"),
     )
     # Rows equal in id and text are one document.
     contents = (
-        _marked(texts, needed).join(needed, ["doc", "tag"])
-        .select("doc", "tag", "lines", F.split("text", "\n").alias("parts"))
-        .select("doc", "tag", F.inline("lines"), "parts")
-        .select(
-            "row", F.struct(*PLACE).alias("place"),
-            F.array_distinct(_tokens(F.get("parts", F.col("line")))).alias("tokens"),
-        )
+        _marked(lines, needed).join(needed, list(PLACE)).dropDuplicates(["row"])
+        .select("row", F.array_distinct(_tokens(F.col("content"))).alias("tokens"))
         # Words travel as one string, which is much narrower than an array of them.
-        .select("row", "place", F.size("tokens").alias("n"),
-                F.array_join("tokens", " ").alias("words"))
-        .dropDuplicates(["row"])
+        .select("row", F.size("tokens").alias("n"), F.array_join("tokens", " ").alias("words"))
     )
     contents = settle(contents, "line-contents")
 
     def side(name: str) -> DataFrame:
-        return contents.select(*[
-            F.col(c).alias(new) for c, new in
-            (("row", name), ("place", f"{name}_place"), ("n", f"{name}_n"),
-             ("words", f"{name}_words"))
-        ])
+        return contents.select(
+            F.col("row").alias(name), F.col("n").alias(f"{name}_n"),
+            F.col("words").alias(f"{name}_words"),
+        )
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect(F.split("a_words", " "), F.split("b_words", " ")))
     sizes = F.col("a_n") + F.col("b_n")
-    later = F.when(F.col("a_place") < F.col("b_place"), F.col("b")).otherwise(F.col("a"))
-    return both.filter(common >= least_overlap(sizes)).select(later.alias("row")).distinct()
+    return both.filter(common >= least_overlap(sizes)).select(F.col("b").alias("row")).distinct()
 
 
 def near_lines(firsts: DataFrame, docs: DataFrame) -> DataFrame:
     """(row) of the sets in ``firsts`` that resemble a set with an earlier place."""
-    able = firsts.filter(F.size("prefix") > 0)
-    # The earliest set of each rarest pair: an aggregation, and a join back that may split.
-    keyed = able.select(
-        "row", F.struct(*PLACE).alias("place"), _pack(F.col("n"), F.lit(0), F.col("marks")).alias("packed"),
-        F.get("prefix", F.lit(0)).alias("token"),
+    entries = firsts.select("row", "n", F.posexplode("prefix").alias("at", "token"))
+    # All sets of a pair, in the order of places.
+    group = Window.partitionBy("token").orderBy("row").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
     )
-    heads = keyed.groupBy("token").agg(
-        F.min(F.struct("place", "row", "packed")).alias("head"), F.count("*").alias("sets")
-    ).filter("sets > 1").select("token", "head.row", "head.packed")
-    heads = heads.toDF("token", "a", "a_packed")
-    stepped = keyed.join(heads, "token").filter(
-        (F.col("a") != F.col("row")) & _may_match(F.col("a_packed"), F.col("packed"))
-    ).select("a", F.col("row").alias("b"))
-    settled = settle(_verified(stepped, firsts, docs), "near-lines")
-    done = settled.select("row", F.lit(True).alias("done"))
-    # A settled set has its number turned, so that entries need no further column.
-    number = F.when(F.col("done"), F.bitwise_not("row")).otherwise(F.col("row"))
-    entries = able.join(done, "row", "left").select(
-        number.alias("row"), "n", "marks", F.posexplode("prefix").alias("at", "token"),
-    ).select("token", "row", _pack(F.col("n"), F.col("at"), F.col("marks")).alias("packed"))
-    # Both sides are the same but for the names, so they share one shuffle.
-    a, b = (entries.select("token", F.col("row").alias(r), F.col("packed").alias(p))
-            for r, p in (("a_row", "a_packed"), ("b_row", "b_packed")))
-
-    def own(name: str) -> Column:
-        return F.when(F.col(name) < 0, F.bitwise_not(name)).otherwise(F.col(name))
-
-    still_open = (F.col("a_row") >= 0) | (F.col("b_row") >= 0)
+    head = [F.first(c).over(group).alias(f"head_{c}") for c in ("row", "n", "at")]
+    shared = settle(entries.select(
+        "token", "row", "n", "at", *head, F.last("row").over(group).alias("last"),
+    ).filter("head_row < last").drop("last"), "line-entries")
+
+    def side(frame: DataFrame, name: str) -> DataFrame:
+        return frame.select(
+            "token", *[F.col(c).alias(f"{name}_{c}") for c in ("row", "n", "at", *MARKS)]
+        )
+
+    heads = shared.withColumnsRenamed({"n": "b_n", "at": "b_at"}).filter(
+        (F.col("head_row") < F.col("row")) & _may_match("head", "b")
+    ).groupBy(F.col("row").alias("b")).agg(F.mode("head_row", deterministic=True).alias("a"))
+    settled = settle(_verified(heads.select("a", "b"), firsts, docs), "near-lines")
+    marked = shared.join(firsts.select("row", *MARKS), "row")
+    a = side(marked, "a")
+    b = side(marked.filter("head_row < row").join(settled, "row", "left_anti"), "b")
     met = a.join(b, "token").filter(
-        still_open & (own("a_row") < own("b_row"))
-        & _may_match(F.col("a_packed"), F.col("b_packed"))
-    ).select(own("a_row").alias("a"), own("b_row").alias("b"))
+        (F.col("a_row") < F.col("b_row")) & _may_match("a", "b") & _marks_match("a", "b")
+    ).select(F.col("a_row").alias("a"), F.col("b_row").alias("b"))
     return settled.union(_verified(met, firsts, docs)).distinct()
 
 
@@ -270,7 +237,7 @@ def dedup_lines(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     The text of a document whose lines all go is empty.
     """
     own = docs.drop(*RESULTS)
-    firsts = first_places(own, frequent_tokens(own, frequent))
+    firsts = first_places(own, frequent_slots(own, frequent))
     near = near_lines(firsts, own)
     doc, tag, places, parts, signs, left = fresh(
         own, "doc", "tag", "places", "parts", "signs", "left"

@@ -15,6 +15,8 @@ higher up in its own, has a Jaccard similarity of ``SIMILAR`` or more. The join:
    comes first in most of its pairs; a group of near copies is settled so, in proportion to its
    size. Only sets that are still open then meet all earlier ones that share a prefix pair, if
    the length and the positional filter let them pass and a filter on 128 marks of their tokens.
+   Two sets meet where a run of their common pairs begins, not again at each pair of the run.
+   A pair that only two sets have, and that these filters part, is not kept for either.
 4. Pairs that pass are verified on the words themselves; the later one of a pair goes.
 
 Rows: documents are ordered by doc_id, NULL first, those that share an id (or have none) by the
@@ -42,6 +44,8 @@ NO_ID = -(2**63)
 RESULTS = ("n_lines", "n_kept")
 PLACE = ("doc", "tag", "line")
 MARKS = ("marks0", "marks1")
+# Pairs ahead of one in its prefix that tell whether two sets have met before.
+AHEAD = 3
 
 
 def least_overlap(sizes: Column) -> Column:
@@ -102,18 +106,20 @@ def _lines(docs: DataFrame, frequent: list[int]) -> DataFrame:
             F.slice("tokens", F.lit(1), F.col("pairs")), F.slice("tokens", F.lit(2), F.col("pairs")),
             lambda token, following: F.hash(token, following),
         ).alias("prefix"),
-        *[_marks(half).alias(f"marks{half}") for half in (0, 1)],
+        *_marks(),
     )
 
 
-def _marks(half: int) -> Column:
-    """64 of a set's 128 marks: whether the number of its tokens with this mark is odd."""
+def _marks() -> list[Column]:
+    """A set's 128 marks, 64 in each half: whether the number of its tokens with a mark is odd."""
     def turn(seen: Column, token: Column) -> Column:
-        own = F.shiftright(token, 6).bitwiseAND(F.lit(1).cast("long")).bitwiseXOR(F.lit(half).cast("long"))
         place = token.bitwiseAND(F.lit(63)).cast("int")
-        return seen.bitwiseXOR(F.call_function("shiftleft", own, place))
+        return seen.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
 
-    return F.aggregate("tokens", F.lit(0).cast("long"), turn)
+    upper = F.filter("tokens", lambda token: token.bitwiseAND(F.lit(64)) != 0)
+    lower = F.filter("tokens", lambda token: token.bitwiseAND(F.lit(64)) == 0)
+    return [F.aggregate(half, F.lit(0).cast("long"), turn).alias(name)
+            for half, name in zip((lower, upper), MARKS, strict=True)]
 
 
 def first_places(docs: DataFrame, frequent: list[int]) -> DataFrame:
@@ -208,25 +214,33 @@ def near_lines(firsts: DataFrame, docs: DataFrame) -> DataFrame:
     group = Window.partitionBy("token").orderBy("row").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
-    head = [F.first(c).over(group).alias(f"head_{c}") for c in ("row", "n", "at")]
+    ends = [end(c).over(group).alias(f"{name}_{c}")
+            for name, end in (("head", F.first), ("last", F.last)) for c in ("row", "n", "at")]
+    # Most pairs that meet by chance have two sets, which then need not be kept for each other.
     shared = settle(entries.select(
-        "token", "row", "n", "at", *head, F.last("row").over(group).alias("last"),
-    ).filter("head_row < last").drop("last"), "line-entries")
+        "token", "row", "n", "at", *ends, F.count("*").over(group).alias("sets"),
+    ).filter(
+        (F.col("head_row") < F.col("last_row")) & ((F.col("sets") > 2) | _may_match("head", "last"))
+    ).drop("last_row", "last_n", "last_at", "sets"), "line-entries")
 
     def side(frame: DataFrame, name: str) -> DataFrame:
         return frame.select(
-            "token", *[F.col(c).alias(f"{name}_{c}") for c in ("row", "n", "at", *MARKS)]
+            "token", *[F.col(c).alias(f"{name}_{c}") for c in ("row", "n", "at", "ahead", *MARKS)]
         )
 
     heads = shared.withColumnsRenamed({"n": "b_n", "at": "b_at"}).filter(
         (F.col("head_row") < F.col("row")) & _may_match("head", "b")
     ).groupBy(F.col("row").alias("b")).agg(F.mode("head_row", deterministic=True).alias("a"))
     settled = settle(_verified(heads.select("a", "b"), firsts, docs), "near-lines")
-    marked = shared.join(firsts.select("row", *MARKS), "row")
+    at = F.col("at")
+    ahead = F.slice("prefix", F.greatest(at - AHEAD, F.lit(0)) + 1, F.least(at, F.lit(AHEAD)))
+    marked = shared.join(firsts.select("row", "prefix", *MARKS), "row").withColumn("ahead", ahead)
     a = side(marked, "a")
     b = side(marked.filter("head_row < row").join(settled, "row", "left_anti"), "b")
     met = a.join(b, "token").filter(
         (F.col("a_row") < F.col("b_row")) & _may_match("a", "b") & _marks_match("a", "b")
+        # Else they meet at that pair, which stands further ahead in both.
+        & ~F.arrays_overlap("a_ahead", "b_ahead")
     ).select(F.col("a_row").alias("a"), F.col("b_row").alias("b"))
     return settled.union(_verified(met, firsts, docs)).distinct()
 

@@ -16,7 +16,6 @@ higher up in its own, has a Jaccard similarity of ``SIMILAR`` or more. The join:
    size. Only sets that are still open then meet all earlier ones that share a prefix pair, if
    the length and the positional filter let them pass and a filter on 128 marks of their tokens.
    Two sets meet where a run of their common pairs begins, not again at each pair of the run.
-   A pair that only two sets have, and that these filters part, is not kept for either.
 4. Pairs that pass are verified on the words themselves; the later one of a pair goes.
 
 Rows: documents are ordered by doc_id, NULL first, those that share an id (or have none) by the
@@ -214,14 +213,10 @@ def near_lines(firsts: DataFrame, docs: DataFrame) -> DataFrame:
     group = Window.partitionBy("token").orderBy("row").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
-    ends = [end(c).over(group).alias(f"{name}_{c}")
-            for name, end in (("head", F.first), ("last", F.last)) for c in ("row", "n", "at")]
-    # Most pairs that meet by chance have two sets, which then need not be kept for each other.
+    head = [F.first(c).over(group).alias(f"head_{c}") for c in ("row", "n", "at")]
     shared = settle(entries.select(
-        "token", "row", "n", "at", *ends, F.count("*").over(group).alias("sets"),
-    ).filter(
-        (F.col("head_row") < F.col("last_row")) & ((F.col("sets") > 2) | _may_match("head", "last"))
-    ).drop("last_row", "last_n", "last_at", "sets"), "line-entries")
+        "token", "row", "n", "at", *head, F.last("row").over(group).alias("last"),
+    ).filter("head_row < last").drop("last"), "line-entries")
 
     def side(frame: DataFrame, name: str) -> DataFrame:
         return frame.select(
@@ -234,13 +229,16 @@ def near_lines(firsts: DataFrame, docs: DataFrame) -> DataFrame:
     settled = settle(_verified(heads.select("a", "b"), firsts, docs), "near-lines")
     at = F.col("at")
     ahead = F.slice("prefix", F.greatest(at - AHEAD, F.lit(0)) + 1, F.least(at, F.lit(AHEAD)))
-    marked = shared.join(firsts.select("row", "prefix", *MARKS), "row").withColumn("ahead", ahead)
-    a = side(marked, "a")
-    b = side(marked.filter("head_row < row").join(settled, "row", "left_anti"), "b")
+
+    def marked(frame: DataFrame) -> DataFrame:
+        return frame.join(firsts.select("row", "prefix", *MARKS), "row").withColumn("ahead", ahead)
+
+    a = side(marked(shared), "a")
+    b = side(marked(shared.filter("head_row < row").join(settled, "row", "left_anti")), "b")
     met = a.join(b, "token").filter(
         (F.col("a_row") < F.col("b_row")) & _may_match("a", "b") & _marks_match("a", "b")
         # Else they meet at that pair, which stands further ahead in both.
-        & ~F.arrays_overlap("a_ahead", "b_ahead")
+        & ~F.coalesce(F.arrays_overlap("a_ahead", "b_ahead"), F.lit(False))
     ).select(F.col("a_row").alias("a"), F.col("b_row").alias("b"))
     return settled.union(_verified(met, firsts, docs)).distinct()
 

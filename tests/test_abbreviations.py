@@ -10,13 +10,16 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from textstyle.functions.text import sentences
+from textstyle.operators import abbreviations
 from textstyle.operators.abbreviations import (
     abbreviation_scores,
     learn_abbreviations,
     sentences_but,
     stop_counts,
     stored_counts,
+    with_sentences,
 )
+from textstyle.plans import registry
 
 
 def plain_scores(texts):
@@ -101,3 +104,32 @@ def test_last_words_behind_odd_spaces(spark):
     rows = table.select(sentences_but("text", ["m", "etc", "d'etc"]).alias("s")).collect()
     assert [r.s for r in rows] == [
         ["a\u00a0M. B", "c"], ["x\nM.\t\nB"], ["(etc.) M.\r\n"], ["d'etc. B", "l-m", "C"], [" M. "]]
+
+
+def test_all_abbreviations_count(spark, tmp_path):
+    """More of them than a plan holds: none is left out."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"{a}.{b}.{c}" for a in letters for b in letters for c in letters][:6_000]
+    rows = [(i, f"Le {name}. Dit " + "mot " * 60 + "mot. Fin", "s", "fr", 1)
+            for i, name in enumerate(names)]
+    spark.createDataFrame(
+        rows, "doc_id long, text string, source string, lang string, n_chars long"
+    ).write.parquet(f"{tmp_path}/documents.parquet")
+    assert len(learn_abbreviations(registry.documents(spark, str(tmp_path)))) == len(names)
+    found = registry.abbreviation_sentences(spark, str(tmp_path))
+    by_id = found.groupBy("id").agg(F.count("*").alias("n"), F.min_by("length", "number").alias("l"))
+    assert {(r.n, r.l) for r in by_id.collect()} == {(2, len("Le a.b.c. Dit ") + 60 * 4 + 3)}
+    assert by_id.count() == len(names)
+
+
+def test_listed_and_joined_abbreviations_agree(spark, monkeypatch, texts):
+    odd = ["M. Dupont rit. Elle, etc. part!  Fin", "M... Non. m. Oui", "Il dit M.", ". . M. .",
+           "a\x01b. C", "M. etc. M. etc.", "?!", "a.\n\nb", " M. ", "M.! etc.\r\n"]
+    rows = [(i % 7 or None, text) for i, text in enumerate([*texts, *odd, *odd])]
+    table = spark.createDataFrame(rows, "id long, text string").repartition(5)
+    words = spark.createDataFrame([("m",), ("etc",), ("c.-à-d",), ("no",)], "word string")
+    listed = with_sentences(table, words)
+    monkeypatch.setattr(abbreviations, "LISTED", 1)
+    joined = with_sentences(table, words)
+    assert joined.columns == listed.columns == ["id", "text", "found"]
+    assert sorted(joined.collect(), key=repr) == sorted(listed.collect(), key=repr)

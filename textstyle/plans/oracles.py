@@ -490,7 +490,7 @@ SELECT word, w::BIGINT AS with_stop, o::BIGINT AS without_stop,
     "abbreviation_sentences": f"""WITH {_ABBREVIATIONS},
 learned AS (
   SELECT list(word) AS words FROM (
-    SELECT word FROM scored WHERE score >= 0.3 ORDER BY score DESC, word LIMIT 5000)),
+    SELECT word FROM scored WHERE score >= 0.3)),
 parts AS (
   SELECT doc_id AS id, unnest(string_split(
     regexp_replace(text, '{_SENTENCE_END}', '\\0' || chr(1), 'g'), chr(1))) AS part,

@@ -1,3 +1,4 @@
+import random
 from pathlib import Path
 
 import pytest
@@ -116,6 +117,27 @@ def test_whole_analysis(spark, make_corpus, tmp_path):
     same(zipf, tables.read_csv(spark, paths["zipf"], zipf.schema))
 
 
+def test_whole_analysis_takes_little_disk(spark, make_corpus, tmp_path, monkeypatch):
+    pick = random.Random(3)
+    words = ["".join(pick.choices("abcdefghij", k=pick.randrange(2, 9))) for _ in range(3000)]
+    texts = [". ".join(" ".join(pick.choices(words, k=12)) for _ in range(40)) for _ in range(200)]
+    corpus = make_corpus(*texts)
+    corpus.coalesce(1).write.parquet(f"{tmp_path}/given")
+    few = {"compression": "gzip", "maxRecordsPerFile": 5_000}
+    monkeypatch.setattr(tables, "PACKED_CSV", few, raising=False)
+    paths = run_analysis(spark.read.parquet(f"{tmp_path}/given"), f"{tmp_path}/out")
+
+    def size(path):
+        return sum(p.stat().st_size for p in Path(path).rglob("part-*"))
+
+    # Unpacked they took twelve times the given file.
+    assert sum(size(path) for path in paths.values()) < 3 * size(f"{tmp_path}/given")
+    zipf = zipf_table(corpus)
+    same(zipf, tables.read_csv(spark, paths["zipf"], zipf.schema))
+    # A packed file is read by one task: there are several.
+    assert len([*Path(paths["zipf"]).glob("part-*")]) >= zipf.count() / 5_000 > 2
+
+
 def test_dialogue_table_falls_back_on_the_corpus(spark, make_corpus, tmp_path):
     folder = str(tmp_path)
     assert chartdata.stored_dialogue(spark, folder) is None

@@ -72,18 +72,19 @@ def run_analysis(
 
     Texts are tokenised once: the annotated table also keeps each document's windows and
     ranked words as arrays, and all other tables are read from the columns they need of it.
-    Nothing is cached, so a lost executor costs its tasks only.
+    Nothing is cached, so a lost executor costs its tasks only. The corpora and the words, nearly
+    all the bytes of the six tables, are written packed.
     """
     spark = corpus.sparkSession
-    paths = {"raw_corpus": tables.write_raw_corpus(corpus, folder)}
+    paths = {"raw_corpus": tables.write_raw_corpus(corpus, folder, packed=True)}
     raw = tables.read_parquet(spark, paths["raw_corpus"], corpus.schema)
 
     profiled = with_ranked_words(with_windows(annotate(raw), configs), top_n)
     measured = tables.light_corpus(add_segmentation(document_metrics(profiled)))
-    paths["annotated_corpus"] = tables.write_annotated_corpus(measured, folder)
+    paths["annotated_corpus"] = tables.write_annotated_corpus(measured, folder, packed=True)
     stored = tables.read_parquet(spark, paths["annotated_corpus"], measured.schema)
     paths["stylometry"] = tables.write_author_stats(author_stats(stored), folder)
     paths["segmentation"] = tables.write_dialogue_stats(dialogue_stats(stored), folder)
     paths["sliding_readability"] = tables.write_windows(expand_windows(stored), folder)
-    paths["zipf"] = tables.write_zipf(expand_ranked_words(stored), folder)
+    paths["zipf"] = tables.write_zipf(expand_ranked_words(stored), folder, packed=True)
     return paths

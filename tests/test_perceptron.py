@@ -2,6 +2,7 @@
 
 import random
 import time
+import zlib
 
 import numpy as np
 import pytest
@@ -185,3 +186,71 @@ def test_comparing_taggers_looks_into_no_array_that_is_made(spark, tmp_path):
     found = registry.tagger_accuracy(spark, str(tmp_path)).collect()
     assert found[0].tokens == found[1].tokens > 30_000
     assert time.time() - started < 60
+
+
+def test_learning_side_by_side_in_one_lane_is_learning_token_by_token(monkeypatch):
+    monkeypatch.setattr(perceptron, "LANES", 1)
+    made = sentences(3, 60)
+    words, endings, marks, starts = as_arrays(made)
+    fixed = perceptron.fixed_features(words, endings, marks, starts, BITS)
+    gold = np.array([tag for s in made for tag in s[3]])
+    weights, moved = np.zeros((1 << BITS, 3)), np.zeros((1 << BITS, 3))
+    step = perceptron.learn_side_by_side(
+        weights, moved, 0, 7, (words, fixed, gold, starts), BITS, np.random.default_rng(1))
+    edges = [*starts.tolist(), len(words)]
+    given = [(words[a:b], fixed[a:b], gold[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+    assert step == len(words)
+    assert np.array_equal((weights / 7 - moved / step).astype(np.float32),
+                          perceptron.learn(given, ["a", "b", "c"], 1, BITS))
+
+
+def test_all_rows_and_tokens_teach(spark):
+    """Also those beyond 300 rows, and beyond 200 tokens of a row."""
+    rows = [(i, ["la", "porte"] * 110 + ["fin"], ["D", "N"] * 110 + ["Z"]) for i in range(4)]
+    rows += [(i, [f"m{i}", "."], [f"T{i % 4}", "."]) for i in range(4, 700)]
+    known = spark.createDataFrame(rows, "id long, tokens array<string>, tags array<string>")
+    tagger = perceptron.train(known)
+    assert tagger.tags == sorted({tag for _, _, tags in rows for tag in tags})
+    found = perceptron.tag(known, tagger).collect()
+    hits = sum(a == b for r in found for a, b in zip(r.tags, r.pos, strict=True))
+    assert hits > 0.95 * sum(len(r.tags) for r in found)
+
+
+def test_shards_do_not_depend_on_partitions_and_blocks_not_on_batches(tagged, monkeypatch):
+    monkeypatch.setattr(perceptron, "SHARD", 700)
+    monkeypatch.setattr(perceptron, "BLOCK", 150)
+    frame = tagged.withColumn("held_out", F.lit(False))
+    one = perceptron.train(frame.coalesce(1), epochs=3)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    tagged.sparkSession.conf.set(batch, "7")
+    try:
+        many = perceptron.train(frame.repartition(7), epochs=3)
+    finally:
+        tagged.sparkSession.conf.unset(batch)
+    assert one.tags == many.tags and np.array_equal(one.weights, many.weights)
+    rows = perceptron.tag(tagged, one).collect()
+    assert all(r.tags == r.pos for r in rows)
+
+
+def test_a_row_of_any_length_is_learned_from_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(perceptron, "BLOCK", 100)
+    long = spark.createDataFrame(
+        [(["il", "dort", "."] * 500, ["P", "V", "."] * 500)],
+        "tokens array<string>, tags array<string>")
+    tagger = perceptron.train(long)
+    assert perceptron.tag(long, tagger).first().pos == ["P", "V", "."] * 500
+
+
+def test_tagger_accuracy_learns_from_whole_texts(spark, tmp_path):
+    """What tells the languages apart stands behind the first 200 tokens of all texts that are
+    learned from."""
+    rows = []
+    for i in range(300):
+        held_out = zlib.crc32(str(i).encode()) % 5 == 0
+        text = f"tard{i % 4} " * 20
+        rows.append((i, text if held_out else "x " * 210 + text, "s", f"l{i % 4}", 1))
+    spark.createDataFrame(
+        rows, "doc_id long, text string, source string, lang string, n_chars long"
+    ).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.tagger: r for r in registry.tagger_accuracy(spark, str(tmp_path)).collect()}
+    assert found["perceptron"].right > 0.9 * found["perceptron"].tokens > 900
